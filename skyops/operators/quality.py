@@ -41,52 +41,67 @@ QUERY_RULES = (
 )
 
 
+def _entry(text: str | Column, number: Column | None = None) -> Column:
+    """A violated rule: message text and, for bounds, the number to append."""
+    return F.struct((F.lit(text) if isinstance(text, str) else text).alias("text"),
+                    (F.lit(None) if number is None else number).cast("double").alias("number"))
+
+
 def required_reasons(fields: Iterable[str] = REQUIRED) -> list[Column]:
     return [
-        F.when(F.col(f).isNull(), F.lit(f"Missing required field: {f}"))
-        .when(is_blank(F.col(f)), F.lit(f"Empty required field: {f}"))
+        F.when(F.col(f).isNull(), _entry(f"Missing required field: {f}"))
+        .when(is_blank(F.col(f)), _entry(f"Empty required field: {f}"))
         for f in fields
     ]
 
 
 def range_reasons(rules: Sequence[tuple] = RANGES) -> list[Column]:
-    """One nullable message per bound. Text columns are cast; what does not cast is reported."""
+    """One nullable entry per bound. Text columns are cast; what does not cast is reported."""
     out = []
     for field, low, high in rules:
         raw = F.col(field)
         number = raw.try_cast("double")
-        shown = float_text(number)
         real = ~F.isnan(number)
         out.append(F.when(raw.isNotNull() & number.isNull(),
-                          F.concat(F.lit(f"Non-numeric value for {field}: '"),
-                                   raw.cast("string"), F.lit("'"))))
+                          _entry(F.concat(F.lit(f"Non-numeric value for {field}: '"),
+                                          raw.cast("string"), F.lit("'")))))
         if low is not None:
             out.append(F.when(real & (number <= low),
-                              F.concat(F.lit(f"{field} must be > {low}, got "), shown)))
+                              _entry(f"{field} must be > {low}, got ", number)))
         if high is not None:
             out.append(F.when(real & (number > high),
-                              F.concat(F.lit(f"{field} must be <= {high}, got "), shown)))
+                              _entry(f"{field} must be <= {high}, got ", number)))
     return out
 
 
 def bound_reasons(rules: Sequence[tuple] = QUERY_RULES) -> list[Column]:
-    """Messages of the query-side rule set; null passes every bound."""
+    """Entries of the query-side rule set; null passes every bound."""
     fails = {
         ">": lambda c, b: c <= b,
         ">=": lambda c, b: c < b,
         "<=": lambda c, b: c > b,
     }
     return [
-        F.when(fails[op](F.col(f), F.lit(bound)), F.lit(f"{f} must be {op} {bound}"))
+        F.when(fails[op](F.col(f), F.lit(bound)), _entry(f"{f} must be {op} {bound}"))
         for f, op, bound in rules
     ]
 
 
+def missing_reasons(fields: Iterable[str] = QUERY_REQUIRED) -> list[Column]:
+    return [F.when(F.col(f).isNull(), _entry(f"Missing required field: {f}")) for f in fields]
+
+
 def with_reasons(df: DataFrame, reasons: Sequence[Column] | None = None) -> DataFrame:
-    """Add ``reasons array<string>``: empty when the row is valid."""
+    """Add ``reasons array<string>``: empty when the row is valid.
+
+    Numbers are formatted only for the rules a row breaks.
+    """
     if reasons is None:
         reasons = required_reasons() + range_reasons()
-    return df.withColumn("reasons", F.array_compact(F.array(*reasons)))
+    broken = F.array_compact(F.array(*reasons))
+    text = F.transform(broken, lambda e: F.concat(
+        e["text"], F.coalesce(float_text(e["number"]), F.lit(""))))
+    return df.withColumn("reasons", text)
 
 
 def route(df: DataFrame, key: str = "pl_name", ordinal: str = "row_ord") -> DataFrame:

@@ -7,7 +7,7 @@ import importlib
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("catalog",)
+_MODULES = ("catalog", "logs")
 
 
 def query(name: str, oracle: str | None = None):

@@ -70,3 +70,76 @@ def query_catalog(spark, sf) -> DataFrame:
 
 RAW_SQL = sql(RAW, "part")
 QUERY_SQL = sql(QUERY, "part")
+
+
+# -- events as logs ------------------------------------------------------------------
+
+_LEVELS = {"error": "ERROR", "purchase": "CRITICAL", "signup": "WARNING", "view": "DEBUG",
+           "click": "NOTICE"}
+LEVEL_CASE = ("CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _LEVELS.items())
+              + " END")
+MESSAGE = "concat(event_type, ' of ', CAST(value AS VARCHAR(30)), ' by user')"
+
+
+def events(spark, sf) -> DataFrame:
+    """Events with a zoned timestamp."""
+    df = table(spark, sf, "events")
+    return df.withColumn("ts", df["ts"].cast("timestamp"))
+
+
+def logs(spark, sf) -> DataFrame:
+    """Parsed log entries: (event_id, ts, level, logger, message, context)."""
+    return events(spark, sf).selectExpr(
+        "event_id", "ts", f"{LEVEL_CASE} AS level", "CAST(user_id AS STRING) AS logger",
+        f"{MESSAGE} AS message", "from_json(props, 'map<string,string>') AS context")
+
+
+LOGS_SQL = f"""SELECT event_id, ts, epoch_us(ts) AS us, {LEVEL_CASE} AS level,
+  CAST(user_id AS VARCHAR) AS logger, {MESSAGE} AS message, props FROM events"""
+
+# One text line per event: JSON in several spellings, syslog with and without a pid, plain text.
+_LINE = """CASE event_id % 12
+  WHEN 0 THEN concat('{{"timestamp": "', {iso}, '", "level": "', lower({level}), '", "logger_name": "u', user_id, '", "message": "', {msg}, '", "context": ', props, '}}')
+  WHEN 1 THEN concat('{{"ts": ', {epoch}, ', "severity": "warn", "logger": "u', user_id, '", "msg": "', {msg}, '", "context": "none"}}')
+  WHEN 2 THEN concat('  {{"timestamp": "", "time": "', {plain}, '", "level": "fatal", "name": "n', user_id, '"}}')
+  WHEN 3 THEN concat('{{"message": "no time", "level": null, "context": ', props, '}}')
+  WHEN 4 THEN concat('[', user_id, ', "not an object"]')
+  WHEN 5 THEN concat('<34>', {syslog}, ' host', user_id, ' app[', event_id, ']: ', {msg})
+  WHEN 6 THEN concat({syslog}, ' host', user_id, ' cron: job ', {msg}, ' warn')
+  WHEN 7 THEN concat('Feb 31 10:00:00 host', user_id, ' app: bad date fatal')
+  WHEN 8 THEN concat('  info: error text ', event_id)
+  WHEN 9 THEN concat('plain ', {level}, ' line ', event_id, ' ')
+  WHEN 10 THEN '   '
+  ELSE concat('{{"ts": "', {plain}, '", "message": broken ', event_id) END"""
+
+LINE_SPARK = _LINE.format(
+    iso="date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")", level=LEVEL_CASE, msg=MESSAGE,
+    epoch="CAST(unix_seconds(ts) AS STRING)", plain="date_format(ts, 'yyyy-MM-dd HH:mm:ss')",
+    syslog="concat(date_format(ts, 'MMM'), lpad(date_format(ts, 'd'), 3, ' '), "
+           "date_format(ts, ' HH:mm:ss'))")
+LINE_SQL = _LINE.format(
+    iso="strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')", level=LEVEL_CASE, msg=MESSAGE,
+    epoch="CAST(epoch_us(ts) // 1000000 AS VARCHAR)", plain="strftime(ts, '%Y-%m-%d %H:%M:%S')",
+    syslog="concat(strftime(ts, '%b'), lpad(strftime(ts, '%-d'), 3, ' '), "
+           "strftime(ts, ' %H:%M:%S'))")
+
+
+def log_lines(spark, sf) -> DataFrame:
+    """(event_id, value): raw text lines."""
+    return events(spark, sf).selectExpr("event_id", f"{LINE_SPARK} AS value")
+
+
+LINES_SQL = f"SELECT event_id, ts, {LINE_SQL} AS value FROM events"
+
+RULES = [
+    {"name": "high_error_rate", "metric": "error_rate", "operator": ">", "threshold": 0.5,
+     "window_seconds": 3600, "severity": "critical", "channels": ["stdout", "file"]},
+    {"name": "low_throughput", "metric": "throughput", "operator": "<", "threshold": 0.001,
+     "window_seconds": 3600, "severity": "warning"},
+    {"name": "excessive_errors", "metric": "error_count", "operator": ">=", "threshold": 6,
+     "window_seconds": 7200, "severity": "critical", "channels": ["stdout", "file", "webhook"]},
+    {"name": "exactly_three", "metric": "warning_count", "operator": "==", "threshold": 3.0,
+     "window_seconds": 3600, "severity": "info"},
+    {"name": "unknown_metric", "metric": "latency", "operator": ">", "threshold": 1,
+     "window_seconds": 3600},
+]

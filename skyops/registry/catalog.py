@@ -112,9 +112,8 @@ def _(spark, sf):
   CASE WHEN "dec" > 90 THEN 'dec must be <= 90' END], lambda x: x IS NOT NULL) AS reasons FROM q)
 SELECT pl_name, array_to_string(reasons, '; ') AS reasons FROM r WHERE len(reasons) > 0""")
 def _(spark, sf):
-    missing = [F.when(F.col(f).isNull(), F.lit(f"Missing required field: {f}"))
-               for f in quality.QUERY_REQUIRED]
-    df = quality.with_reasons(query_catalog(spark, sf), missing + quality.bound_reasons())
+    reasons = quality.missing_reasons() + quality.bound_reasons()
+    df = quality.with_reasons(query_catalog(spark, sf), reasons)
     return df.filter(F.size("reasons") > 0).select(
         "pl_name", F.concat_ws("; ", "reasons").alias("reasons"))
 
