@@ -38,7 +38,8 @@ MESSAGE_KEYS = ("message", "msg")
 
 _TIME_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}(T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?Z?|" \
              r" \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?)$"
-_EMPTY_MAP = "map<string,string>"
+_MAP = "map<string,string>"
+_NUMBER = r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"
 
 
 def infer_level(text: Column) -> Column:
@@ -77,75 +78,109 @@ def is_warning(level: Column) -> Column:
     return level == "WARNING"
 
 
-def _entry(ts, level, logger, message, context) -> Column:
-    return F.struct(ts.alias("ts"), level.alias("level"), logger.alias("logger"),
-                    message.alias("message"), context.alias("context"))
+# Each line form is split in two: a parsed piece (JSON map, syslog parts), which a plan computes
+# once per line, and the entry fields read off that piece.
+
+FIELDS = ("ts", "level", "logger", "message", "context")
+
+
+def empty_context() -> Column:
+    return F.create_map().cast(_MAP)
+
+
+def json_map(body: Column) -> Column:
+    """Top-level keys of an object line with their values as text; null for any other line."""
+    return F.from_json(F.when(body.startswith("{") & body.endswith("}"), body), _MAP)
 
 
 def _text(tree: Column, key: str) -> Column:
     """Value of a key as text: null when the key is absent, ``None`` for a JSON null."""
-    value = F.try_variant_get(tree, f"$.{key}", "variant")
-    return F.when(F.is_variant_null(value), F.lit("None")).otherwise(
-        F.coalesce(F.try_variant_get(tree, f"$.{key}", "string"),
-                   F.when(value.isNotNull(), F.to_json(value))))
+    value = F.try_element_at(tree, F.lit(key))
+    return F.coalesce(value, F.when(F.map_contains_key(tree, key), F.lit("None")))
 
 
 def _first_text(tree: Column, keys, default: str) -> Column:
     return F.coalesce(*[_text(tree, k) for k in keys], F.lit(default))
 
 
-def parse_time(tree: Column, as_of: Column) -> Column:
+def json_time(tree: Column, body: Column, as_of: Column) -> Column:
     """First truthy time key: a number is an epoch, text one of the known spellings, else now."""
-    picked = None
+    picked = as_of
     for key in reversed(TIME_KEYS):
-        text = F.try_variant_get(tree, f"$.{key}", "string")
-        truthy = text.isNotNull() & ~text.isin("", "0", "0.0", "-0.0", "false")
-        value = F.try_variant_get(tree, f"$.{key}", "variant")
-        kind = F.schema_of_variant(value)
-        number = F.when(~kind.startswith("STRING"), F.try_variant_get(tree, f"$.{key}", "double"))
-        here = F.coalesce(epoch_time(number), parse_time_text(text), as_of)
-        picked = F.when(truthy, here).otherwise(as_of if picked is None else picked)
+        text = F.try_element_at(tree, F.lit(key))
+        truthy = text.isNotNull() & ~text.isin("", "0", "0.0", "-0.0", "false", "[]", "{}")
+        quoted = body.rlike(f'"{key}"\\s*:\\s*"')
+        number = F.when(text.rlike(_NUMBER), F.when(~quoted, text.try_cast("double")))
+        here = F.coalesce(parse_time_text(text), epoch_time(number), as_of)
+        picked = F.when(truthy, here).otherwise(picked)
     return picked
 
 
+def json_fields(tree: Column, body: Column, as_of: Column) -> dict[str, Column]:
+    context = F.try_element_at(tree, F.lit("context"))
+    return {
+        "ts": json_time(tree, body, as_of),
+        "level": normal_level(_first_text(tree, LEVEL_KEYS, "INFO")),
+        "logger": _first_text(tree, LOGGER_KEYS, ""),
+        "message": _first_text(tree, MESSAGE_KEYS, ""),
+        "context": F.coalesce(F.from_json(F.when(context.startswith("{"), context), _MAP),
+                              empty_context()),
+    }
+
+
+def syslog_parts(body: Column) -> Column:
+    """[time, host, app, pid or '', message] of a syslog line; null for any other line."""
+    parts = F.split(F.regexp_replace(body, SYSLOG, "$1\x01$2\x01$3\x01$4\x01$5"), "\x01", 5)
+    return F.when(body.rlike(SYSLOG), parts)
+
+
+def syslog_fields(parts: Column, as_of: Column) -> dict[str, Column]:
+    """The year comes from ``as_of``; an impossible date reads as now."""
+    when = F.concat_ws(" ", F.year(as_of).cast("string"), F.regexp_replace(parts[0], r"\s+", " "))
+    host, pid = F.lit("hostname"), F.lit("pid")
+    return {
+        "ts": F.coalesce(F.try_to_timestamp(when, F.lit("yyyy MMM d HH:mm:ss")), as_of),
+        "level": infer_level(parts[4]),
+        "logger": parts[2],
+        "message": parts[4],
+        "context": F.when(parts[3] == "", F.create_map(host, parts[1]))
+        .otherwise(F.create_map(host, parts[1], pid, parts[3])),
+    }
+
+
+def plain_fields(body: Column, as_of: Column) -> dict[str, Column]:
+    return {"ts": as_of, "level": infer_level(body), "logger": F.lit(""), "message": body,
+            "context": empty_context()}
+
+
+def _struct(fields: dict[str, Column]) -> Column:
+    return F.struct(*[fields[n].alias(n) for n in FIELDS])
+
+
+def _once(piece: Column, entry) -> Column:
+    """``entry(piece)`` with the piece computed once; null when the piece is null."""
+    return F.get(F.transform(F.array(piece), lambda p: F.when(p.isNotNull(), entry(p))), 0)
+
+
 def parse_json(line: Column, as_of: Column | None = None) -> Column:
     """A JSON object line, else null."""
     as_of = F.current_timestamp() if as_of is None else as_of
     body = strip(line)
-    tree = F.try_parse_json(F.when(body.startswith("{"), body))
-    context = F.from_json(F.to_json(F.try_variant_get(tree, "$.context", "variant")), _EMPTY_MAP)
-    entry = _entry(
-        parse_time(tree, as_of),
-        normal_level(_first_text(tree, LEVEL_KEYS, "INFO")),
-        _first_text(tree, LOGGER_KEYS, ""),
-        _first_text(tree, MESSAGE_KEYS, ""),
-        F.coalesce(context, F.create_map().cast(_EMPTY_MAP)),
-    )
-    return F.when(tree.isNotNull(), entry)
+    return _once(json_map(body), lambda tree: _struct(json_fields(tree, body, as_of)))
 
 
 def parse_syslog(line: Column, as_of: Column | None = None) -> Column:
-    """A syslog line, else null. The year comes from ``as_of``; an impossible date reads as now."""
+    """A syslog line, else null."""
     as_of = F.current_timestamp() if as_of is None else as_of
-    body = strip(line)
-    parts = F.split(F.regexp_replace(body, SYSLOG, "$1\x01$2\x01$3\x01$4\x01$5"), "\x01", 5)
-    when = F.concat_ws(" ", F.year(as_of).cast("string"),
-                       F.regexp_replace(parts[0], r"\s+", " "))
-    pid = F.when(parts[3] != "", F.create_map(F.lit("pid"), parts[3]))
-    context = F.map_concat(F.create_map(F.lit("hostname"), parts[1]),
-                           F.coalesce(pid, F.create_map().cast(_EMPTY_MAP)))
-    entry = _entry(F.coalesce(F.try_to_timestamp(when, F.lit("yyyy MMM d HH:mm:ss")), as_of),
-                   infer_level(parts[4]), parts[2], parts[4], context)
-    return F.when(body.rlike(SYSLOG), entry)
+    return _once(syslog_parts(strip(line)),
+                 lambda parts: _struct(syslog_fields(parts, as_of)))
 
 
 def parse_plain(line: Column, as_of: Column | None = None) -> Column:
     """Any non-blank line."""
     as_of = F.current_timestamp() if as_of is None else as_of
     body = strip(line)
-    entry = _entry(as_of, infer_level(body), F.lit(""), body,
-                   F.create_map().cast(_EMPTY_MAP))
-    return F.when(F.length(body) > 0, entry)
+    return F.when(F.length(body) > 0, _struct(plain_fields(body, as_of)))
 
 
 def parse_auto(line: Column, as_of: Column | None = None) -> Column:

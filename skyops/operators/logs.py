@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyops.functions import logs
+from skyops.functions.text import strip
 from skyops.operators.timeline import trailing_sums
 
 # Levels that have their own counter; every other level counts as info.
@@ -17,14 +18,38 @@ DEFAULT_WINDOW = 300
 Parser = Callable[..., Column]
 
 
-def parse(lines: DataFrame, parser: Parser = logs.parse_auto, column: str = "value",
+def parse(lines: DataFrame, parser: Parser | None = None, column: str = "value",
           as_of: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """Lines to entries with any parser of shape ``(Column, as_of) -> struct``; nulls dropped."""
-    return (
-        lines.select(*keep, parser(F.col(column), as_of).alias("_e"))
-        .filter(F.col("_e").isNotNull())
-        .select(*keep, "_e.*")
+    """Lines to entries; lines that give no entry are dropped.
+
+    Without a parser the mixed form is read (JSON, else syslog, else plain text). Any function
+    of shape ``(line, as_of) -> struct`` may take its place.
+    """
+    if parser is None:
+        return parse_mixed(lines, column, as_of, keep)
+    entry = parser(F.col(column), as_of)
+    return lines.select(*keep, F.inline(F.array_compact(F.array(entry))))
+
+
+def parse_mixed(lines: DataFrame, column: str = "value", as_of: Column | None = None,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """The mixed form with the JSON map and the syslog parts of a line computed once each."""
+    as_of = F.current_timestamp() if as_of is None else as_of
+    body, tree, parts = F.col("_body"), F.col("_tree"), F.col("_parts")
+    staged = (
+        lines.select(*keep, strip(F.col(column)).alias("_body"))
+        .filter(F.length("_body") > 0)
+        .select(*keep, "_body", logs.json_map(body).alias("_tree"))
+        .select(*keep, "_body", "_tree",
+                F.when(tree.isNull(), logs.syslog_parts(body)).alias("_parts"))
     )
+    from_json = logs.json_fields(tree, body, as_of)
+    from_syslog = logs.syslog_fields(parts, as_of)
+    plain = logs.plain_fields(body, as_of)
+    return staged.select(*keep, *[
+        F.when(tree.isNotNull(), from_json[n]).when(parts.isNotNull(), from_syslog[n])
+        .otherwise(plain[n]).alias(n)
+        for n in logs.FIELDS])
 
 
 def level_counts(level: str = "level") -> dict[str, Column]:

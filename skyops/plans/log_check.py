@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyops.functions.logs import parse_auto
 from skyops.operators import alerts, logs
 
 
 def log_check(lines: DataFrame, rules: Sequence[dict], as_of: Column,
-              parser=parse_auto) -> DataFrame:
+              parser=None) -> DataFrame:
     """Breached rules over the window that ends at ``as_of``; an empty result means healthy.
 
     Each rule looks at its own window. An empty window has zero counts and rates, so

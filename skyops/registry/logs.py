@@ -120,7 +120,7 @@ def _(spark, sf):
 
 @query("log_parse_auto", f"WITH {_AUTO} SELECT * FROM auto")
 def _(spark, sf):
-    return _shown(_parsed(spark, sf, fn.parse_auto))
+    return _shown(_parsed(spark, sf, None))
 
 
 @query("udf_parser", f"""WITH {_AUTO} SELECT level, count(*) AS n FROM auto
