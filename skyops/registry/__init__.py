@@ -7,7 +7,7 @@ import importlib
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("catalog", "logs")
+_MODULES = ("catalog", "logs", "metrics", "health")
 
 
 def query(name: str, oracle: str | None = None):
