@@ -47,7 +47,8 @@ def path_join(path: Column) -> Column:
 
 
 def path_parent(path: Column) -> Column:
-    return F.slice(path, F.lit(1), F.size(path) - 1)
+    """The path without its last step; the root is its own parent."""
+    return F.slice(path, F.lit(1), F.greatest(F.size(path) - 1, F.lit(0)))
 
 
 def path_prefixes(path: Column) -> Column:
