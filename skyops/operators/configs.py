@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyops.functions.text import path_join, path_parent
-from skyops.session import cut_lineage
+from skyops.session import cut_and_count, cut_lineage
 
 # Environment variables that are safe to record start with one of these.
 SAFE_ENV_PREFIXES = ("PATH", "HOME", "USER", "SHELL", "LANG", "LC_", "TERM", "EDITOR")
@@ -40,10 +40,10 @@ def ancestors(envs: DataFrame, parents: DataFrame) -> tuple[DataFrame, DataFrame
             .when(F.array_contains("_seen", F.col("parent")),
                   F.concat(F.lit("Circular inheritance detected: "),
                            F.array_join(F.array_append("_seen", F.col("parent")), " → "))))
-        step = cut_lineage(nxt.select(
+        step, n = cut_and_count(nxt.select(
             "env", F.col("parent").alias("ancestor"), (F.col("depth") + 1).alias("depth"),
             F.array_append("_seen", F.col("parent")).alias("_seen"), error.alias("error")))
-        if step.isEmpty():
+        if n == 0:
             break
     rows = done[0]
     for d in done[1:]:

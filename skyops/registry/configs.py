@@ -242,7 +242,7 @@ UNION ALL SELECT env, 'acct', 'required', '''balance'' is a required property' F
   WHERE path = 'acct' AND ty = 'object'
   AND env NOT IN (SELECT env FROM merged WHERE path = 'acct.balance')""")
 def _(spark, sf):
-    trees = configs.with_roots(_resolved(spark, sf))
+    trees = cut_lineage(configs.with_roots(_resolved(spark, sf)))
     return _flat(configs.violations(trees, configs.schema_rules(spark, _SCHEMA)))
 
 

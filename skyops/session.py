@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,3 +44,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_dir(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_and_count(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_lineage`` plus the number of rows, counted by the same write."""
+    seen = Observation()
+    stored = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return stored, seen.get["n"]
