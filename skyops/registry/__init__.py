@@ -7,7 +7,7 @@ import importlib
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("catalog", "logs", "metrics", "health", "configs")
+_MODULES = ("catalog", "logs", "metrics", "health", "configs", "images")
 
 
 def query(name: str, oracle: str | None = None):
