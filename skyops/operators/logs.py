@@ -13,6 +13,8 @@ from skyops.operators.timeline import trailing_sums
 
 # Levels that have their own counter; every other level counts as info.
 COUNTED_LEVELS = ("ERROR", "CRITICAL", "WARNING", "DEBUG")
+COUNTERS = ("total_entries", "error_count", "critical_count", "warning_count", "debug_count",
+            "info_count")
 DEFAULT_WINDOW = 300
 
 Parser = Callable[..., Column]

@@ -7,7 +7,8 @@ import importlib
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("catalog", "logs", "metrics", "health", "configs", "images")
+_MODULES = ("catalog", "logs", "metrics", "health", "configs", "images",
+            "streams")
 
 
 def query(name: str, oracle: str | None = None):
