@@ -16,39 +16,51 @@ from skyops.streaming import run
 
 
 class Limiter(StatefulProcessor):
-    """Keeps the last M accepted times of a client; idle clients expire."""
+    """Keeps the last M accepted times of a client; an event-time timer drops idle clients."""
 
     def __init__(self, max_requests: int, window_seconds: int) -> None:
         self._max = max_requests
         self._span = window_seconds * MICROS
-        self._ttl = max(window_seconds, 3600) * 2000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._kept = handle.getValueState("kept", "times array<bigint>", ttlDurationMs=self._ttl)
+        self._handle = handle
+        self._kept = handle.getValueState("kept", "times array<bigint>")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+    def _times(self) -> list[int]:
         before = self._kept.get()
-        times = list(before[0]) if before is not None else []
+        return list(before[0]) if before is not None else []
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        times = self._times()
         ring = np.empty(self._max, dtype=np.int64)
         ring[:len(times)] = times
-        filled = len(times)
         pdf = pd.concat(list(rows)).sort_values(["us", "seq"], kind="stable")
-        ok, filled = fold(pdf["us"].to_numpy(), ring, filled, self._max, self._span)
+        ok, filled = fold(pdf["us"].to_numpy(), ring, len(times), self._max, self._span)
         kept = np.sort(ring[:min(filled, self._max)])
         self._kept.update(([int(t) for t in kept],))
+        self._handle.registerTimer((int(kept[-1]) + self._span) // 1000 + 1)
         yield pd.DataFrame({"seq": pdf["seq"].to_numpy(), "client": key[0], "accepted": ok})
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        times = self._times()
+        if times and (times[-1] + self._span) // 1000 < expiredTimerInfo.getExpiryTimeInMs():
+            self._kept.clear()
+        yield pd.DataFrame({"seq": [], "client": [], "accepted": []}).astype(
+            {"seq": "int64", "client": "str", "accepted": "bool"})
+
     def close(self) -> None:
         pass
 
 
 def decide(access: DataFrame, client: str = "client", ts: str = "ts", seq: str = "event_id",
-           max_requests: int = DEFAULT_MAX, window_seconds: int = DEFAULT_WINDOW) -> DataFrame:
-    """(seq, client, accepted) for every hit as it arrives."""
+           max_requests: int = DEFAULT_MAX, window_seconds: int = DEFAULT_WINDOW,
+           delay: str = "1 minute") -> DataFrame:
+    """(seq, client, accepted) for every hit as it arrives; hits behind ``delay`` are dropped."""
     run.use_rocksdb(access.sparkSession)
-    rows = access.select(F.col(client).cast("string").alias("client"),
-                         F.unix_micros(ts).alias("us"), F.col(seq).alias("seq"))
+    rows = access.withWatermark(ts, delay).select(
+        F.col(client).cast("string").alias("client"), F.unix_micros(ts).alias("us"),
+        F.col(seq).alias("seq"), F.col(ts).alias("ts"))
     return rows.groupBy("client").transformWithStateInPandas(
         Limiter(max_requests, window_seconds),
         outputStructType="seq bigint, client string, accepted boolean",
-        outputMode="Append", timeMode="ProcessingTime")
+        outputMode="Append", timeMode="EventTime")

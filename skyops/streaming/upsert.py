@@ -33,7 +33,7 @@ def upsert_stream(raw: DataFrame, table: str, checkpoint: str, run_id: str, now=
 
 def latest_version(spark, table: str) -> int:
     """Highest version number below ``table``, from the file listing."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS")
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
              .option("recursiveFileLookup", True).load(table))
     found = F.regexp_extract("path", r"/v=(\d+)/", 1).try_cast("int")
     return files.select("path").agg(F.max(found)).first()[0] or 0
