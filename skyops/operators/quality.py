@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,17 +92,26 @@ def missing_reasons(fields: Iterable[str] = QUERY_REQUIRED) -> list[Column]:
     return [F.when(F.col(f).isNull(), _entry(f"Missing required field: {f}")) for f in fields]
 
 
+def is_broken(reasons: Sequence[Column]) -> Column:
+    """Whether any rule is violated: plain comparisons, no arrays and no text."""
+    return reduce(lambda a, b: a | b, [r.isNotNull() for r in reasons])
+
+
+def default_rules() -> list[Column]:
+    return required_reasons() + range_reasons()
+
+
 def with_reasons(df: DataFrame, reasons: Sequence[Column] | None = None) -> DataFrame:
     """Add ``reasons array<string>``: empty when the row is valid.
 
-    Numbers are formatted only for the rules a row breaks.
+    The list is built, and numbers formatted, only for rows that break a rule.
     """
-    if reasons is None:
-        reasons = required_reasons() + range_reasons()
+    reasons = default_rules() if reasons is None else reasons
     broken = F.array_compact(F.array(*reasons))
     text = F.transform(broken, lambda e: F.concat(
         e["text"], F.coalesce(float_text(e["number"]), F.lit(""))))
-    return df.withColumn("reasons", text)
+    return df.withColumn("reasons", F.when(is_broken(reasons), text).otherwise(
+        F.array().cast("array<string>")))
 
 
 def route(df: DataFrame, key: str = "pl_name", ordinal: str = "row_ord") -> DataFrame:
@@ -110,9 +120,10 @@ def route(df: DataFrame, key: str = "pl_name", ordinal: str = "row_ord") -> Data
     The winner of each key is a map-side-combined minimum, and rows meet it again on the
     unique ordinal, so no task ever holds all rows of a hot key.
     """
-    checked = with_reasons(df)
+    rules = default_rules()
+    checked = with_reasons(df, rules)
     winners = (
-        checked.filter(F.size("reasons") == 0)
+        df.filter(~is_broken(rules))
         .groupBy(strip(F.col(key)).alias("_key"))
         .agg(F.min(ordinal).alias(ordinal))
         .select(ordinal, F.lit(True).alias("_first"))
@@ -142,8 +153,7 @@ def first_by_key(df: DataFrame, key: str, ordinal: str) -> DataFrame:
 
 def valid_rows(df: DataFrame, key: str = "pl_name", ordinal: str = "row_ord") -> DataFrame:
     """Only the rows ``route`` calls valid, in one shuffle."""
-    ok = with_reasons(df).filter(F.size("reasons") == 0).drop("reasons")
-    return first_by_key(ok, key, ordinal)
+    return first_by_key(df.filter(~is_broken(default_rules())), key, ordinal)
 
 
 def report_columns() -> list[Column]:

@@ -14,14 +14,13 @@ def scan(documents: DataFrame, keys: Sequence[str], text: str = "text",
          patterns=secrets.PATTERNS) -> DataFrame:
     """(keys, line_number, pattern, severity, matched), one row per match.
 
-    Texts without any match are dropped by one combined test before they are split into lines,
-    and lines the same way, so single patterns run on suspicious lines only. No shuffle.
+    Texts without any telling word are dropped before they are split into lines, and lines the
+    same way, so regular expressions run on suspicious lines only. No shuffle.
     """
-    suspicious = secrets.any_pattern(patterns)
     lines = (
-        documents.filter(F.col(text).rlike(suspicious))
+        documents.filter(secrets.suspicious(F.col(text), patterns))
         .select(*keys, F.posexplode(F.split(text, "\n")).alias("_pos", "_line"))
-        .filter(F.col("_line").rlike(suspicious))
+        .filter(secrets.suspicious(F.col("_line"), patterns))
     )
     return lines.select(*keys, (F.col("_pos") + 1).cast("long").alias("line_number"),
                         F.inline(secrets.findings(F.col("_line"), patterns)))

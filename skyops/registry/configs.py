@@ -411,7 +411,7 @@ def _scan_sql():
     return " UNION ALL ".join(
         "SELECT doc_id, line_number, '{n}' AS pattern, '{s}' AS severity, "
         "unnest(regexp_extract_all(line, '{p}')) AS matched FROM lines".format(
-            n=n, s=s, p=p.replace("'", "''")) for n, p, s in PATTERNS)
+            n=n, s=s, p=p.replace("'", "''")) for n, p, s, _ in PATTERNS)
 
 
 @query("secret_scan", f"WITH {_LINES_SQL} {_scan_sql()}")

@@ -12,6 +12,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyops.schemas import CONFIG_NODES
+
 try:
     import yaml
 except ImportError:  # JSON documents still load
@@ -58,11 +60,21 @@ def nodes_of(documents: DataFrame, text: str = "value") -> DataFrame:
 
 
 def read_config_nodes(spark: SparkSession, path: str, glob: str = "*.yaml") -> DataFrame:
-    """All documents of a folder; the environment is the file name without its suffix."""
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.[^.]*$", 1)
-    docs = (spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
-            .select(stem.alias("env"), "value"))
-    return nodes_of(docs)
+    """All documents of a folder; the environment is the file name without its suffix.
+
+    Spark skips files of no bytes, so those are listed and added as trees with a root only.
+    """
+    stem = F.regexp_extract("path", r"([^/]*)\.[^./]*$", 1)
+    docs = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+            .select(stem.alias("env"), F.decode("content", "UTF-8").alias("value")))
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{glob}")
+    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    empty = [(f.getPath().getName().rsplit(".", 1)[0], [], "dict", None)
+             for f in fs.globStatus(fs_path) or [] if f.isFile() and f.getLen() == 0]
+    nodes = nodes_of(docs)
+    if not empty:
+        return nodes
+    return nodes.unionByName(spark.createDataFrame(empty, CONFIG_NODES))
 
 
 def parents_of(nodes: DataFrame, key: str = "inherits") -> tuple[DataFrame, DataFrame]:
