@@ -30,7 +30,7 @@ def float_text(c: Column) -> Column:
     mantissa = F.regexp_replace(F.split_part(s, F.lit("E"), F.lit(1)), r"\.0$", "")
     exponent = F.split_part(s, F.lit("E"), F.lit(2)).try_cast("int")
     signed = F.concat(F.when(exponent < 0, "-").otherwise("+"),
-                      F.lpad(F.abs(exponent).cast("string"), 2, "0"))
+                      F.format_string("%02d", F.abs(exponent)))
     plain = F.regexp_replace(s.try_cast("decimal(38,20)").cast("string"), r"0+$", "")
     return (
         F.when(F.isnan(d), "nan")
