@@ -290,16 +290,16 @@ def _(spark, sf):
     return body.groupBy("env").agg(F.count(F.lit(1)).alias("nodes")).join(pointers, "env")
 
 
-@query("src_snapshots", """SELECT concat('S', o_custkey) AS snapshot, concat('host', o_custkey)
-  AS host, 'pkg' || o_orderkey AS package, o_orderstatus || '.1' AS version,
-  CASE WHEN o_orderkey % 2 = 0 THEN 'apt' ELSE 'pip' END AS source FROM orders""")
+@query("src_snapshots", """SELECT 'S' || o_orderkey AS snapshot, 'host' || o_custkey AS host,
+  unnest(['pkg' || o_custkey, 'base']) AS package, unnest([o_orderstatus || '.1', '2.0']) AS version,
+  unnest([CASE WHEN o_orderkey % 2 = 0 THEN 'apt' ELSE 'pip' END, 'pip']) AS source
+  FROM orders""")
 def _(spark, sf):
-    line = F.expr("concat('  - {name: pkg', o_orderkey, ', version: ', o_orderstatus, '.1', "
-                  "CASE WHEN o_orderkey % 2 = 0 THEN ', source: apt' ELSE '' END, '}')")
-    docs = table(spark, sf, "orders").groupBy("o_custkey").agg(
-        F.array_join(F.collect_list(line), "\n").alias("_p")).selectExpr(
-        "concat('S', o_custkey) AS env",
-        "concat('hostname: host', o_custkey, '\npython_version: 3\npackages:\n', _p) AS value")
+    docs = table(spark, sf, "orders").selectExpr(
+        "concat('S', o_orderkey) AS env",
+        "concat('hostname: host', o_custkey, '\npackages:\n  - {name: pkg', o_custkey, "
+        "', version: ', o_orderstatus, '.1', CASE WHEN o_orderkey % 2 = 0 THEN ', source: apt' "
+        "ELSE '' END, '}\n  - {name: base, version: \"2.0\"}\n') AS value")
     return source.snapshot_packages(source.nodes_of(docs))
 
 

@@ -133,6 +133,19 @@ def _(spark, sf):
     return _rounded(out.select("frame_id", "y", "x", "v"), "v")
 
 
+@query("join_calibrate_tiles", f"""WITH {_CAL} SELECT frame_id, CAST(y AS INTEGER) AS y,
+  CAST(x AS INTEGER) AS x, round(v, 6) AS v FROM cal WHERE h = 8""")
+def _(spark, sf):
+    def as_tile(df):
+        px = F.transform(F.array_sort(F.collect_list(F.struct("y", "x", "v"))), lambda p: p["v"])
+        return df.agg(px.alias("px")).selectExpr("0 AS y0", "0 AS x0", "8 AS h", "8 AS w", "px")
+
+    bias, dark, flat = (as_tile(m) for m in _masters(spark, sf))
+    light = frames(spark, sf).filter((F.col("imagetyp") == "light") & (F.col("h") == 8))
+    out = images.calibrate_tiles(light, bias, dark, flat, _DARK_EXP)
+    return _rounded(images.to_pixels(out), "v")
+
+
 @query("join_shape_check", f"""WITH {_PX} SELECT frame_id, CAST(max(y) + 1 AS INTEGER) AS height,
   CAST(max(x) + 1 AS INTEGER) AS width FROM px GROUP BY 1 HAVING max(y) <> 7 OR max(x) <> 7""")
 def _(spark, sf):

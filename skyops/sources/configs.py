@@ -44,7 +44,7 @@ def _walk(path: list[str], value) -> Iterator[tuple]:
         yield path, "scalar", json.dumps(value, default=str, ensure_ascii=False)
 
 
-@F.udtf(returnType=_NODE)
+@F.udtf(returnType=_NODE, useArrow=True)
 class ConfigNodes:
     """``config_nodes(text)``: the nodes of one YAML or JSON document."""
 
