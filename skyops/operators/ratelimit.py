@@ -1,9 +1,11 @@
 """Sliding-window request limiting as an access-log analysis.
 
 A hit is accepted when fewer than M *accepted* hits of its client lie in the last W seconds, so
-each decision depends on the ones before: an ordered fold, not a window frame. The fold only
-needs the last M accepted times, and it restarts wherever a client was silent for W seconds.
-Those silences cut a client's hits into independent sessions, which are the groups folded.
+each decision depends on the ones before: an ordered fold, not a window frame. Most hits need no
+fold, though. Where at most M hits of any kind lie in (t - W, t], all of them are accepted; only
+the hits within W before a fuller moment are *busy*. Runs of busy hits, cut at calm hits and
+silences, are independent of each other and are the groups folded, so a task sees one client for
+as long as it stays over the limit, and calm traffic is decided by window sums alone.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyops.operators.timeline import MICROS, bucketed_lag, time_bucket
+from skyops.operators.timeline import MICROS, bucketed_lag, window_sums
 
 DEFAULT_MAX = 100
 DEFAULT_WINDOW = 60
@@ -39,20 +41,17 @@ def fold(times: np.ndarray, ring: np.ndarray, filled: int, max_requests: int,
 
 def decide(access: DataFrame, client: str = "client", ts: str = "ts", order: str = "event_id",
            max_requests: int = DEFAULT_MAX, window_seconds: int = DEFAULT_WINDOW) -> DataFrame:
-    """Add ``accepted`` to every hit.
+    """Add ``accepted`` to every hit; ties in time are decided in ``order``.
 
-    Rows of one (client, session) are streamed to the fold in time order by a partition sort;
-    the fold keeps M times in memory, never the session's rows.
+    Busy rows are streamed to the fold in time order by a partition sort; the fold keeps M times
+    in memory, never the rows of a run.
     """
     span = window_seconds * MICROS
-    bucket_seconds = max(window_seconds * 64, 3600)
-    us = F.unix_micros(ts)
-    rows = access.withColumn("_us", us)
-    gaps = bucketed_lag(rows, [client], F.struct("_us", order), time_bucket(F.col(ts), bucket_seconds),
-                        F.col("_us"), "_before")
-    fresh = F.col("_before").isNull() | (F.col("_us") - F.col("_before") >= span)
-    starts = gaps.withColumn("_start", F.when(fresh, F.col("_us")))
-    sessions = _carry_start(starts, client, order, time_bucket(F.col(ts), bucket_seconds))
+    runs = busy_runs(access, client, ts, max_requests, span)
+    a, r = access.withColumn("_us", F.unix_micros(ts)).alias("a"), runs.alias("r")
+    same = F.col(f"a.{client}").eqNullSafe(F.col(f"r.{client}")) & (
+        F.col("a._us") == F.col("r._us"))
+    rows = a.join(r, same, "left").select("a.*", "r._session")
     schema = access.schema
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
 
@@ -72,19 +71,41 @@ def decide(access: DataFrame, client: str = "client", ts: str = "ts", order: str
                     start = end
             yield pdf[schema.names].assign(accepted=flags)
 
-    ordered = (sessions.repartition(client, "_session")
-               .sortWithinPartitions(client, "_session", "_us", order)
-               .select(*schema.names, "_us", "_session"))
-    return ordered.mapInPandas(run, ", ".join(fields) + ", accepted boolean")
-
-
-def _carry_start(rows: DataFrame, client: str, order: str, bucket) -> DataFrame:
-    """Give every row the start of its session: the latest start at or before it."""
+    calm = rows.filter(F.col("_session").isNull()).select(
+        *schema.names, F.lit(True).alias("accepted"))
+    busy = (rows.filter(F.col("_session").isNotNull())
+            .repartition(client, "_session")
+            .sortWithinPartitions(client, "_session", "_us", order)
+            .select(*schema.names, "_us", "_session"))
+    return calm.unionByName(busy.mapInPandas(run, ", ".join(fields) + ", accepted boolean"))
+
+
+def busy_runs(access: DataFrame, client: str, ts: str, max_requests: int,
+              span: int) -> DataFrame:
+    """(client, _us, _session) of the busy moments: within a window before one with more than M
+    hits. Two window sums, the second looking ahead by running on negated time."""
+    hits = window_sums(access, [client], F.unix_micros(ts), {"_n": F.count(F.lit(1))}, span - 1)
+    full = F.max((F.col("_n") > max_requests).cast("int"))
+    ahead = window_sums(hits.withColumnRenamed("_us", "_at"), [client], -F.col("_at"),
+                        {"_full": full}, span - 1)
+    ticks = ahead.select(client, (-F.col("_us")).alias("_us"),
+                         (F.col("_full") > 0).alias("_busy"))
+    bucket = F.floor(F.col("_us") / (span * 64))
+    seen = bucketed_lag(ticks, [client], F.col("_us"), bucket, F.struct("_us", "_busy"), "_before")
+    fresh = (F.col("_before").isNull() | ~F.col("_before._busy")
+             | (F.col("_us") - F.col("_before._us") >= span))
+    busy = seen.filter("_busy").select(client, "_us",
+                                       F.when(fresh, F.col("_us")).alias("_start"))
+    return _carry_start(busy, client, bucket).select(client, "_us", "_session")
+
+
+def _carry_start(rows: DataFrame, client: str, bucket) -> DataFrame:
+    """Give every moment the start of its run: the latest start at or before it."""
     rows = rows.withColumn("_b", bucket)
     ends = rows.groupBy(client, "_b").agg(F.max("_start").alias("_latest"))
     so_far = Window.partitionBy(client).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(client, "_b", F.max("_latest").over(so_far).alias("_carry"))
-    inside = Window.partitionBy(client, "_b").orderBy("_us", order).rowsBetween(
+    inside = Window.partitionBy(client, "_b").orderBy("_us").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = rows.withColumn("_local", F.max("_start").over(inside))
     a, c = local.alias("a"), carried.alias("c")

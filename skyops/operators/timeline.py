@@ -22,15 +22,23 @@ def trailing_sums(df: DataFrame, keys: Sequence[str], ts: str, counts: dict[str,
                   window_seconds: int) -> DataFrame:
     """For every distinct (keys, ts): the counts summed over [ts - window, ts], both ends in.
 
-    Rows of equal time are combined before the shuffle. Each then enters the window at its time
-    and leaves just after time + window; a running sum over those marks is the trailing sum.
     Output: keys, ts, one column per count, and ``window_start`` (oldest time still inside).
     """
-    span = int(window_seconds) * MICROS
-    width = span * WINDOWS_PER_BUCKET
+    sums = window_sums(df, keys, F.unix_micros(ts), counts, int(window_seconds) * MICROS)
+    return sums.select(*keys, F.timestamp_micros("_us").alias(ts), *counts,
+                       F.timestamp_micros("_oldest").alias("window_start"))
+
+
+def window_sums(df: DataFrame, keys: Sequence[str], us: Column, counts: dict[str, Column],
+                span: int) -> DataFrame:
+    """For every distinct (keys, us): the counts summed over [us - span, us], and ``_oldest``.
+
+    Rows of equal time are combined before the shuffle. Each then enters the window at its time
+    and leaves just after time + span; a running sum over those marks is the trailing sum.
+    """
+    width = max(span, 1) * WINDOWS_PER_BUCKET
     names = list(counts)
-    ticks = df.groupBy(*keys, F.unix_micros(ts).alias("_us")).agg(
-        *[c.alias(n) for n, c in counts.items()])
+    ticks = df.groupBy(*keys, us.alias("_us")).agg(*[c.alias(n) for n, c in counts.items()])
     us = F.col("_us")
     bucket = F.floor(us / width)
 
@@ -56,9 +64,7 @@ def trailing_sums(df: DataFrame, keys: Sequence[str], ts: str, counts: dict[str,
             *keys, "_us", "_tick", oldest.alias("_oldest"),
             *[F.sum(F.col(n) * F.col("_sign")).over(upto).alias(n) for n in names])
         .filter("_tick")
-        .select(*keys, F.timestamp_micros("_us").alias(ts), *names,
-                F.timestamp_micros("_oldest").alias("window_start"))
-    )
+        .select(*keys, "_us", *names, "_oldest"))
 
 
 def bucketed_lag(df: DataFrame, keys: Sequence[str], order: Column, bucket: Column, value: Column,
