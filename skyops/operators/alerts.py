@@ -63,8 +63,11 @@ def evaluate(stats: DataFrame, rules: DataFrame, keep: Sequence[str]) -> DataFra
 
 
 def transitions(evaluated: DataFrame, keys: Sequence[str], tick: str,
-                bucket_seconds: int = 86_400) -> DataFrame:
-    """Rows where a rule starts to fire or is resolved, per rule and key, in tick order."""
+                bucket_seconds: int = 600) -> DataFrame:
+    """Rows where a rule starts to fire or is resolved, per rule and key, in tick order.
+
+    One task sees the ticks of one rule, key and bucket of time, however dense the stream.
+    """
     order = F.col(tick)
     rows = bucketed_lag(evaluated, ["name", *keys], order, time_bucket(order, bucket_seconds),
                         F.col("breached"), "_was")

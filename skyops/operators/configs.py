@@ -100,12 +100,14 @@ def canonical(kind: Column, value: Column) -> Column:
     return F.when(kind == "scalar", F.coalesce(number.cast("string"), value)).otherwise(value)
 
 
-def diff(left: DataFrame, right: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def diff(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
+         subtrees: bool = True) -> DataFrame:
     """(keys, path, operation, old_value, new_value) of two tree sets paired by ``keys``.
 
     A missing subtree is one entry at its highest node; dict against dict goes deeper. A node is
     reached only if its parent is a dict on both sides. Dict values are shown as a JSON object of
-    their leaves under dotted names.
+    their leaves under dotted names; without ``subtrees`` they stay null, which suits trees whose
+    single subtrees are too large for a cell.
     """
     keys = list(keys)
     at = [*keys, "path"]
@@ -129,8 +131,9 @@ def diff(left: DataFrame, right: DataFrame, keys: Sequence[str] = ()) -> DataFra
     entries = top.unionByName(reached).withColumn(
         "operation", F.when(F.col("l_kind").isNull(), "added")
         .when(F.col("r_kind").isNull(), "removed").otherwise("changed"))
-    entries = _with_subtree(entries, left, keys, "l")
-    entries = _with_subtree(entries, right, keys, "r")
+    if subtrees:
+        entries = _with_subtree(entries, left, keys, "l")
+        entries = _with_subtree(entries, right, keys, "r")
     return entries.select(*at, "operation", F.col("l_value").alias("old_value"),
                           F.col("r_value").alias("new_value"))
 

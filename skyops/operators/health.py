@@ -182,7 +182,7 @@ def cpu_critical(threshold: int) -> int:
 
 
 def counter_delta(samples: DataFrame, host: str, ts: str, order: str, counters: Sequence[str],
-                  bucket_seconds: int = 86_400) -> DataFrame:
+                  bucket_seconds: int = 3600) -> DataFrame:
     """Change of cumulative counters since the host's previous sample (null for the first)."""
     pair = F.struct(*counters)
     rows = bucketed_lag(samples, [host], F.struct(ts, order),

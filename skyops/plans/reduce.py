@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from skyops.operators import images
 from skyops.session import cut_lineage
 
+KINDS = ("bias", "dark", "flat", "light")
+
 
 def reduce_and_stack(frames: DataFrame, method: str = "sigma_clip", stack: str = "field",
                      dark_exptime: float | None = None) -> dict[str, DataFrame]:
@@ -16,11 +18,10 @@ def reduce_and_stack(frames: DataFrame, method: str = "sigma_clip", stack: str =
     Stack depths come from one count over frame rows (pixel arrays are not read for it).
     Masters are single images; they are stored once, since every science pixel meets them.
     """
-    kinds = {r[0]: r[1] for r in frames.groupBy("imagetyp").agg(
-        F.count_distinct("frame_id")).collect()}
+    kinds = frames.agg(*[F.count_distinct(F.when(F.col("imagetyp") == k, F.col("frame_id"))).alias(k)
+                         for k in KINDS]).first().asDict()
     pixels = {k: images.to_pixels(frames.filter(F.col("imagetyp") == k),
-                                  ("frame_id", stack, "exptime"))
-              for k in ("bias", "dark", "flat", "light")}
+                                  ("frame_id", stack, "exptime")) for k in KINDS}
     bias = dark = flat = None
     if kinds.get("bias"):
         bias = cut_lineage(images.master_bias(pixels["bias"], kinds["bias"]))
