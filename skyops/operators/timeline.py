@@ -76,17 +76,21 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], order: Column, bucket: Colu
     The result is null only where the key has no earlier row or the earlier value is null.
     """
     keys = list(keys)
-    rows = df.withColumns({"_o": order, "_b": bucket, "_v": value})
-    ends = rows.groupBy(*keys, "_b").agg(F.max_by(F.struct("_v"), "_o").alias("_end"))
+    spread = F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")
+    rows = df.withColumns({"_o": order, "_b": bucket, "_v": value, "_h": spread})
+    ends = rows.groupBy("_h", "_b", *keys).agg(F.max_by(F.struct("_v"), "_o").alias("_end"))
     carried = ends.select(
-        *keys, "_b",
-        F.lag("_end").over(_over(keys).orderBy("_b")).alias("_carry"))
-    inside = rows.withColumn(
-        "_prev", F.lag(F.struct("_v")).over(_over([*keys, "_b"]).orderBy("_o")))
+        "_h", "_b", *keys, F.lag("_end").over(_over(["_h", *keys]).orderBy("_b")).alias("_carry"))
+    # one exchange on (hash, bucket) serves both the window and the join; null keys compare inside
+    inside = rows.repartition("_h", "_b").withColumn(
+        "_prev", F.lag(F.struct("_v")).over(_over(["_h", "_b", *keys]).orderBy("_o")))
     left, right = inside.alias("l"), carried.alias("r")
-    same = F.lit(True)
-    for k in [*keys, "_b"]:
-        same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    same = (F.col("l._h") == F.col("r._h")) & (F.col("l._b") == F.col("r._b"))
+    for k in keys:
+        lk, rk = F.col(f"l.{k}"), F.col(f"r.{k}")
+        # spelt as an interval so that it stays a condition and not a third join key
+        same = same & ((lk.isNull() & rk.isNull())
+                       | F.coalesce((lk <= rk) & (lk >= rk), F.lit(False)))
     joined = left.join(right, same, "left").select("l.*", "r._carry")
     return joined.select(*[F.col(c) for c in df.columns],
                          F.coalesce("_prev", "_carry")["_v"].alias(name))
