@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyops.llm import sentencepiece_codec, token_counts
+from skyops.llm import jaccard_join, sentencepiece_codec, token_counts
 from skyops.session import prepare
 
 QUERIES: dict = {}
@@ -54,3 +54,25 @@ def op6_token_counts(spark, sf_dir):
     counted = token_counts.count_tokens(docs, public_tokenizers.path(PIECES))
     return counted.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
                           "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+_JACCARD_SQL = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i : array_to_string(w[i : i + 4], ' ')) END) AS s FROM words),
+grams AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM sets UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, l.component_id FROM sets s JOIN least l ON l.x = s.doc_id
+"""
+
+
+@query("op9_jaccard_join", _JACCARD_SQL)
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
