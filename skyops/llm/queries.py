@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyops.llm import jaccard_join, sentencepiece_codec, token_counts
+from skyops.llm import host_rules, jaccard_join, sentencepiece_codec, token_counts, url_filters
 from skyops.session import prepare
 
 QUERIES: dict = {}
@@ -76,3 +76,57 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, l.component_id FROM set
 @query("op9_jaccard_join", _JACCARD_SQL)
 def op9_jaccard_join(spark, sf_dir):
     return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+_QUALITY_SQL = r"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+words AS MATERIALIZED (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+grams AS (SELECT r, unnest(range(1, len(w) - 3)) AS i, unnest(list_transform(range(1, len(w) - 3),
+  lambda i : array_to_string(w[i : i + 4], ' '))) AS g FROM words WHERE len(w) >= 5),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM grams) WHERE c > 1),
+covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM again) GROUP BY r),
+lines AS (SELECT r, list_filter(string_split(text, chr(10)), lambda l : regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM docs),
+counts AS MATERIALIZED (
+  SELECT d.doc_id, d.source, CAST(len(d.w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(d.text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(d.text) - length(regexp_replace(d.text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(l.l) - len(list_distinct(l.l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM words d JOIN lines l USING (r) LEFT JOIN covered c USING (r)),
+judged AS MATERIALIZED (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts),
+hosts AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM judged WHERE source IS NOT NULL GROUP BY source),
+fitted AS (SELECT sum(f) / sum(n) AS m, var_samp(f / n) AS v, avg(1.0 / n) AS c FROM hosts),
+prior AS (SELECT m, CASE WHEN v - m * (1 - m) * c > 0
+  THEN greatest(least(m * (1 - m) / (v - m * (1 - m) * c) - 1, 1000.0), 2.0) ELSE 1000.0 END AS k FROM fitted),
+verdicts AS (SELECT source, (f + m * k) / (n + k) <= 0.5 AS ok FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(ok, true) AS kept FROM judged LEFT JOIN verdicts USING (source)
+"""
+
+
+@query("op10_host_rules", _QUALITY_SQL)
+def op10_host_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return host_rules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                         "n_repeat_words", "base_failed", "kept")
+
+
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+_URL_SQL = """
+WITH rules(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+urls AS (SELECT row_number() OVER () AS r, page_id, CASE WHEN instr(url, '://') > 0
+  THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT r, page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls),
+fits AS (SELECT r, h || p AS rule, v, row_number() OVER (PARTITION BY r ORDER BY length(h || p) DESC, length(h) DESC) AS k
+  FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM parts LEFT JOIN (FROM fits WHERE k = 1) USING (r)
+"""
+
+
+@query("op8_url_filters", _URL_SQL)
+def op8_url_filters(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filters.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
