@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyops.llm import host_rules, jaccard_join, sentencepiece_codec, token_counts, url_filters
+from skyops.llm import host_rules, jaccard_join, line_dedup, sentencepiece_codec, token_counts, url_filters
 from skyops.session import prepare
 
 QUERIES: dict = {}
@@ -130,3 +130,8 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM parts LEF
 def op8_url_filters(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filters.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op5_line_dedup")
+def op5_line_dedup(spark, sf_dir):
+    return line_dedup.line_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
