@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyops.llm import host_rules, jaccard_join, line_dedup, sentencepiece_codec, token_counts, url_filters
+from skyops.llm import decontaminate, host_rules, jaccard_join, line_dedup, sentencepiece_codec, token_counts, url_filters
 from skyops.session import prepare
 
 QUERIES: dict = {}
@@ -135,3 +135,9 @@ def op8_url_filters(spark, sf_dir):
 @query("op5_line_dedup")
 def op5_line_dedup(spark, sf_dir):
     return line_dedup.line_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op4_decontaminate")
+def op4_decontaminate(spark, sf_dir):
+    items = decontaminate.with_answers(table(spark, sf_dir, "benchmark"))
+    return decontaminate.find(table(spark, sf_dir, "documents"), items)
