@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyops.llm import decontaminate, host_rules, jaccard_join, line_dedup, sentencepiece_codec, token_counts, url_filters
+from skyops.llm import (decontaminate, host_rules, jaccard_join, language_id, line_dedup, sentencepiece_codec,
+                        token_counts, toxicity, url_filters)
 from skyops.session import prepare
 
 QUERIES: dict = {}
@@ -141,3 +142,27 @@ def op5_line_dedup(spark, sf_dir):
 def op4_decontaminate(spark, sf_dir):
     items = decontaminate.with_answers(table(spark, sf_dir, "benchmark"))
     return decontaminate.find(table(spark, sf_dir, "documents"), items)
+
+
+def held_out(doc_id: str = "doc_id"):
+    """Rows that no classifier learns from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.fit(docs, labels.where(~held_out()))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op2_language_id")
+def op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.where(~held_out()))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score")
