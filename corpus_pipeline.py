@@ -1,28 +1,63 @@
 """The stages that turn ``documents`` into encoded training text.
 
-``run`` applies them one after another; each stage's rows are written as Parquet and read again.
+``run`` applies them one after another; each stage's rows are written as Parquet and read again, so
+a lost executor costs part of one stage. Every stage works on all that its predecessor kept. All but
+the last return the columns of their input; a stage's own columns start with ``_``.
+
+Cases, beside those of each operator: an empty table goes through all stages as an empty table; a
+null text is kept until the end, where it counts as empty; rows with a null id are judged by their
+text where that needs no other row, and are kept by the join and by decontamination.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyops.llm import queries
+from skyops.llm import decontaminate, jaccard_join, line_dedup, queries, toxicity
 from skyops.session import cut_lineage, prepare
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not predict toxic; it learns from ``labels`` of the documents here."""
+    model = queries.toxicity_model(docs, queries.table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, score="_score", predicted="_predicted")
+    return scored.where("_predicted = 0").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts less the lines that are near an earlier one; documents with nothing left of their text go."""
+    return line_dedup.without_repeats(docs)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of similar ones, once."""
+    found = jaccard_join.join(docs).where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of ``benchmark``."""
+    items = decontaminate.with_answers(queries.table(spark, sf_dir, "benchmark"))
+    found = decontaminate.find(docs, items).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and digests of the documents that are left; null texts count as empty."""
+    """Token counts and digests of ids and decoded text of what is left."""
     return queries.pieces_digests(docs)
 
 
-STAGES = [("sentencepiece", encode)]
-#: no SQL expresses the learned and approximate stages; tests hold run() against plain Python
+STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_repeated_lines), ("jaccard_join", one_of_each_group),
+          ("decontamination", drop_leaks), ("sentencepiece", encode)]
+#: no SQL expresses the learned and approximate stages; tests hold each against plain Python
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = prepare(spark).read.parquet(f"{str(sf_dir).rstrip('/')}/documents.parquet")
+    sf_dir = str(sf_dir).rstrip("/")
+    docs = queries.table(prepare(spark), sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:

@@ -135,8 +135,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     return train([r["text"] for r in rows], [int(r["label"]) for r in rows], share)
 
 
-def score(df: DataFrame, model: Model, text: str = "text", limit: float = LIMIT) -> DataFrame:
-    """Add ``score`` (0 to 1) and ``predicted`` (1 from ``limit``)."""
+def score(df: DataFrame, model: Model, text: str = "text", limit: float = LIMIT, score: str = "score",
+          predicted: str = "predicted") -> DataFrame:
+    """Add ``score`` (0 to 1) and ``predicted`` (1 from ``limit``) under these names."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -153,5 +154,5 @@ def score(df: DataFrame, model: Model, text: str = "text", limit: float = LIMIT)
 
         return fn
 
-    scored = append(df, [T.StructField("score", T.DoubleType())], make)
-    return scored.withColumn("predicted", (F.col("score") >= limit).cast("int"))
+    scored = append(df, [T.StructField(score, T.DoubleType())], make)
+    return scored.withColumn(predicted, (F.col(score) >= limit).cast("int"))
