@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyops.llm import (decontaminate, host_rules, jaccard_join, language_id, line_dedup, sentencepiece_codec,
+from skyops.llm import (decontaminate, host_rules, html_text, jaccard_join, language_id, line_dedup, sentencepiece_codec,
                         token_counts, toxicity, url_filters)
 from skyops.session import prepare
 
@@ -166,3 +166,9 @@ def op2_language_id(spark, sf_dir):
     model = language_id.fit(docs.where(~held_out()))
     return language_id.predict(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_html_text")
+def op7_html_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
