@@ -7,17 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group up to this size fits the hash map of Spark's exact median.
-GROUP_LIMIT = 1_000_000
 _ACCURACY = 10_000
 
 
-def group_size(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows in the largest group: one number for the driver."""
-    top = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    return top[0] or 0
-
-
 def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     out = F.lit(True)
     for k in keys:
@@ -26,54 +18,54 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
 
 
 def median_by(df: DataFrame, by: Sequence[str], value: str, name: str = "median",
-              extra: dict[str, Column] | None = None, largest: int | None = None,
-              limit: int = GROUP_LIMIT) -> DataFrame:
-    """Exact median per group, nulls ignored, plus any ``extra`` aggregates.
-
-    ``largest`` is the size of the biggest group if the caller knows it; else it is counted.
-    """
-    extra = extra or {}
-    if largest is None:
-        largest = group_size(df, by)
-    others = [c.alias(n) for n, c in extra.items()]
-    if largest <= limit:
-        return df.groupBy(*by).agg(F.median(value).alias(name), *others)
-    med = bracketed_median(df, by, value, name)
-    if not others:
-        return med
-    a, m = df.groupBy(*by).agg(*others).alias("a"), med.alias("m")
-    return a.join(m, same_keys("a", "m", by), "left").select(
-        *[F.col(f"a.{k}") for k in by], F.col(f"m.{name}"), *[F.col(f"a.{n}") for n in extra])
-
-
-def bracketed_median(df: DataFrame, by: Sequence[str], value: str, name: str = "median",
-                     accuracy: int = _ACCURACY) -> DataFrame:
-    """Exact median that never gathers a group.
+              extra: dict[str, Column] | None = None, accuracy: int = _ACCURACY) -> DataFrame:
+    """Exact median per group, nulls ignored, plus any ``extra`` aggregates; never gathers a group.
 
     A mergeable quantile sketch gives two values that surely enclose the middle ranks. Everything
     below them becomes one count; the values between (some 4 / accuracy of the group) are
-    counted by distinct value, and a running count over those few finds the two middle ranks.
+    counted by distinct value, and a running count over those few finds the two middle ranks. A
+    group without values has a null median.
     """
-    d = df.filter(F.col(value).isNotNull())
     margin = 2.0 / accuracy
     around = F.percentile_approx(value, [0.5 - margin, 0.5 + margin], accuracy)
-    small = F.count(value) <= accuracy
-    bracket = d.groupBy(*by).agg(
-        F.count(value).alias("_n"),
-        F.when(small, F.min(value)).otherwise(around[0]).alias("_lo"),
-        F.when(small, F.max(value)).otherwise(around[1]).alias("_hi"))
-    x, b = d.alias("x"), bracket.alias("b")
-    rows = x.join(b, same_keys("x", "b", by)).filter(F.col(f"x.{value}") <= F.col("b._hi")).select(
+    groups = df.groupBy(*by).agg(
+        F.count(value).alias("_n"), around.alias("_around"), *[c.alias(n) for n, c in (extra or {}).items()])
+    low, high = F.col("b._around")[0], F.col("b._around")[1]
+    x, b = df.alias("x"), groups.alias("b")
+    rows = x.join(b, same_keys("x", "b", by)).filter(F.col(f"x.{value}") <= high).select(
         *[F.col(f"x.{k}") for k in by], "_n",
-        F.when(F.col(f"x.{value}") >= F.col("b._lo"), F.col(f"x.{value}")).alias("_v"))
+        F.when(F.col(f"x.{value}") >= low, F.col(f"x.{value}")).alias("_v"))
     counts = rows.groupBy(*by, "_n", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    upto = Window.partitionBy(*by).orderBy(F.asc_nulls_first("_v")).rowsBetween(
+    ranked = counts.withColumn("_end", F.sum("_c").over(_upto(by, "_v")))
+    hit = _middle(F.col("_end") - F.col("_c"), F.col("_end"), F.col("_n"))
+    found = ranked.filter(hit[0] | hit[1]).groupBy(*by).agg(
+        ((F.max(F.when(hit[0], F.col("_v"))) + F.max(F.when(hit[1], F.col("_v")))) / 2).alias(name))
+    g, m = groups.alias("g"), found.alias("m")
+    return g.join(m, same_keys("g", "m", by), "left").select(
+        *[F.col(f"g.{k}") for k in by], F.col(f"m.{name}"), *[F.col(f"g.{n}") for n in (extra or {})])
+
+
+def _upto(by: Sequence[str], value: str):
+    """Rows of a group up to the current one, nulls first."""
+    return Window.partitionBy(*by).orderBy(F.asc_nulls_first(value)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("_end", F.sum("_c").over(upto))
-    start = F.col("_end") - F.col("_c")
-    first = F.expr("(_n + 1) div 2")
-    second = F.expr("_n div 2 + 1")
-    hit = [(start < k) & (k <= F.col("_end")) for k in (first, second)]
-    return ranked.filter(hit[0] | hit[1]).groupBy(*by).agg(
-        ((F.max(F.when(hit[0], F.col("_v"))) + F.max(F.when(hit[1], F.col("_v")))) / 2)
-        .alias(name))
+
+
+def _middle(start: Column, end: Column, n: Column) -> list[Column]:
+    """Whether ranks after ``start`` up to ``end`` hold the lower and the upper middle of ``n``."""
+    return [(start < k) & (k <= end) for k in (F.floor((n + 1) / 2), F.floor(n / 2) + 1)]
+
+
+def with_median(rows: DataFrame, by: Sequence[str], value: str, counted: Column, name: str) -> DataFrame:
+    """Add the median of the ``counted`` values of each group to all its rows, by one sort.
+
+    For groups of moderate size, such as the values of one pixel: a group is one window, which
+    spills. Chained calls keep the partitioning and the order.
+    """
+    one = F.when(counted & F.col(value).isNotNull(), 1).otherwise(0)
+    whole = Window.partitionBy(*by)
+    rows = rows.withColumns({"_one": one, "_end": F.sum(one).over(_upto(by, value))})
+    rows = rows.withColumn("_n", F.sum("_one").over(whole))
+    hit = _middle(F.col("_end") - F.col("_one"), F.col("_end"), F.col("_n"))
+    middle = (F.max(F.when(hit[0], F.col(value))).over(whole) + F.max(F.when(hit[1], F.col(value))).over(whole)) / 2
+    return rows.withColumn(name, middle).drop("_one", "_end", "_n")

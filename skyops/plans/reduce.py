@@ -15,26 +15,24 @@ def reduce_and_stack(frames: DataFrame, method: str = "sigma_clip", stack: str =
                      dark_exptime: float | None = None) -> dict[str, DataFrame]:
     """Frames (frame_id, imagetyp, ``stack``, exptime, y0, x0, h, w, px) to combined images.
 
-    Stack depths come from one count over frame rows (pixel arrays are not read for it).
+    Which kinds there are comes from one small query (pixel arrays are not read for it).
     Masters are single images; they are stored once, since every science pixel meets them.
     """
-    kinds = frames.agg(*[F.count_distinct(F.when(F.col("imagetyp") == k, F.col("frame_id"))).alias(k)
-                         for k in KINDS]).first().asDict()
+    kinds = {r[0] for r in frames.select("imagetyp").where(F.col("imagetyp").isin(*KINDS)).distinct().collect()}
     pixels = {k: images.to_pixels(frames.filter(F.col("imagetyp") == k),
                                   ("frame_id", stack, "exptime")) for k in KINDS}
     bias = dark = flat = None
-    if kinds.get("bias"):
-        bias = cut_lineage(images.master_bias(pixels["bias"], kinds["bias"]))
-    if kinds.get("dark"):
-        dark = cut_lineage(images.master_dark(pixels["dark"], bias, kinds["dark"]))
-    if kinds.get("flat"):
-        flat = cut_lineage(images.master_flat(pixels["flat"], bias, dark, kinds["flat"]))
+    if "bias" in kinds:
+        bias = cut_lineage(images.master_bias(pixels["bias"]))
+    if "dark" in kinds:
+        dark = cut_lineage(images.master_dark(pixels["dark"], bias))
+    if "flat" in kinds:
+        flat = cut_lineage(images.master_flat(pixels["flat"], bias, dark))
     light = images.calibrate(pixels["light"], bias, dark, flat, dark_exptime, normalized=True)
     lights = frames.filter(F.col("imagetyp") == "light")
     aligned = images.align_crop(light, images.shapes(lights, [stack, "frame_id"]), [stack])
     depth = images.stack_depths(lights, [stack]).filter(F.col("frames") >= 2)
     ready = aligned.join(depth.select(stack), stack, "left_semi")
-    deepest = depth.agg(F.max("frames")).first()[0] or 0
-    combined = images.combine_pixels(ready, [stack], method, deepest)
+    combined = images.combine_pixels(ready, [stack], method)
     return {"bias": bias, "dark": dark, "flat": flat, "calibrated": light,
             "stack": combined, "stats": images.image_stats(combined, [stack])}

@@ -42,15 +42,6 @@ def pixels(spark, sf, kind=None):
     return images.to_pixels(f, ("frame_id", "imagetyp", "field", "exptime"))
 
 
-def _depth(spark, sf, kind):
-    """Frames of one kind: counts the narrow columns only."""
-    return frames(spark, sf).filter(F.col("imagetyp") == kind).count()
-
-
-def _stack_depth(df):
-    return df.groupBy("field").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-
-
 _PX = f"""px AS (SELECT frame_id, imagetyp, field, exptime, i // 8 AS y, i % 8 AS x, h,
   CASE WHEN (frame_id + i) % 37 = 0 THEN NULL
     WHEN frame_id % 10 = 2 AND (i = 5 OR i = 40) THEN 300
@@ -76,10 +67,9 @@ _DARK_EXP = 60.0
 
 
 def _masters(spark, sf):
-    n = {k: _depth(spark, sf, k) for k in ("bias", "dark", "flat")}
-    bias = cut_lineage(images.master_bias(pixels(spark, sf, "bias"), n["bias"]))
-    dark = cut_lineage(images.master_dark(pixels(spark, sf, "dark"), bias, n["dark"]))
-    flat = images.master_flat(pixels(spark, sf, "flat"), bias, dark, n["flat"])
+    bias = cut_lineage(images.master_bias(pixels(spark, sf, "bias")))
+    dark = cut_lineage(images.master_dark(pixels(spark, sf, "dark"), bias))
+    flat = images.master_flat(pixels(spark, sf, "flat"), bias, dark)
     return bias, dark, flat
 
 
@@ -92,14 +82,14 @@ def _rounded(df, *columns, places=6):
   round(stddev_pop(v), 6) AS std_adu,
   round(count(*) FILTER (v IS NULL) / count(*), 6) AS nan_fraction FROM px GROUP BY 1""")
 def _(spark, sf):
-    stats = images.image_stats(pixels(spark, sf), largest=64)
+    stats = images.image_stats(pixels(spark, sf))
     return _rounded(stats, "mean_adu", "median_adu", "std_adu", "nan_fraction")
 
 
 @query("agg_master_bias", f"WITH {_PX}, {_BIAS} SELECT CAST(y AS INTEGER) AS y, "
        "CAST(x AS INTEGER) AS x, v FROM bias")
 def _(spark, sf):
-    return images.master_bias(pixels(spark, sf, "bias"), _depth(spark, sf, "bias"))
+    return images.master_bias(pixels(spark, sf, "bias"))
 
 
 @query("agg_master_dark", f"WITH {_PX}, {_BIAS}, {_DARK} SELECT CAST(y AS INTEGER) AS y, "
@@ -121,7 +111,7 @@ SELECT frame_id, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x,
 FROM px JOIN m USING (frame_id) WHERE imagetyp = 'flat'""")
 def _(spark, sf):
     rows = pixels(spark, sf, "flat").select("frame_id", "y", "x", "v")
-    return _rounded(images.normalize_flat(rows, ("frame_id",), 64), "v", places=9)
+    return _rounded(images.normalize_flat(rows, ("frame_id",)), "v", places=9)
 
 
 @query("join_calibrate", f"""WITH {_CAL} SELECT frame_id, CAST(y AS INTEGER) AS y,
@@ -134,14 +124,10 @@ def _(spark, sf):
 
 
 @query("join_calibrate_tiles", f"""WITH {_CAL} SELECT frame_id, CAST(y AS INTEGER) AS y,
-  CAST(x AS INTEGER) AS x, round(v, 6) AS v FROM cal WHERE h = 8""")
+  CAST(x AS INTEGER) AS x, round(v, 6) AS v FROM cal""")
 def _(spark, sf):
-    def as_tile(df):
-        px = F.transform(F.array_sort(F.collect_list(F.struct("y", "x", "v"))), lambda p: p["v"])
-        return df.agg(px.alias("px")).selectExpr("0 AS y0", "0 AS x0", "8 AS h", "8 AS w", "px")
-
-    bias, dark, flat = (as_tile(m) for m in _masters(spark, sf))
-    light = frames(spark, sf).filter((F.col("imagetyp") == "light") & (F.col("h") == 8))
+    bias, dark, flat = (images.tiles_of_rows(m) for m in _masters(spark, sf))
+    light = images.row_tiles(frames(spark, sf).filter(F.col("imagetyp") == "light"), ("frame_id", "exptime"))
     out = images.calibrate_tiles(light, bias, dark, flat, _DARK_EXP)
     return _rounded(images.to_pixels(out), "v")
 
@@ -176,8 +162,7 @@ _YX = "field, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x"
 @query("agg_stack_median", f"WITH {_LIGHT} SELECT {_YX}, round(median(v), 6) AS v FROM al "
        "GROUP BY field, y, x")
 def _(spark, sf):
-    rows, f = _aligned(spark, sf)
-    return _rounded(images.stack_median(rows, ["field"], _stack_depth(f)), "v")
+    return _rounded(images.stack_median(_aligned(spark, sf)[0], ["field"]), "v")
 
 
 @query("agg_stack_mean", f"WITH {_LIGHT} SELECT {_YX}, round(avg(v), 6) AS v FROM al "
@@ -187,41 +172,39 @@ def _(spark, sf):
 
 
 def _clip_sql():
-    out, kept = [], "al"
+    out = ["k0 AS (SELECT field, y, x, v, true AS used FROM al)"]
     for i in range(1, 6):
-        out.append(f"""s{i} AS (SELECT field, y, x, median(v) AS m, stddev_pop(v) AS s FROM {kept}
-  GROUP BY 1, 2, 3), k{i} AS (SELECT a.* FROM al a JOIN s{i} s ON a.field = s.field AND a.y = s.y
-  AND a.x = s.x WHERE v IS NULL OR (v - m) / (CASE WHEN s = 0 THEN 1 ELSE s END)
-  BETWEEN -3 AND 3)""")
-        kept = f"k{i}"
+        out.append(f"""s{i} AS (SELECT field, y, x, median(v) FILTER (used) AS m,
+  stddev_pop(v) FILTER (used) AS s FROM k{i - 1} GROUP BY 1, 2, 3),
+k{i} AS (SELECT a.field, a.y, a.x, v, coalesce((v - m) / (CASE WHEN s = 0 THEN 1 ELSE s END)
+  BETWEEN -3 AND 3, true) AS used FROM k{i - 1} a JOIN s{i} s ON a.field = s.field AND a.y = s.y AND a.x = s.x)""")
     return ", ".join(out)
 
 
-_CLIP = (f"WITH {_LIGHT}, {_clip_sql()} SELECT {_YX}, round(avg(v), 6) AS v FROM k5 "
+_CLIP = (f"WITH {_LIGHT}, {_clip_sql()} SELECT {_YX}, round(avg(v) FILTER (used), 6) AS v FROM k5 "
          "GROUP BY field, y, x")
 
 
 @query("agg_stack_sigma_clip", _CLIP)
 def _(spark, sf):
-    rows, f = _aligned(spark, sf)
-    return _rounded(images.stack_sigma_clip(rows, ["field"], frames=_stack_depth(f)), "v")
+    return _rounded(images.stack_sigma_clip(_aligned(spark, sf)[0], ["field"]), "v")
 
 
 @query("agg_stack_sigma_clip_tiles", _CLIP)
 def _(spark, sf):
     f = frames(spark, sf).filter(F.col("imagetyp") == "light")
     tiles = images.align_crop_tiles(f, ["field"])
-    return _rounded(images.stack_tiles(tiles, ["field"], "sigma_clip", frames=_stack_depth(f)), "v")
+    return _rounded(images.stack_tiles(tiles, ["field"], "sigma_clip"), "v")
 
 
-@query("udaf_combine", " UNION ALL ".join(
-    f"SELECT '{m}' AS method, {_YX}, round({e}, 6) AS v FROM al GROUP BY field, y, x"
-    for m, e in (("median", "median(v)"), ("mean", "avg(v)"))).join([f"WITH {_LIGHT} ", ""]))
+@query("udaf_combine", f"WITH {_LIGHT}, {_clip_sql()} " + " UNION ALL ".join(
+    f"SELECT '{m}' AS method, {_YX}, round({e}, 6) AS v FROM k5 GROUP BY field, y, x"
+    for m, e in (("median", "median(v)"), ("mean", "avg(v)"), ("sigma_clip", "avg(v) FILTER (used)"))))
 def _(spark, sf):
-    rows, f = _aligned(spark, sf)
+    rows, _ = _aligned(spark, sf)
     out = None
-    for m in ("median", "mean"):
-        part = images.combine_pixels(rows, ["field"], m, _stack_depth(f)).select(
+    for m in images.COMBINERS:
+        part = images.combine_pixels(rows, ["field"], m).select(
             F.lit(m).alias("method"), "field", "y", "x", F.round("v", 6).alias("v"))
         out = part if out is None else out.unionByName(part)
     return out
@@ -230,21 +213,21 @@ def _(spark, sf):
 @query("agg_median_bracketed", f"WITH {_LIGHT} SELECT {_YX}, round(median(v), 6) AS v FROM al "
        "GROUP BY field, y, x")
 def _(spark, sf):
-    from skyops.operators.quantiles import bracketed_median
+    from skyops.operators.quantiles import median_by
 
     rows, _ = _aligned(spark, sf)
-    return _rounded(bracketed_median(rows, ["field", "y", "x"], "v", "v", accuracy=20), "v")
+    return _rounded(median_by(rows, ["field", "y", "x"], "v", "v", accuracy=20), "v")
 
 
 @query("pipe_reduce_stack", f"""WITH {_CAL}, {_CROP.format(src='cal')}, {_clip_sql()},
-st AS (SELECT field, y, x, avg(v) AS v FROM k5 GROUP BY 1, 2, 3)
+st AS (SELECT field, y, x, avg(v) FILTER (used) AS v FROM k5 GROUP BY 1, 2, 3)
 SELECT field, round(min(v), 5) AS min_adu, round(max(v), 5) AS max_adu,
-  round(avg(v), 5) AS mean_adu, round(median(v), 5) AS median_adu,
+  round(avg(v), 5) AS mean_adu, round(median(v), 5) AS median_adu, round(stddev_pop(v), 5) AS std_adu,
   round(count(*) FILTER (v IS NULL) / count(*), 6) AS nan_fraction FROM st GROUP BY 1""")
 def _(spark, sf):
     out = reduce_and_stack(frames(spark, sf), "sigma_clip", "field", _DARK_EXP)
-    stats = _rounded(out["stats"], "min_adu", "max_adu", "mean_adu", "median_adu", places=5)
-    return _rounded(stats, "nan_fraction").drop("std_adu")
+    stats = _rounded(out["stats"], "min_adu", "max_adu", "mean_adu", "median_adu", "std_adu", places=5)
+    return _rounded(stats, "nan_fraction")
 
 
 # -- display -----------------------------------------------------------------------------------
@@ -260,11 +243,31 @@ def _(spark, sf):
     return images.minmax_interval(pixels(spark, sf))
 
 
-@query("img_interval_zscale")
+def _zscale_sql():
+    out = ["""z0 AS (SELECT frame_id, v, CAST(row_number() OVER (PARTITION BY frame_id ORDER BY v) AS DOUBLE) AS r,
+  true AS used, false AS few, 0.0 AS slope FROM px WHERE v IS NOT NULL)""",
+           """size AS (SELECT frame_id, count(*) AS n, min(v) AS lo, max(v) AS hi, median(v) AS med FROM z0 GROUP BY 1)"""]
+    for i in range(1, 6):
+        out.append(f"""m{i} AS (SELECT frame_id, avg(r) FILTER (used) AS mr, avg(v) FILTER (used) AS mv FROM z{i - 1} GROUP BY 1),
+f{i} AS (SELECT frame_id, coalesce(sum((r - mr) * (v - mv)) FILTER (used)
+  / nullif(sum((r - mr) * (r - mr)) FILTER (used), 0), 0) AS slope FROM z{i - 1} JOIN m{i} USING (frame_id) GROUP BY 1),
+o{i} AS (SELECT z.*, f.slope AS b, (v - mv) - f.slope * (r - mr) AS off FROM z{i - 1} z JOIN m{i} USING (frame_id) JOIN f{i} f USING (frame_id)),
+d{i} AS (SELECT frame_id, stddev_pop(off) FILTER (used) AS s FROM o{i} GROUP BY 1),
+bad{i} AS (SELECT frame_id, r FROM o{i} JOIN d{i} USING (frame_id) WHERE abs(off) > 2.5 * s),
+u{i} AS (SELECT o.frame_id, o.v, o.r, o.few, o.b, n, NOT EXISTS (SELECT 1 FROM bad{i} x WHERE x.frame_id = o.frame_id
+  AND abs(x.r - o.r) <= floor(n * 0.01 / 2)) AS used FROM o{i} o JOIN size USING (frame_id)),
+z{i} AS (SELECT frame_id, v, r, used, few OR count(*) FILTER (used) OVER (PARTITION BY frame_id) < greatest(5, n // 2) AS few,
+  b AS slope FROM u{i})""")
+    return ", ".join(out)
+
+
+@query("img_interval_zscale", f"""WITH {_PX}, {_zscale_sql()},
+e AS (SELECT frame_id, any_value(slope) / 0.25 AS rise, bool_or(few) AS few FROM z5 GROUP BY 1)
+SELECT frame_id, round(CASE WHEN few THEN lo ELSE greatest(lo, med - ((n + 1) // 2 - 1) * rise) END, 4) AS vmin,
+  round(CASE WHEN few THEN hi ELSE least(hi, med + (n - (n + 1) // 2) * rise) END, 4) AS vmax
+FROM size JOIN e USING (frame_id)""")
 def _(spark, sf):
-    rows = images.to_pixels(frames(spark, sf)).withColumns(
-        {"width": F.lit(8), "height": F.lit(8)})
-    return images.zscale_interval(rows)
+    return _rounded(images.zscale_interval(pixels(spark, sf)), "vmin", "vmax", places=4)
 
 
 _STRETCHES = {

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyops.functions import sky as fn
 from skyops.operators import images, sky
-from skyops.operators.quantiles import bracketed_median, median_by
+from skyops.operators.quantiles import median_by
 from skyops.sources import images as source
 
 
@@ -42,19 +42,6 @@ def test_calibration_anchors(spark):
     assert got == {(0, 0): 1000.0, (0, 1): 1000.0, (1, 0): 1000.0, (1, 1): None}
 
 
-def numpy_clip(cube, low=3.0, high=3.0):
-    mask = np.zeros(cube.shape, bool)
-    for _ in range(5):
-        kept = np.where(mask, np.nan, cube)
-        med, std = np.nanmedian(kept, axis=0), np.nanstd(kept, axis=0)
-        std = np.where(std == 0, 1.0, std)
-        new = ((cube - med) / std < -low) | ((cube - med) / std > high)
-        if (new == mask).all():
-            break
-        mask = new
-    return np.nanmean(np.where(mask, np.nan, cube), axis=0)
-
-
 @pytest.fixture(scope="module")
 def cube():
     rng = np.random.default_rng(1)
@@ -66,44 +53,53 @@ def cube():
 
 
 @pytest.mark.parametrize("method,want", [
-    ("median", lambda c: np.nanmedian(c, axis=0)), ("mean", lambda c: np.nanmean(c, axis=0)),
-    ("sigma_clip", numpy_clip)])
-def test_stacks_in_all_forms(spark, cube, method, want, monkeypatch):
+    ("median", lambda c: np.nanmedian(c, axis=0)), ("mean", lambda c: np.nanmean(c, axis=0))])
+def test_stacks_in_both_forms(spark, cube, method, want):
     tiles = frame_rows(spark, list(cube))
     pixels = images.to_pixels(tiles, ("frame_id", "field"))
-    expected = want(cube)
-    shape = cube.shape[1:]
-    assert np.allclose(as_array(images.combine_pixels(pixels, ["field"], method), shape), expected)
-    assert np.allclose(as_array(images.stack_tiles(tiles, ["field"], method), shape), expected)
-    monkeypatch.setattr(images, "TILE_FRAMES", 5)  # deep stacks: the pixel-row path
-    assert np.allclose(as_array(images.stack_tiles(tiles, ["field"], method), shape), expected)
+    for got in (images.combine_pixels(pixels, ["field"], method), images.stack_tiles(tiles, ["field"], method)):
+        assert np.allclose(as_array(got, cube.shape[1:]), want(cube))
+
+
+def stack_of(spark, *columns):
+    """One pixel for each column of values, as frames of one row."""
+    return images.to_pixels(frame_rows(spark, [np.array([f], float) for f in zip(*columns)]), ("frame_id", "field"))
+
 
+def test_sigma_clip_by_hand(spark):
+    nan, steady = np.nan, [10, 12] * 6
+    pixels = stack_of(spark, [*steady, 900], [*steady, nan], [7] * 13, [nan] * 13, [*steady[:-1], 900, -900])
+    got = as_array(images.stack_sigma_clip(pixels, ["field"]), (1, 5))[0]
+    # the outlier goes; bad values count for nothing; equal values stay; no value gives none
+    assert got[0] == 11 and got[1] == 11 and got[2] == 7 and np.isnan(got[3])
+    # 900 and -900 are within three deviations of 10 at first: median 10, deviation about 353
+    assert got[4] == pytest.approx((6 * 10 + 5 * 12) / 13)
 
-def test_sigma_clip_with_bracketed_medians(spark, cube, monkeypatch):
-    from skyops.operators import quantiles
 
-    monkeypatch.setattr(images, "median_by", lambda *a, **k: quantiles.median_by(
-        *a, **{**k, "limit": 1}))
-    pixels = images.to_pixels(frame_rows(spark, list(cube[:, :2, :2])), ("frame_id", "field"))
-    got = images.stack_sigma_clip(pixels, ["field"], rounds=3)
-    assert np.allclose(as_array(got, (2, 2)), numpy_clip(cube[:, :2, :2]))
+def test_a_pixel_whose_values_are_all_clipped_stays(spark):
+    pixels = stack_of(spark, [1, 3], [5, 5])
+    rows = images.stack_sigma_clip(pixels, ["field"], 0.5, 0.5).collect()
+    assert {(r.x, r.v) for r in rows} == {(0, None), (1, 5.0)}
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 501, 4000])
-def test_bracketed_median(spark, n):
+def test_median_of_groups(spark, n):
     rng = np.random.default_rng(n)
     for values in (rng.normal(size=n), rng.integers(0, 3, n).astype(float)):
-        df = spark.createDataFrame([(1, float(v)) for v in values] + [(1, None), (2, 5.0)],
+        df = spark.createDataFrame([(1, float(v)) for v in values] + [(1, None), (2, 5.0), (3, None), (None, 2.0)],
                                    "g int, v double")
-        got = {r.g: r.median for r in bracketed_median(df, ["g"], "v", accuracy=100).collect()}
-        assert got == {1: pytest.approx(np.median(values)), 2: 5.0}
+        for accuracy in (100, 10_000):
+            rows = median_by(df, ["g"], "v", extra={"n": F.count("v")}, accuracy=accuracy).collect()
+            assert {r.g: (r.median, r.n) for r in rows} == {
+                1: (pytest.approx(np.median(values)), n), 2: (5.0, 1), 3: (None, 0), None: (2.0, 1)}
 
 
-def test_median_by_paths_agree(spark):
-    df = spark.range(300).selectExpr("id % 7 AS g", "CAST(id * id % 101 AS DOUBLE) AS v")
-    rows = [sorted(map(str, median_by(df, ["g"], "v", extra={"n": F.count("v")}, limit=limit)
-                       .select("g", "median", "n").collect())) for limit in (1, 10_000)]
-    assert rows[0] == rows[1]
+def test_calibration_by_row_tiles(spark):
+    frames = [np.arange(12.0).reshape(3, 4), np.arange(8.0).reshape(2, 4)]
+    bias = images.to_pixels(frame_rows(spark, [np.full((3, 4), 1.0)])).drop("frame_id")
+    out = images.to_pixels(images.calibrate_tiles(images.row_tiles(frame_rows(spark, frames)), images.tiles_of_rows(bias)))
+    assert np.array_equal(as_array(out.filter("frame_id = 0"), (3, 4)), frames[0] - 1)
+    assert np.array_equal(as_array(out.filter("frame_id = 1"), (2, 4)), frames[1] - 1)
 
 
 def test_crop_to_common_shape(spark):
@@ -167,11 +163,15 @@ def test_image_files(spark, tmp_path):
     assert np.array_equal(got, [[1, np.nan], [np.nan, 4]], equal_nan=True)
 
 
-def test_zscale_ignores_outliers():
+def test_display_limits(spark):
     rng = np.random.default_rng(2)
-    values = np.sort(np.append(rng.normal(100, 1, 990), np.full(10, 1e5)))
-    low, high = images.zscale_limits(values)
-    assert 90 < low < 100 < high < 200
+    frames = [np.append(rng.normal(100, 1, 990), np.full(10, 1e5)).reshape(20, 50), np.full((20, 50), 3.0),
+              np.arange(1000.0).reshape(20, 50), np.array([[1.0, 2.0]])]
+    rows = {r.frame_id: r for r in images.zscale_interval(images.to_pixels(frame_rows(spark, frames))).collect()}
+    assert 90 < rows[0].vmin < 100 < rows[0].vmax < 200  # outliers are left out
+    assert (rows[1].vmin, rows[1].vmax) == (3, 3)
+    assert (rows[2].vmin, rows[2].vmax) == (pytest.approx(0), pytest.approx(999))  # a line keeps its ends
+    assert (rows[3].vmin, rows[3].vmax) == (1, 2)
 
 
 def test_reference_pixel_maps_to_reference_value(spark):
