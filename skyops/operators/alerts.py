@@ -107,9 +107,9 @@ def event_json(tick: str = "ts") -> Column:
         (F.unix_micros(tick) / 1e6).alias("triggered_at"), message().alias("message")))
 
 
-def rule_events(entries: DataFrame, rules: Sequence[dict], keys: Sequence[str] = (),
+def rule_values(entries: DataFrame, rules: Sequence[dict], keys: Sequence[str] = (),
                 ts: str = "ts") -> DataFrame:
-    """Trailing statistics of each rule's own window, joined to the rules, as transitions."""
+    """Trailing statistics of each rule's own window, joined to the rules."""
     spark = entries.sparkSession
     windows = sorted({int(r.get("window_seconds", logs.DEFAULT_WINDOW)) for r in rules})
     out = None
@@ -118,4 +118,10 @@ def rule_events(entries: DataFrame, rules: Sequence[dict], keys: Sequence[str] =
         stats = logs.trailing_stats(entries, keys, w, ts)
         part = evaluate(stats, rules_frame(spark, mine), [*keys, ts])
         out = part if out is None else out.unionByName(part)
-    return transitions(out, keys, ts)
+    return out
+
+
+def rule_events(entries: DataFrame, rules: Sequence[dict], keys: Sequence[str] = (),
+                ts: str = "ts") -> DataFrame:
+    """``rule_values`` as transitions."""
+    return transitions(rule_values(entries, rules, keys, ts), keys, ts)

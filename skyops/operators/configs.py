@@ -94,10 +94,18 @@ def resolve(nodes: DataFrame, parents: DataFrame) -> tuple[DataFrame, DataFrame]
 # -- diff --------------------------------------------------------------------------------
 
 def canonical(kind: Column, value: Column) -> Column:
-    """Text that is equal exactly for equal scalars: 1, 1.0 and true are one value."""
-    number = F.when(value == "true", 1.0).when(value == "false", 0.0).otherwise(
-        F.when(~value.startswith('"'), value.try_cast("double")))
-    return F.when(kind == "scalar", F.coalesce(number.cast("string"), value)).otherwise(value)
+    """Text that is equal exactly for equal scalars: 1, 1.0 and true are one value.
+
+    Integers are compared digit by digit, whatever their length; only numbers with a fraction or
+    an exponent go through a double.
+    """
+    whole = F.regexp_replace(F.regexp_replace(value, "^(-?)0+(?=[0-9])", "$1"), "^-0$", "0")
+    double = F.when(~value.startswith('"'), value.try_cast("double"))
+    number = (F.when(value == "true", "1").when(value == "false", "0")
+              .when(value.rlike("^-?[0-9]+$"), whole)
+              .when((double % 1 == 0) & (F.abs(double) < 1e37), double.try_cast("decimal(38,0)").cast("string"))
+              .otherwise(double.cast("string")))
+    return F.when(kind == "scalar", F.coalesce(number, value)).otherwise(value)
 
 
 def diff(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyops.functions import sky
+from skyops.session import cut_lineage
 
 # Header keywords of an observation, in order, and the catalog entry fields.
 OBSERVATION_KEYWORDS = ("OBJECT", "RA", "DEC", "FILTER", "EXPTIME", "DATE-OBS", "INSTRUME",
@@ -120,6 +121,18 @@ def sort_by_date(entries: DataFrame) -> DataFrame:
     return entries.orderBy(F.coalesce("date_obs", F.lit("")), "filename")
 
 
+def with_position(ordered: DataFrame) -> DataFrame:
+    """Add the 1-based place of each row of a sorted table, counted by partition: no task sees all rows."""
+    rows = cut_lineage(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))  # a row for each partition
+    within = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.withColumn("_part", part).join(starts, "_part").withColumn(
+        "position", F.col("_start") + within + 1).drop("_id", "_part", "_start")
+
+
 def write_catalog(entries: DataFrame, path: str, fmt: str = "csv") -> None:
     """The sorted catalog as CSV with header or as JSON lines with null keys kept."""
     rows = sort_by_date(entries.select(*CATALOG_FIELDS))

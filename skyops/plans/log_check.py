@@ -14,11 +14,12 @@ def log_check(lines: DataFrame, rules: Sequence[dict], as_of: Column,
               parser=None) -> DataFrame:
     """Breached rules over the window that ends at ``as_of``; an empty result means healthy.
 
-    Each rule looks at its own window. An empty window has zero counts and rates, so
+    Each rule looks at its own window; later entries do not count. An empty window has zero counts and rates, so
     "less than" rules can fire on silence.
     """
     spark = lines.sparkSession
     entries = logs.parse(lines, parser, as_of=as_of)
+    entries = entries.where(F.col("ts") <= as_of)
     out = None
     for w in sorted({int(r.get("window_seconds", logs.DEFAULT_WINDOW)) for r in rules}):
         mine = [r for r in rules if int(r.get("window_seconds", logs.DEFAULT_WINDOW)) == w]

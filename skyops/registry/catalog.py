@@ -345,17 +345,17 @@ def _stored_slice(spark, sf, cond):
 
 @query("sink_upsert", f"""WITH raw AS ({RAW_SQL})
 SELECT 'obj ' || row_ord AS pl_name, trim(hostname) AS hostname,
-  CASE WHEN row_ord % 3 = 0 THEN mass2 ELSE pl_bmasse END AS mass_earth,
-  CASE WHEN row_ord % 3 = 0 THEN 'run-2' ELSE 'run-1' END AS run_id,
+  CASE WHEN again THEN mass2 ELSE pl_bmasse END AS mass_earth,
+  CASE WHEN again THEN 'run-2' ELSE 'run-1' END AS run_id,
   CASE WHEN row_ord % 2 = 0 THEN '2024-01-01' ELSE '2024-02-01' END AS ingested_on,
-  CASE WHEN row_ord % 3 = 0 THEN '2024-02-01' ELSE '2024-01-01' END AS updated_on
-FROM (SELECT *, CASE WHEN row_ord % 9 = 0 THEN NULL ELSE pl_bmasse * 2 END AS mass2 FROM raw)
-WHERE row_ord % 2 = 0 OR row_ord % 3 = 0""")
+  CASE WHEN again THEN '2024-02-01' ELSE '2024-01-01' END AS updated_on
+FROM (SELECT *, CASE WHEN row_ord % 9 = 0 THEN NULL ELSE pl_bmasse * 2 END AS mass2,
+  row_ord % 3 = 0 OR row_ord % 2 = 1 AS again FROM raw)""")
 def _(spark, sf):
     path = scratch_dir(spark, "catalog")
     first = upsert.stamp(_stored_slice(spark, sf, "row_ord % 2 = 0"), "run-1",
                          F.lit(_T0).cast("timestamp"))
-    second = _stored_slice(spark, sf, "row_ord % 3 = 0").withColumn(
+    second = _stored_slice(spark, sf, "row_ord % 3 = 0 OR row_ord % 2 = 1").withColumn(
         "mass_earth", F.when(F.split_part("pl_name", F.lit(" "), F.lit(2)).cast("long") % 9 != 0,
                              F.col("mass_earth") * 2))
     upsert.write_upsert(first, path, 1)

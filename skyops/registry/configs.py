@@ -340,6 +340,7 @@ def _(spark, sf):
 
 # -- inventory ----------------------------------------------------------------------------------
 
+#: the columns that the reference SQL names
 _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
@@ -397,7 +398,9 @@ def _(spark, sf):
     f"coalesce(max(version) FILTER (env = '{s}'), '-') AS \"{s}\"" for s in _SEGMENTS)
     + ", package IN (SELECT package FROM dr) AS drift FROM m GROUP BY 1")
 def _(spark, sf):
-    return configs.inventory_report(_matrix(spark, sf), _envs(spark, sf), _SEGMENTS)
+    envs = _envs(spark, sf)
+    names = [r["env"] for r in envs.orderBy("env").collect()]  # they become columns
+    return configs.inventory_report(_matrix(spark, sf), envs, names)
 
 
 # -- secrets --------------------------------------------------------------------------------------

@@ -554,15 +554,10 @@ def _(spark, sf):
 
 
 @query("sort_catalog_date", f"""WITH {_ENTRY_SQL} SELECT filename, date_obs,
-  row_number() OVER (ORDER BY coalesce(date_obs, ''), filename) AS position FROM en
-  ORDER BY position LIMIT 50""")
+  row_number() OVER (ORDER BY coalesce(date_obs, ''), filename) AS position FROM en""")
 def _(spark, sf):
-    from pyspark.sql import Window
-
-    top = sky.sort_by_date(sky.catalog_entries(cards(spark, sf))).limit(50)
-    order = Window.orderBy(F.coalesce("date_obs", F.lit("")), "filename")
-    return top.select("filename", "date_obs", F.row_number().over(order).cast("long")
-                      .alias("position"))
+    entries = sky.catalog_entries(cards(spark, sf)).select("filename", "date_obs")
+    return sky.with_position(sky.sort_by_date(entries))
 
 
 @query("sink_image_catalog", f"WITH {_ENTRY_SQL} SELECT filename, object, ra_deg, dec_deg, "

@@ -278,12 +278,9 @@ def _events(spark, sf):
     return alerts.rule_events(b.logs(spark, sf), b.RULES)
 
 
-@query("join_rules", f"""WITH {_EVAL} SELECT name, us, round(value, 9) AS value, breached FROM ev
-  WHERE name IN ('high_error_rate', 'low_throughput', 'exactly_three')""")
+@query("join_rules", f"""WITH {_EVAL} SELECT name, us, round(value, 9) AS value, breached FROM ev""")
 def _(spark, sf):
-    stats = logs.trailing_stats(b.logs(spark, sf), (), 3600)
-    rules = alerts.rules_frame(spark, [r for r in b.RULES if r["window_seconds"] == 3600])
-    return alerts.evaluate(stats, rules, ["ts"]).select(
+    return alerts.rule_values(b.logs(spark, sf), b.RULES).select(
         "name", F.unix_micros("ts").alias("us"), F.round("value", 9).alias("value"), "breached")
 
 
@@ -369,7 +366,7 @@ _CHECK_RULES = [
 
 @query("pipe_log_check", f"""WITH {_AUTO.replace(str(_AS_OF_US), '1705320000000000')},
 s AS (SELECT {_COUNTS}, min(us) AS start_us, max(us) AS us FROM auto
-  WHERE us >= 1705320000000000 - 864000000000), r AS (SELECT *, {_RATES} FROM s)
+  WHERE us BETWEEN 1705320000000000 - 864000000000 AND 1705320000000000), r AS (SELECT *, {_RATES} FROM s)
 SELECT 'any_errors' AS name, round(CAST(error_count AS DOUBLE), 9) AS value FROM r
   WHERE error_count >= 1
 UNION ALL SELECT 'quiet', round(throughput, 9) FROM r WHERE throughput < 0.5

@@ -125,12 +125,15 @@ def _(spark, sf):
 
 
 @query("pipe_log_watch", f"""WITH {_WINDOWS.format(keys='')},
-ev AS (SELECT start_us + {_N * 1000000} AS us, total_entries >= 18 AS breached, total_entries
-  FROM closed)
-SELECT 'busy' AS alert, CASE WHEN breached THEN 'firing' ELSE 'resolved' END AS state,
-  printf('[%s] WARNING: busy — total_entries is %.4f (threshold: >= 18.0)',
-    CASE WHEN breached THEN 'FIRING' ELSE 'RESOLVED' END, CAST(total_entries AS DOUBLE)) AS message,
-  us FROM (SELECT *, lag(breached, 1, false) OVER (ORDER BY us) AS was FROM ev)
+ev AS (SELECT 'busy' AS alert, 'WARNING: busy — total_entries is' AS what, '>= 18.0' AS bound,
+    start_us + {_N * 1000000} AS us, CAST(total_entries AS DOUBLE) AS value, total_entries >= 18 AS breached
+  FROM closed
+  UNION ALL SELECT 'high_error_rate', 'CRITICAL: high_error_rate — error_rate is', '> 0.5',
+    start_us + {_N * 1000000}, (error_count + critical_count) / total_entries,
+    (error_count + critical_count) / total_entries > 0.5 FROM closed)
+SELECT alert, CASE WHEN breached THEN 'firing' ELSE 'resolved' END AS state,
+  printf('[%s] %s %.4f (threshold: %s)', CASE WHEN breached THEN 'FIRING' ELSE 'RESOLVED' END, what, value, bound) AS message,
+  us FROM (SELECT *, lag(breached, 1, false) OVER (PARTITION BY alert ORDER BY us) AS was FROM ev)
 WHERE breached <> was""")
 def _(spark, sf):
     """Log lines on files -> entries -> statistics -> rules -> alert lines, continuously."""
@@ -141,7 +144,7 @@ def _(spark, sf):
     lines.write.text(f"{path}/log")
     entries = logs.parse(log_source.stream_lines(spark, f"{path}/log"),
                          as_of=F.lit(_AS_OF).cast("timestamp"))
-    events = st_alerts.watch(entries, _RULES[1:], None, _N, _SLIDE, f"{_DELAY} seconds")
+    events = st_alerts.watch(entries, _RULES, None, _N, _SLIDE, f"{_DELAY} seconds")
     text = events.select(alerts.event_json("ts").alias("value"))
     run.to_files(text, f"{path}/alerts", f"{path}/checkpoint", "text").awaitTermination()
     back = spark.read.schema("alert string, state string, message string, triggered_at double")

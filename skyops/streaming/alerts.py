@@ -33,9 +33,9 @@ class Transitions(StatefulProcessor):
         changed = hit != was
         if changed.any():
             self._firing.update((bool(hit[-1]),))
-        out = ticks[changed].copy()
-        out["state"] = ["firing" if h else "resolved" for h in hit[changed]]
-        yield out[_COLUMNS]
+            out = ticks[changed].copy()
+            out["state"] = ["firing" if h else "resolved" for h in hit[changed]]
+            yield out[_COLUMNS]
 
     def close(self) -> None:
         pass
@@ -53,12 +53,19 @@ def transitions(evaluated: DataFrame) -> DataFrame:
 def watch(entries: DataFrame, rules: Sequence[dict], stream_key: str | None = None,
           window_seconds: int = 300, slide_seconds: int = 60,
           delay: str = "10 minutes") -> DataFrame:
-    """Entries to alert events: sliding statistics, rules, transitions."""
+    """Entries to alert events: sliding statistics, rules, transitions.
+
+    Each rule looks at its own ``window_seconds``; ``window_seconds`` here is for rules without one.
+    """
     spark = entries.sparkSession
     run.use_rocksdb(spark)
     key = F.lit("") if stream_key is None else F.col(stream_key).cast("string")
     rows = entries.withColumn("stream", key)
-    stats = sliding_stats(rows, ["stream"], window_seconds, slide_seconds, delay)
-    ticked = stats.withColumn("ts", F.col("window.end"))
-    evaluated = alerts.evaluate(ticked, alerts.rules_frame(spark, rules), ["stream", "ts"])
+    evaluated = None
+    for w in sorted({int(r.get("window_seconds", window_seconds)) for r in rules}):
+        mine = [r for r in rules if int(r.get("window_seconds", window_seconds)) == w]
+        stats = sliding_stats(rows, ["stream"], w, min(w, slide_seconds), delay)
+        ticked = stats.withColumn("ts", F.col("window.end"))
+        part = alerts.evaluate(ticked, alerts.rules_frame(spark, mine), ["stream", "ts"])
+        evaluated = part if evaluated is None else evaluated.unionByName(part)
     return transitions(evaluated)

@@ -160,3 +160,15 @@ def test_snapshots(spark, tmp_path):
     (tmp_path / "s2.yaml").write_text("")
     got = {tuple(r) for r in source.read_snapshots(spark, str(tmp_path)).collect()}
     assert got == {("s1", "h", "a", "1.0", "apt"), ("s1", "h", "b", "2", "pip")}
+
+
+def test_long_integers_are_compared_by_digits(spark):
+    from pyspark.sql import functions as F
+
+    from skyops.operators import configs
+
+    pairs = [("9007199254740993", "9007199254740992", False), ("1", "1.0", True), ("true", "1", True), ("-0", "0", True),
+             ("0.10", "0.1", True), ("100000000000000000000", "1e20", True), ('"1"', "1", False), ("007", "7", True)]
+    df = spark.createDataFrame(pairs, "a string, b string, same boolean")
+    got = df.select((configs.canonical(F.lit("scalar"), F.col("a")) == configs.canonical(F.lit("scalar"), F.col("b"))).alias("s"), "same")
+    assert all(r.s == r.same for r in got.collect())

@@ -117,3 +117,33 @@ def test_empty_report_is_ok(spark):
     assert df.agg(health.worst(F.col("s"))).first()[0] == "ERROR"
     assert df.limit(0).agg(health.worst(F.col("s"))).first()[0] == "OK"
     assert (health.cpu_critical(80), health.cpu_critical(90), health.steep_critical(80)) == (95, 95, 95)
+
+
+def test_log_check_ignores_what_comes_later(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from skyops.plans.log_check import log_check
+
+    lines = spark.createDataFrame([('{"timestamp": "2030-01-01T00:00:00Z", "level": "ERROR", "message": "late"}',)], "value string")
+    rules = [{"name": "any", "metric": "error_count", "operator": ">=", "threshold": 1}]
+    assert log_check(lines, rules, F.lit(dt.datetime(2025, 1, 1)).cast("timestamp")).collect() == []
+    assert len(log_check(lines, rules, F.lit(dt.datetime(2030, 1, 1, 0, 1)).cast("timestamp")).collect()) == 1
+
+
+def test_rules_of_a_stream_have_their_own_windows(spark, tmp_path):
+    import datetime as dt
+
+    from skyops.streaming import alerts, run
+
+    start = dt.datetime(2024, 1, 1)
+    rows = [(start + dt.timedelta(seconds=20 * k), "INFO", "a", "m") for k in range(60)]
+    spark.createDataFrame(rows, "ts timestamp, level string, logger string, message string").write.parquet(str(tmp_path / "in"))
+    entries = spark.readStream.schema("ts timestamp, level string, logger string, message string").parquet(str(tmp_path / "in"))
+    rules = [{"name": "short", "metric": "total_entries", "operator": ">=", "threshold": 10, "window_seconds": 60},
+             {"name": "long", "metric": "total_entries", "operator": ">=", "threshold": 10, "window_seconds": 300}]
+    events = alerts.watch(entries, rules, None, 120, 60, "0 seconds")
+    run.to_files(events, str(tmp_path / "out"), str(tmp_path / "check"), "parquet").awaitTermination()
+    fired = {r.name for r in spark.read.schema(alerts.EVENTS).parquet(str(tmp_path / "out")).collect()}
+    assert fired == {"long"}  # a minute holds three entries, five minutes hold fifteen
