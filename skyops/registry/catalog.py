@@ -410,7 +410,7 @@ def _(spark, sf):
     path = scratch_dir(spark, "runs")
     runs = _runs(spark, sf)
     for status in ("success", "failed", "dry_run"):
-        runs.filter(F.col("status") == status).write.mode("append").parquet(path)
+        audit.append_runs(runs.filter(F.col("status") == status), path)
     return spark.read.schema(RUNS).parquet(path).groupBy("status").agg(
         F.count(F.lit(1)).alias("runs"), F.sum("records_loaded").alias("loaded"))
 

@@ -170,23 +170,28 @@ def _(spark, sf):
     return entries.select("level", "logger", "message", _pairs("context").alias("context"))
 
 
-@query("src_alert_rules", "\nUNION ALL ".join(
-    f"SELECT '{r['name']}' AS name, '{r['metric']}' AS metric, '{r['operator']}' AS operator, "
-    f"CAST({r['threshold']} AS DOUBLE) AS threshold, {r.get('window_seconds', 300)} "
-    f"AS window_seconds, '{r.get('severity', 'warning')}' AS severity, "
-    f"'{','.join(r.get('channels', ['stdout']))}' AS channels, "
-    f"(SELECT count(*) FROM events) AS events" for r in b.RULES))
+@query("src_alert_rules", """SELECT p_name || ' ' || p_partkey AS name,
+  list_extract(['total_entries', 'error_count', 'warning_count', 'error_rate', 'throughput'],
+    CAST(p_partkey % 5 + 1 AS INTEGER)) AS metric,
+  list_extract(['>', '<', '>=', '<=', '=='], CAST(p_size % 5 + 1 AS INTEGER)) AS operator,
+  p_retailprice AS threshold, CAST(CASE WHEN p_partkey % 4 = 0 THEN 300 ELSE p_size * 60 END AS INTEGER) AS window_seconds,
+  CASE WHEN p_partkey % 3 = 0 THEN 'warning' WHEN p_partkey % 3 = 1 THEN 'info' ELSE 'critical' END AS severity,
+  CASE WHEN p_partkey % 7 = 0 THEN 'stdout' ELSE 'file,' || p_brand END AS channels FROM part""")
 def _(spark, sf):
-    import json
-
+    """A rule for each part, some without the fields that have defaults, written and read as files."""
     path = scratch_dir(spark, "rules")
-    events = b.events(spark, sf).agg(F.count(F.lit(1)).alias("events"))
-    lines = [(json.dumps(r),) for r in b.RULES]
-    spark.createDataFrame(lines, "value string").write.text(path)
-    rules = source.read_alert_rules(spark, path)
-    return rules.select("name", "metric", "operator", "threshold", "window_seconds", "severity",
-                        F.concat_ws(",", "channels").alias("channels"),
-                        events.scalar().alias("events"))
+    pick = lambda names, at: F.array(*[F.lit(n) for n in names])[(F.col(at) % 5).cast("int")]
+    key = F.col("p_partkey")
+    rules = b.table(spark, sf, "part").select(
+        F.concat_ws(" ", "p_name", key.cast("string")).alias("name"),
+        pick(alerts.METRICS, "p_partkey").alias("metric"), pick((">", "<", ">=", "<=", "=="), "p_size").alias("operator"),
+        F.col("p_retailprice").alias("threshold"),
+        F.when(key % 4 != 0, F.col("p_size") * 60).alias("window_seconds"),
+        F.when(key % 3 == 1, "info").when(key % 3 == 2, "critical").alias("severity"),
+        F.when(key % 7 != 0, F.array(F.lit("file"), "p_brand")).alias("channels"))
+    rules.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+    return source.read_alert_rules(spark, path).select(
+        "name", "metric", "operator", "threshold", "window_seconds", "severity", F.concat_ws(",", "channels").alias("channels"))
 
 
 # -- counts and rates -----------------------------------------------------------------

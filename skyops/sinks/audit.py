@@ -13,8 +13,12 @@ def run_row(spark: SparkSession, run: dict) -> DataFrame:
     return spark.createDataFrame([tuple(run.get(c) for c in columns)], RUNS)
 
 
+def append_runs(runs: DataFrame, table: str) -> None:
+    runs.select(*[c.split()[0] for c in RUNS.split(", ")]).write.mode("append").parquet(table)
+
+
 def append_run(spark: SparkSession, run: dict, table: str) -> None:
-    run_row(spark, run).coalesce(1).write.mode("append").parquet(table)
+    append_runs(run_row(spark, run).coalesce(1), table)
 
 
 def recent_runs(runs: DataFrame, count: int = 10) -> DataFrame:
