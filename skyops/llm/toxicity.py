@@ -8,8 +8,8 @@ the id), with the intercept set to the share of the class among all labels. Trai
 driver and gives one number for each n-gram bucket, which is all that scoring needs.
 
 Cases: null and empty texts, and texts without a letter or digit, get the score of the intercept
-alone; labels that are null, not 0 or 1, or of ids without text are not used; with no usable labels
-of one class every score is the share of label 1 (0 without labels); rows with equal ids or texts
+alone; labels that are null, not 0 or 1, or of ids without text are not used; if the texts to learn from
+are of one class every score is next to that class, and next to 0 if there are none; rows with equal ids or texts
 are scored each; a very long text is scored whole; ``df`` keeps its other columns.
 """
 
@@ -86,7 +86,7 @@ def train(texts: list[str], labels: list[int], share: float, seed: int = 7) -> M
     """Fit vectors and softmax jointly; ``share`` is how common label 1 is among all labels."""
     ones = sum(labels)
     if not ones or ones == len(labels):
-        return Model(np.zeros(BUCKETS, np.float32), _log_odds(share))
+        return Model(np.zeros(BUCKETS, np.float32), _log_odds(float(ones > 0)))
     rng = np.random.default_rng(seed)
     bags = _bags(texts)
     vectors = np.zeros((BUCKETS, WIDTH), np.float32)  # so n-grams never seen weigh nothing
