@@ -11,7 +11,7 @@ parts, a pair of parts at a time. No link between items of a group is lost at an
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -97,9 +97,36 @@ def _compare(ids: list[int], sets: list[np.ndarray], search: Search, similarity:
     return ids, found
 
 
-def _items(table: pa.Table, to_set: Callable) -> dict[int, np.ndarray]:
+def by_key(rows: DataFrame, keys: list[str], values: list[str], fn: Callable, schema: str, batch: Callable) -> DataFrame:
+    """``fn(key, {value: list})`` for the rows of each key, as ``batch(rows)`` of what it returns.
+
+    The rows are dealt and sorted by key and stream through the tasks, so that a hundred thousand
+    small groups cost no call each; a task holds one group at a time.
+    """
+    def run(batches):
+        key, held, out = None, {v: [] for v in values}, []
+        for b in batches:
+            columns = [b.column(v).to_pylist() for v in values]
+            for k, *row in zip(zip(*(b.column(k).to_pylist() for k in keys), strict=True), *columns, strict=True):
+                if k != key:
+                    if key is not None:
+                        out += fn(key, held)
+                    key, held = k, {v: [] for v in values}
+                for v, x in zip(values, row, strict=True):
+                    held[v].append(x)
+            if out:
+                yield batch(out)
+                out = []
+        if key is not None and (out := fn(key, held)):
+            yield batch(out)
+
+    dealt = rows.select(*keys, *values).repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(run, schema)
+
+
+def _items(held: dict[str, list], to_set: Callable) -> dict[int, np.ndarray]:
     out: dict[int, np.ndarray] = {}
-    for i, t in zip(table["id"].to_pylist(), table["text"].to_pylist(), strict=True):
+    for i, t in zip(held["id"], held["text"], strict=True):
         if i not in out:
             out[i] = to_set(t)
     return out
@@ -112,9 +139,9 @@ def links(members: DataFrame, texts: DataFrame, to_set: Callable, similarity: fl
     ``members``: of ``in_parts``; ``texts`` (id, text): each id at least once, where any row of an id
     does. ``search`` calls ``linked(i, j)`` for the pairs of a part that may be similar.
     """
-    def of_part(key, table):
-        leader, parts, part = (k.as_py() for k in key)
-        sets = _items(table, to_set)
+    def of_part(key, held):
+        leader, parts, part = key
+        sets = _items(held, to_set)
         ids, found = _compare(list(sets), list(sets.values()), search, similarity)
         low = {}
         for i, c in zip(ids, found.of.tolist(), strict=True):
@@ -124,10 +151,10 @@ def links(members: DataFrame, texts: DataFrame, to_set: Callable, similarity: fl
             own = found.of[ids.index(leader)]
             rows += [(leader, part, i, None, 1 - jaccard(sets[i], sets[leader]), bool(c != own))
                      for i, c in zip(ids, found.of, strict=True) if i != leader]
-        return _table(rows)
+        return rows
 
     rows = members.join(texts, "id")
-    seen = cut_lineage(rows.groupBy("leader", "parts", "part").applyInArrow(of_part, _FOUND))
+    seen = cut_lineage(by_key(rows, ["leader", "parts", "part"], ["id", "text"], of_part, _FOUND, _batch))
     out = seen.where("b is not null").select("a", "b")
     far = seen.where("distance is not null").select("leader", "part", F.col("a").alias("id"), "distance", "open")
     if far.where("open").isEmpty():
@@ -146,18 +173,17 @@ def _across(left: DataFrame, texts: DataFrame, to_set: Callable, similarity: flo
     blocks = pairs.select("leader", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
     rows = left.join(blocks.where("x < y").distinct(), ["leader", "part"]).join(texts, "id")
 
-    def of_block(key, table):
-        sets = _items(table, to_set)
+    def of_block(key, held):
+        sets = _items(held, to_set)
         ids, found = _compare(list(sets), list(sets.values()), search, similarity)
         low: dict[int, int] = {}
-        return _table([(key[0].as_py(), None, i, low[c], None, None) for i, c in zip(ids, found.of.tolist(), strict=True)
-                       if low.setdefault(c, i) != i])
+        return [(key[0], None, i, low[c], None, None) for i, c in zip(ids, found.of.tolist(), strict=True)
+                if low.setdefault(c, i) != i]
 
-    return rows.groupBy("leader", "x", "y").applyInArrow(of_block, _FOUND).select("a", "b")
+    return by_key(rows, ["leader", "x", "y"], ["id", "text"], of_block, _FOUND, _batch).select("a", "b")
 
 
-def _table(rows: list[tuple]) -> pa.Table:
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int64()] * 4 + [pa.float64(), pa.bool_()]
-    names = ["leader", "part", "a", "b", "distance", "open"]
-    columns: Iterator = zip(*rows, strict=True) if rows else ([] for _ in names)
-    return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
+    return pa.record_batch([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                           names=["leader", "part", "a", "b", "distance", "open"])

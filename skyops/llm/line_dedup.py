@@ -76,7 +76,7 @@ def bands(lines: list[str]) -> np.ndarray:
 def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, line_no, id, line): ``id`` is a 64-bit hash of the trimmed, lower-cased line; null if blank."""
     lines = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw"))
-    line = F.lower(F.regexp_replace("raw", r"^\s+|\s+$", ""))
+    line = F.lower(F.btrim("raw", F.lit(" \t\n\v\f\r")))
     lines = lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), line.alias("line"))
     return lines.withColumn("id", F.when(F.col("line") != "", F.xxhash64("line")))
 

@@ -25,7 +25,7 @@ from skyops.llm.batches import append
 from skyops.llm.pieces import Memory, Vocabulary, load, merge, splitter
 
 #: Chunks and pairs of pieces that a task remembers, in each of two generations.
-REMEMBERED = 200_000
+REMEMBERED, PAIRS = 100_000, 50_000
 
 
 class Encoder:
@@ -52,7 +52,7 @@ class Encoder:
             return merge(left + right, vocab.ranks) == [left, right]
 
         #: whether two pieces stay apart when their string is merged again
-        self.fits = Memory(apart, REMEMBERED)
+        self.fits = Memory(apart, PAIRS)
 
     def known_ids(self, text: str) -> list[int]:
         """The ids of a text of known characters."""
