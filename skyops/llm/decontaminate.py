@@ -6,8 +6,9 @@ length. Items stand in blocks of ``BLOCK``, and the index knows the largest impa
 each block. Every training text is cut into passages that overlap by half and are twice as long as
 the longest item, so that each copy of an item lies whole in one of them. Each passage is a query:
 blocks whose largest impacts cannot reach the threshold are left out, the rest is searched item by
-item with the WAND pivot. All items at or above the threshold are then verified: question and
-answer must each be covered by 5-word windows of the text around the passage.
+item with the WAND pivot. All items at or above the threshold are then verified by 5-word windows
+of the passage: they must cover question and answer each, or the whole item. An answer of fewer
+than five words is also there if its words stand beside the question.
 
 Words are runs of letters and digits, lower-cased. Items are indexed in shards of bounded size with
 statistics of their own, one pass over the texts for each shard.
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75
 BLOCK = 4
-#: Score from which an item is retrieved, and share of windows of question and answer that must be there.
+#: Score from which an item is retrieved, and share of windows of question and answer, or of both together, that must be there.
 THRESHOLD, OVERLAP = 0.7, 0.8
 WINDOW = 5
 #: Words of items in one shard of the index.
@@ -63,6 +64,7 @@ class Index:
         self.items = items
         self.longest = max(len(q) + len(a) for _, q, a in items)
         self.parts = [(windows(q), windows(a)) for _, q, a in items]
+        self.wholes = [windows(q + a) for _, q, a in items]
         self.terms: dict[str, int] = {}
         self.postings: list[list[tuple[int, float]]] = []  # of a term: (item, impact), items ascending
         for k, (_, q, a) in enumerate(items):
@@ -161,17 +163,35 @@ class Index:
         step = self.longest
         for passage, item, score in self.retrieve(words, threshold):
             first, last = passage * step, min((passage + 2) * step, len(words))
-            there = windows(words[first:last]) if len(words[first:last]) >= WINDOW else set()
-            shares = []
-            for part in self.parts[item]:
-                short = {w for w in part if len(w) < WINDOW}
-                found = len(part & there) + sum(_holds(words[first:last], w) for w in short)
-                shares.append(found / len(part) if part else None)
-            if all(s is None or s >= overlap - 1e-9 for s in shares) and (item not in best or score > best[item][0]):
-                best[item] = (score, *(1.0 if s is None else s for s in shares), first, last - 1)
+            near = words[first:last]
+            there = windows(near) if len(near) >= WINDOW else set()
+            question, answer = (_share(part, near, there) for part in self.parts[item])
+            if answer is not None and answer < overlap and len(self.items[item][2]) < WINDOW:
+                answer = max(answer, _beside(near, self.parts[item][0], self.items[item][2]))
+            both = all(s is None or s >= overlap - 1e-9 for s in (question, answer))
+            if (both or _share(self.wholes[item], near, there) >= overlap - 1e-9) and (item not in best or score > best[item][0]):
+                best[item] = (score, *(1.0 if s is None else s for s in (question, answer)), first, last - 1)
         return [(self.items[k][0], *best[k]) for k in sorted(best, key=lambda k: self.items[k][0])]
 
 
+def _share(part: set[tuple[str, ...]], words: list[str], there: set[tuple[str, ...]]) -> float | None:
+    """The share of the windows of a part of an item that the words hold; of no windows, none."""
+    short = {w for w in part if len(w) < WINDOW}
+    return (len(part & there) + sum(_holds(words, w) for w in short)) / len(part) if part else None
+
+
+def _beside(words: list[str], question: set[tuple[str, ...]], answer: list[str]) -> float:
+    """The share of the answer's words that stand within a window and its length of the question, not in it."""
+    taken, reach = np.zeros(len(words), bool), np.zeros(len(words), bool)
+    for n in {len(w) for w in question}:
+        for k in range(len(words) - n + 1):
+            if tuple(words[k : k + n]) in question:
+                taken[k : k + n] = True
+                reach[max(0, k - WINDOW - len(answer)) : k + n + WINDOW + len(answer)] = True
+    left = Counter(words[k] for k in np.flatnonzero(reach & ~taken))
+    return (left & Counter(answer)).total() / len(answer)
+
+
 def _holds(words: list[str], run: tuple[str, ...]) -> bool:
     n = len(run)
     return any(tuple(words[k : k + n]) == run for k in range(len(words) - n + 1))

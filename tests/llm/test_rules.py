@@ -45,6 +45,19 @@ def test_planted_items_are_found_and_others_left(spark, docs_of):
     assert all(r.score >= 0.7 and r.question_overlap >= 0.8 and r.answer_overlap >= 0.8 for r in got)
 
 
+def test_nearly_whole_items_with_short_answers_are_found():
+    q = [f"q{k}" for k in range(26)]
+    items = [(0, q, ["so", "it", "was"]), (1, [f"r{k}" for k in range(8)], ["yes", "indeed"]),
+             (2, [f"s{k}" for k in range(26)], [f"a{k}" for k in range(6)]), (3, [f"t{k}" for k in range(10)], [f"b{k}" for k in range(10)])]
+    index = decontaminate.Index(items)
+    found = lambda words: [r[0] for r in index.verified(["x"] * 70 + words + ["y"] * 70, 0.7, 0.8)]
+    assert found([*q, "so", "it", "is"]) == found([*q, "so", "is", "was"]) == [0]  # one word of the answer changed
+    assert found(q) == [0] and found(q[:13] + ["z"] + q[13:18]) == []  # 22 of 25 windows of the whole, and too few
+    assert found([*items[1][1], "said", "indeed", "yes"]) == [1]  # the answer's words beside the question
+    assert found([*items[2][1], *items[2][2][:3], "z", *items[2][2][4:]]) == [2]
+    assert found(items[2][2]) == found(items[3][1]) == []
+
+
 def test_shards_find_the_same(spark, docs_of, monkeypatch):
     items = [(k, " ".join(f"q{k}x{j}" for j in range(20)) + ". " + f"end of {k} it is") for k in range(20)]
     table = decontaminate.with_answers(spark.createDataFrame(items, "item_id long, text string"))
