@@ -4,9 +4,12 @@ The standard library's parser streams a page's events. Text between block-level
 with its number of tags and the elements it lies in; lines inside menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments (by element, role, class or id) have no text of their
 own in the ratios. The ratios of text to tags are smoothed by a Gaussian over the lines, and lines
-at or above one standard deviation are content. The content region is the innermost element that
-holds most of that text; all its lines are taken but those of the kinds above and bare link lists,
-so that short paragraphs of an article stay.
+at or above one standard deviation are content. From the innermost element that holds most of that
+text the region is widened to the article around it, else to the main element, else as far as no
+line of those kinds and no list of links stands beside it; text that stands directly in an element
+around that, up to the main element, is part of it. All its lines are taken but those of the kinds
+above and lists of two or more links outside the prose, so that headings, leads, short paragraphs and
+references of an article stay.
 
 Cases: null and empty pages, and pages without content, give an empty text; broken markup is read
 as far as it makes sense (an open paragraph ends at the next, unknown end tags are ignored, what is
@@ -55,28 +58,32 @@ _ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset",
 _SCOPE = {"ul", "ol", "dl", "table", "div", "section", "article", "main", "body", "td", "th", "blockquote", "aside",
           "nav", "header", "footer", "form", "figure"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements that a text stands in without being set apart from what is around them.
+_PROSE = _HEADINGS | {"p", "ul", "ol", "li", "dl", "dt", "dd", "blockquote", "pre", "figure", "figcaption", "address"}
 _TOKEN = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Lines(HTMLParser):
-    """The lines of a page: text, tags, characters in links, elements around them, whether aside."""
+    """The lines of a page: text, tags, characters in links, elements around them, whether aside, links."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, int, tuple[int, ...], bool, int]] = []
         self.open: list[tuple[str, int, bool]] = []  # name, number, whether it is aside
         self.made = 0
+        self.names: dict[int, str] = {}
         self.silent: list[str] = []
-        self.links = self.tags = self.linked = 0
+        self.links = self.tags = self.linked = self.anchors = 0
         self.parts: list[str] = []
 
     def _flush(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, min(self.linked, len(text)), tuple(n for _, n, _ in self.open), self._aside()))
+            self.lines.append((text, self.tags, min(self.linked, len(text)), tuple(n for _, n, _ in self.open), self._aside(),
+                               self.anchors))
             self.tags = 0
-        self.parts, self.linked = [], 0
+        self.parts, self.linked, self.anchors = [], 0, int(self.links > 0)
 
     def _aside(self) -> bool:
         return any(aside for _, _, aside in self.open)
@@ -116,6 +123,7 @@ class Lines(HTMLParser):
                 self.parts.append(" ")
             elif tag == "a":
                 self.links += 1
+                self.anchors += 1
             return
         self._flush()
         if tag in _ENDS_P:
@@ -124,6 +132,7 @@ class Lines(HTMLParser):
             self._close(_ENDS_ITSELF[tag])
         if tag not in _VOID:
             self.made += 1
+            self.names[self.made] = tag
             self.open.append((tag, self.made, self._is_aside(tag, attrs)))
 
     def handle_startendtag(self, tag, attrs):
@@ -158,11 +167,11 @@ class Lines(HTMLParser):
         self._flush()
 
 
-def lines_of(html: str) -> list[tuple[str, int, int, tuple[int, ...], bool]]:
+def lines_of(html: str) -> Lines:
     parser = Lines()
     parser.feed(html)
     parser.close()
-    return parser.lines
+    return parser
 
 
 def smoothed(values: np.ndarray) -> np.ndarray:
@@ -177,10 +186,59 @@ def content_lines(ratios: np.ndarray) -> np.ndarray:
     return (smooth >= smooth.std() - 1e-12) & (ratios > 0)
 
 
+def link_lists(lines: list[tuple], linked: list[bool]) -> list[bool]:
+    """Which lines stand in a run of link lines that has two links or more."""
+    out, k = [False] * len(lines), 0
+    while k < len(lines):
+        end = k
+        while end < len(lines) and linked[end]:
+            end += 1
+        if sum(line[5] for line in lines[k:end]) > 1:
+            out[k:end] = [True] * (end - k)
+        k = max(end, k + 1)
+    return out
+
+
+def article_lines(page: Lines, region: int, content: np.ndarray, linked: list[bool]) -> list[bool]:
+    """Which lines belong to the article that holds the region."""
+    lines = page.lines
+    path = next(x[3] for x in lines if region in x[3])
+    path = path[: path.index(region) + 1]
+    kinds = [page.names[n] for n in path]
+    last = {kind: k for k, kind in enumerate(kinds)}
+    k = last.get("article", last.get("main", len(path) - 1))
+    top = min(k, last.get("main", k if "article" in last else 0))
+    shared = []  # how many of the elements of the path are around each line
+    for line in lines:
+        n = 0
+        for a, b in zip(path, line[3], strict=False):
+            if a != b:
+                break
+            n += 1
+        shared.append(n)
+    if "article" in last or "main" in last:  # the prose begins with the first text that is no link
+        prose = [i for i, n in enumerate(shared) if n > k and not lines[i][4] and not linked[i]]
+        first, end = min(prose), max(i for i, n in enumerate(shared) if n > k)
+    else:
+        prose = [i for i, n in enumerate(shared) if n > k and content[i]]
+        first, end = min(prose), max(prose)
+    bare = [ok and not first <= i <= end for i, ok in enumerate(link_lists(lines, linked))]
+    k = max([top, *(n for n, line, off in zip(shared, lines, bare, strict=True) if (line[4] or off) and n <= k)])
+    around = set(path[top:k])
+
+    def holder(line):
+        return next((n for n in reversed(line[3]) if page.names[n] not in _PROSE), None)
+
+    return [not line[4] and not off and (n > k or holder(line) in around)
+            for n, line, off in zip(shared, lines, bare, strict=True)]
+
+
 def main_text(html: str | None) -> str:
     """The blocks of the main text, joined by line feeds."""
-    lines = lines_of(html or "")
-    own = [not aside and not (linked >= LINKED * len(text)) for text, _, linked, _, aside in lines]
+    page = lines_of(html or "")
+    lines = page.lines
+    linked = [n >= LINKED * len(text) for text, _, n, *_ in lines]
+    own = [not line[4] and not ok for line, ok in zip(lines, linked, strict=True)]
     ratios = np.array([len(x[0]) / max(1, x[1]) if ok else 0.0 for x, ok in zip(lines, own, strict=True)])
     if not ratios.any():
         return ""
@@ -190,16 +248,22 @@ def main_text(html: str | None) -> str:
     held: dict[int, int] = {}
     depth: dict[int, int] = {}
     total = 0
-    for (text, _, _, around, _), ok in zip(lines, content, strict=True):
+    for line, ok in zip(lines, content, strict=True):
         if ok:
-            total += len(text)
-            for k, n in enumerate(around):
-                held[n] = held.get(n, 0) + len(text)
+            total += len(line[0])
+            for k, n in enumerate(line[3]):
+                held[n] = held.get(n, 0) + len(line[0])
                 depth[n] = k
     region = max((n for n in held if held[n] >= MOST * total), key=lambda n: depth[n], default=None)
     while region is not None and len({line[3] for line in lines if region in line[3]}) == 1 and depth[region]:
         region = next(n for n in reversed(next(x[3] for x in lines if region in x[3])) if depth.get(n) == depth[region] - 1)
-    return "\n".join(line[0] for line, ok in zip(lines, own, strict=True) if ok and (region is None or region in line[3]))
+    if region is None:
+        lists = link_lists(lines, linked)
+        first, end = np.flatnonzero(content)[[0, -1]]
+        taken = [not line[4] and not (ok and not first <= i <= end) for i, (line, ok) in enumerate(zip(lines, lists, strict=True))]
+    else:
+        taken = article_lines(page, region, content, linked)
+    return "\n".join(line[0] for line, ok in zip(lines, taken, strict=True) if ok)
 
 
 def extract(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

@@ -88,6 +88,24 @@ def test_article_without_what_surrounds_it():
     assert got.split("\n") == ["A <title> & more", "Short.", f"{long}goes on é end", "first", "second", "Quoted boldly", "End."]
 
 
+def test_nested_articles_are_whole():
+    a, b, c = "lead text " * 10, "body text " * 50, "more text " * 60
+    body = f"<div><p>{b}</p><p>{c}</p></div>"
+    want = ["T", a.strip(), b.strip(), c.strip()]
+    menu = "<nav><a href=x>Home</a></nav>"
+    lines = lambda page: html_text.main_text(page).split("\n")
+    for page in (f"{menu}<article><h1>T</h1><p>{a}</p>{body}</article><footer>f</footer>", f"<main><h1>T</h1><p>{a}</p>{body}</main>",
+                 f"<body>{menu}<h1>T</h1><div class=share>s</div><p>{a}</p>{body}<footer>f</footer></body>",
+                 f"<body>{menu}<div><div><h1>T</h1></div><div><p>{a}</p></div>{body}</div><footer>f</footer></body>",
+                 f"<main><h1>T</h1><article><p>{a}</p>{body}</article><aside>s</aside></main>",
+                 f"<body><div><a href=x>Front page</a> | <a href=y>News</a></div><div><h1>T</h1><p>{a}</p>{body}</div></body>"):
+        assert lines(page) == want
+    sources = "<h2>Sources</h2><ul><li><a href=x>One</a><li><a href=y>Two</a></ul>"
+    assert lines(f"{menu}<article><h1>T</h1><p>{a}</p>{body}{sources}</article>") == [*want, "Sources", "One", "Two"]
+    lone = f"<div><h1>T</h1><p>{a}</p><p><a href=x>a whole paragraph</a></p>{body}</div>"
+    assert lines(f"<body>{menu}{lone}</body>") == [*want[:2], "a whole paragraph", *want[2:]]
+
+
 @pytest.mark.parametrize("page", ["", None, "<p>", "<nav>menu</nav>", "<script>x()</script>", "<!-- c -->", "<", "<a href="])
 def test_pages_without_text(page):
     assert html_text.main_text(page) in ("", "<", "<a href=")
