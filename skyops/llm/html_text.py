@@ -13,7 +13,9 @@ references of an article stay.
 
 Cases: null and empty pages, and pages without content, give an empty text; broken markup is read
 as far as it makes sense (an open paragraph ends at the next, unknown end tags are ignored, what is
-open at the end is closed); character references are decoded; white space within a block is one
+open at the end is closed; a link without its end tag ends with its block or at the next link, an
+open label such as a button at the next block, other open or self-closed elements without text of
+the page hide nothing); character references are decoded; white space within a block is one
 space; a very long page is streamed whole; equal rows give equal texts; added columns replace
 columns of the same names and others stay.
 """
@@ -42,6 +44,8 @@ _INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del",
            "wbr", "br"}
 _SILENT = {"script", "style", "noscript", "template", "title", "svg", "math", "iframe", "object", "canvas", "audio",
            "video", "select", "button", "textarea", "datalist"}
+#: Of these, which hold the next words also if they are left open, and which hold raw text to the end.
+_LABELS, _RAW = {"button", "select", "textarea", "datalist", "title"}, {"script", "style"}
 _ASIDE = {"nav", "footer", "aside", "form", "dialog", "menu", "header"}
 _ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog",
                 "menu", "menubar"}
@@ -57,6 +61,7 @@ _ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset",
            "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul", "figure"}
 _SCOPE = {"ul", "ol", "dl", "table", "div", "section", "article", "main", "body", "td", "th", "blockquote", "aside",
           "nav", "header", "footer", "form", "figure"}
+_CHILDLESS = {"svg", "math", "path", "iframe"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Elements that a text stands in without being set apart from what is around them.
 _PROSE = _HEADINGS | {"p", "ul", "ol", "li", "dl", "dt", "dd", "blockquote", "pre", "figure", "figcaption", "address"}
@@ -64,17 +69,74 @@ _TOKEN = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-class Lines(HTMLParser):
-    """The lines of a page: text, tags, characters in links, elements around them, whether aside, links."""
+class Events(HTMLParser):
+    """The events of a page: what it is, name or text, attributes."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
+        self.events: list[tuple[str, str, list]] = []
+
+    def handle_starttag(self, tag, attrs):
+        self.events.append(("start", tag, attrs))
+
+    def handle_startendtag(self, tag, attrs):
+        self.events.append(("empty", tag, attrs))
+
+    def handle_endtag(self, tag):
+        self.events.append(("end", tag, []))
+
+    def handle_data(self, data):
+        self.events.append(("data", data, []))
+
+
+def ends_of(events: list[tuple[str, str, list]]) -> dict[int, int]:
+    """Where the end tags of links and of silent elements are, if they come before that of an element around them."""
+    out: dict[int, int] = {}
+    around: list[tuple[str, int]] = []
+    places: dict[str, list[int]] = {}
+    link = None  # where it begins, elements around it
+    for i, (kind, tag, _) in enumerate(events):
+        if kind == "data":
+            continue
+        if tag == "a":
+            if kind != "end":
+                link = (i, len(around))
+            else:
+                if link and link[1] == len(around):
+                    out[link[0]] = i
+                link = None
+        elif tag in _INLINE or tag in _VOID or (kind == "empty" and tag in _CHILDLESS):
+            continue
+        elif kind != "end":
+            if tag in ("button", "select") and places.get(tag):  # these do not nest: the open one has no end
+                at = places[tag].pop()
+                around[at] = ("", around[at][1])
+            places.setdefault(tag, []).append(len(around))
+            around.append((tag, i))
+        elif places.get(tag):
+            at = places[tag][-1]
+            if tag in _SILENT:
+                out[around[at][1]] = i
+            while len(around) > at:
+                name, _ = around.pop()
+                if name:
+                    places[name].pop()
+            if link and len(around) < link[1]:
+                link = None
+    return out
+
+
+class Lines:
+    """The lines of a page: text, tags, characters in links, elements around them, whether aside, links."""
+
+    def __init__(self):
         self.lines: list[tuple[str, int, int, tuple[int, ...], bool, int]] = []
         self.open: list[tuple[str, int, bool]] = []  # name, number, whether it is aside
         self.made = 0
         self.names: dict[int, str] = {}
-        self.silent: list[str] = []
-        self.links = self.tags = self.linked = self.anchors = 0
+        self.label = False  # within a label that is left open
+        self.linking = self.lasting = False  # within a link; whether it lasts to its end tag
+        self.tags = self.linked = self.anchors = 0
         self.parts: list[str] = []
 
     def _flush(self):
@@ -83,7 +145,7 @@ class Lines(HTMLParser):
             self.lines.append((text, self.tags, min(self.linked, len(text)), tuple(n for _, n, _ in self.open), self._aside(),
                                self.anchors))
             self.tags = 0
-        self.parts, self.linked, self.anchors = [], 0, int(self.links > 0)
+        self.parts, self.linked, self.anchors = [], 0, int(self.linking)
 
     def _aside(self) -> bool:
         return any(aside for _, _, aside in self.open)
@@ -109,23 +171,24 @@ class Lines(HTMLParser):
             if self.open[k][0] in _SCOPE:
                 return
 
-    def handle_starttag(self, tag, attrs):
-        self.tags += 1
-        if self.silent:
-            if tag not in _VOID:
-                self.silent.append(tag)
-            return
-        if tag in _SILENT:
-            self.silent.append(tag)
-            return
+    def _block(self):
+        self._flush()
+        if self.linking and not self.lasting:
+            self.linking, self.anchors = False, 0
+
+    def start(self, tag: str, attrs: list, ended: bool):
+        """A start tag; ``ended``: its own end tag ends it, which is known of links."""
         if tag in _INLINE:
             if tag == "br":
                 self.parts.append(" ")
             elif tag == "a":
-                self.links += 1
-                self.anchors += 1
+                self.linking, self.lasting = any(k == "href" for k, _ in attrs), ended
+                self.anchors += self.linking
             return
-        self._flush()
+        if self.label and (tag in _VOID or tag in ("option", "optgroup")):
+            return
+        self._block()
+        self.label = False
         if tag in _ENDS_P:
             self._close({"p"})
         if tag in _ENDS_ITSELF:
@@ -135,43 +198,56 @@ class Lines(HTMLParser):
             self.names[self.made] = tag
             self.open.append((tag, self.made, self._is_aside(tag, attrs)))
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID and tag not in _INLINE and tag in ("svg", "math", "path", "iframe"):
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        self.tags += 1
-        if self.silent:
-            if tag in self.silent:
-                while self.silent.pop() != tag:
-                    pass
-            return
+    def end(self, tag: str):
         if tag in _INLINE:
             if tag == "a":
-                self.links = max(0, self.links - 1)
+                self.linking = False
             return
-        self._flush()
         names = [n for n, _, _ in self.open]
+        if self.label and tag not in names:
+            self.label = tag not in _LABELS
+            return
+        self._block()
+        self.label = False
         if tag in names:
             del self.open[len(names) - 1 - names[::-1].index(tag) :]
 
-    def handle_data(self, data):
-        if not self.silent:
-            self.parts.append(data)
-            if self.links:
-                self.linked += len(data.strip())
-
-    def close(self):
-        super().close()
+    def read(self, events: list[tuple[str, str, list]]):
+        ends = ends_of(events)
+        until = -1  # the end tag of a silent element
+        for i, (kind, tag, attrs) in enumerate(events):
+            if kind == "data":
+                if i > until and not self.label:
+                    self.parts.append(tag)
+                    if self.linking:
+                        self.linked += len(tag.strip())
+                continue
+            self.tags += 2 if kind == "empty" and tag in _CHILDLESS else 1
+            if i <= until:
+                continue
+            if kind == "end":
+                self.end(tag)
+            elif tag in _SILENT:
+                if i in ends:
+                    until = ends[i]
+                elif tag in _RAW and kind == "start":
+                    until = len(events)
+                elif tag in _LABELS and kind == "start":
+                    self.label = True
+            else:
+                self.start(tag, attrs, i in ends)
+                if kind == "empty" and tag in _CHILDLESS:
+                    self.end(tag)
         self._flush()
 
 
 def lines_of(html: str) -> Lines:
-    parser = Lines()
+    parser = Events()
     parser.feed(html)
     parser.close()
-    return parser
+    page = Lines()
+    page.read(parser.events)
+    return page
 
 
 def smoothed(values: np.ndarray) -> np.ndarray:

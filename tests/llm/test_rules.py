@@ -106,6 +106,26 @@ def test_nested_articles_are_whole():
     assert lines(f"<body>{menu}{lone}</body>") == [*want[:2], "a whole paragraph", *want[2:]]
 
 
+@pytest.mark.parametrize("open_", ["<a name=top>", "<a href=x>", "<a href=x>x <a href=y>y</a>", "<button>", "<select><option>", "<object data=x>",
+                                  "<video src=x />", "<audio/>", "<canvas/>", "<video src=x>", "<textarea>", "<svg/>", "<template/>"])
+def test_elements_left_open_hide_no_text(open_):
+    a, b = "first words " * 20, "other words " * 30
+    for page in (f"<article><p>Lead in {open_}</p><p>{a}</p><div><p>{b}</div></article>", f"<article><div>Lead in {open_}<p>{a}<p>{b}</div>"):
+        got = html_text.main_text(page).split("\n")
+        assert got[0].startswith("Lead in") and got[1:] == [a.strip(), b.strip()]
+    assert html_text.main_text(f"<div><p>Lead in <video src=x /> and on</p><p>{a}</p></div>").startswith("Lead in and on\n")
+
+
+def test_elements_with_their_ends_stay_silent():
+    a = "first words " * 20
+    for part in ("<button><div>Share</div></button>", "<select><option>x<option>y</select>", "<video src=x><p>No video</p></video>",
+                 "<svg><title>t</title><path/><text>t</text></svg>", "<script>let a = '<p>'</script>", "<button>Share<p></p>",
+                 "<noscript><p>n</p></noscript>", "<select><option>x<option>y<div></div>"):
+        assert html_text.main_text(f"<div><p>{a}</p>{part}<p>End</p></div>") == f"{a.strip()}\nEnd"
+    card = "<a href=x><h3>Title</h3><p>Teaser of a page</p></a>"  # a link around blocks, with its end
+    assert html_text.main_text(f"<div>{card}{card}<p>{a}</p></div>") == a.strip()
+
+
 @pytest.mark.parametrize("page", ["", None, "<p>", "<nav>menu</nav>", "<script>x()</script>", "<!-- c -->", "<", "<a href="])
 def test_pages_without_text(page):
     assert html_text.main_text(page) in ("", "<", "<a href=")
