@@ -8,8 +8,9 @@ first line by (doc_id, line_no) is kept.
 
 Cases: null text has no lines; blank lines are kept and have no component; a line of fewer than
 seven characters is one shingle, so it matches only equal lines; equal lines are one component;
-rows that share an id are taken as one document and keep the same lines; a null id comes before all
-others; a document whose lines with text all repeat earlier ones is dropped by ``without_repeats``,
+equal rows are taken as one document and keep the same lines, rows with different texts under one id
+as documents of their own; a null id comes before all others, and each row with one is a document; a
+document whose lines with text all repeat earlier ones is dropped by ``without_repeats``,
 one without any line of text is kept as it is; other columns stay; empty tables give no rows.
 """
 
@@ -73,11 +74,18 @@ def bands(lines: list[str]) -> np.ndarray:
     return mix(out + np.arange(BANDS, dtype=np.uint64))
 
 
+def with_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with ``_row``, which tells documents under one id apart: a hash of the text, or a number without an id."""
+    named = docs.where(F.col(doc_id).isNotNull()).withColumn("_row", F.xxhash64(text))
+    unnamed = docs.where(F.col(doc_id).isNull()).withColumn("_row", F.monotonically_increasing_id())
+    return named.unionByName(cut_lineage(unnamed))
+
+
 def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, line_no, id, line): ``id`` is a 64-bit hash of the trimmed, lower-cased line; null if blank."""
-    lines = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw"))
+    """(doc_id, _row, line_no, id, line): ``id`` is a 64-bit hash of the trimmed, lower-cased line; null if blank."""
+    lines = docs.select(F.col(doc_id).alias("doc_id"), "_row", F.posexplode(F.split(text, "\n")).alias("line_no", "raw"))
     line = F.lower(F.btrim("raw", F.lit(" \t\n\v\f\r")))
-    lines = lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), line.alias("line"))
+    lines = lines.select("doc_id", "_row", F.col("line_no").cast("long").alias("line_no"), line.alias("line"))
     return lines.withColumn("id", F.when(F.col("line") != "", F.xxhash64("line")))
 
 
@@ -114,6 +122,11 @@ def _signed(lines: DataFrame) -> DataFrame:
 
 def line_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, line_no, component, kept) of every line of the corpus."""
+    return _line_rows(with_rows(docs, doc_id, text), doc_id, text).drop("_row")
+
+
+def _line_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``line_components`` of documents ``with_rows``, and ``_row``."""
     lines = lines_of(docs, doc_id, text)
     filled = lines.where("id is not null")
     signed = cut_lineage(_signed(filled))
@@ -124,29 +137,34 @@ def line_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     texts = cut_lineage(texts.groupBy("id").agg(F.first("line").alias("text")))
     links = groups.links(groups.in_parts(pairs, weights, PART), texts, shingle_set, SIMILARITY)
     linked = components(cut_lineage(links))
-    numbered = lines.select("doc_id", "line_no", "id").join(linked, "id", "left").select(
-        "doc_id", "line_no", F.coalesce("component", "id").alias("component"))
+    numbered = lines.select("doc_id", "_row", "line_no", "id").join(linked, "id", "left").select(
+        "doc_id", "_row", "line_no", F.coalesce("component", "id").alias("component"))
     numbered = cut_lineage(numbered)
-    in_doc = numbered.where("component is not null").groupBy("component", "doc_id").agg(F.min("line_no").alias("line_no"))
+    in_row = numbered.where("component is not null").groupBy("component", "doc_id", "_row").agg(F.min("line_no").alias("line_no"))
+    in_id = in_row.groupBy("component", "doc_id").agg(F.min_by("line_no", "_row").alias("line_no"), F.min("_row").alias("_row"))
     # a null id comes first: it is the least of a component that has one
-    first = in_doc.groupBy("component").agg(
-        F.min("doc_id").alias("low"), F.min_by("line_no", "doc_id").alias("low_line"),
-        F.max(F.col("doc_id").isNull()).alias("none"), F.min(F.when(F.col("doc_id").isNull(), F.col("line_no"))).alias("none_line"))
-    first = first.select(F.when(~F.col("none"), F.col("low")).alias("_doc"),
-                         F.when(F.col("none"), F.col("none_line")).otherwise(F.col("low_line")).alias("_line"))
-    at = numbered["doc_id"].eqNullSafe(first["_doc"]) & (numbered["line_no"] == first["_line"])
+    none = F.col("doc_id").isNull()
+    first = in_id.groupBy("component").agg(
+        F.min("doc_id").alias("low"), F.max(none).alias("none"),
+        *(F.min_by(c, "doc_id").alias(f"low{c}") for c in ("_row", "line_no")),
+        *(F.min(F.when(none, F.col(c))).alias(f"none{c}") for c in ("_row", "line_no")))
+    first = first.select(F.col("component").alias("_component"), F.when(~F.col("none"), F.col("low")).alias("_doc"),
+                         *(F.when(F.col("none"), F.col(f"none{c}")).otherwise(F.col(f"low{c}")).alias(f"_first{c}")
+                           for c in ("_row", "line_no")))
+    at = ((numbered["component"] == first["_component"]) & numbered["doc_id"].eqNullSafe(first["_doc"])
+          & (numbered["_row"] == first["_first_row"]) & (numbered["line_no"] == first["_firstline_no"]))
     return numbered.join(first, at, "left").select(
-        "doc_id", "line_no", "component", (F.col("component").isNull() | F.col("_line").isNotNull()).alias("kept"))
+        "doc_id", "_row", "line_no", "component", (F.col("component").isNull() | F.col("_component").isNotNull()).alias("kept"))
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the kept lines of each text, less documents of which no line of text is kept."""
-    lines = line_components(docs, doc_id, text)
-    own = lines.groupBy("doc_id").agg(
+    rows = with_rows(docs, doc_id, text)
+    own = _line_rows(rows, doc_id, text).groupBy("doc_id", F.col("_row").alias("_own")).agg(
         F.array_sort(F.collect_set(F.struct("line_no", "kept"))).alias("_lines"),
         F.max(F.col("component").isNotNull()).alias("_any"),
         F.max(F.col("kept") & F.col("component").isNotNull()).alias("_left")).withColumnRenamed("doc_id", "_doc")
-    joined = docs.join(own, docs[doc_id].eqNullSafe(own["_doc"]), "left")
+    joined = rows.join(own, rows[doc_id].eqNullSafe(own["_doc"]) & (rows["_row"] == own["_own"]), "left")
     joined = joined.where(F.coalesce(~F.col("_any") | F.col("_left"), F.lit(True)))
     both = F.filter(F.arrays_zip(F.split(text, "\n").alias("line"), F.col("_lines.kept").alias("kept")), lambda x: x["kept"])
     rebuilt = F.array_join(F.transform(both, lambda x: x["line"]), "\n")

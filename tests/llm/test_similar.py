@@ -139,6 +139,22 @@ def test_line_cases_and_rebuilt_texts(docs_of):
     assert len(line_dedup.without_repeats(docs_of(ODD)).collect()) > 5
 
 
+def test_lines_of_rows_that_share_an_id(docs_of):
+    """Documents without an id, or with different texts under one, give each line once and keep no repeats."""
+    texts = ["A line that all of them share\nown line of the first", "a line that all of them share\nquite different words here",
+             "a line that all of them share!\nown line of the first", "nothing in common with these\nat all"]
+    for i in (None, 3):
+        rows = [(i, t) for t in texts] + [(9, texts[3])]
+        out = line_dedup.line_components(docs_of(rows)).collect()
+        assert sorted((r.doc_id or 0, r.line_no) for r in out) == sorted([(i or 0, k) for k in (0, 1)] * 4 + [(9, 0), (9, 1)])
+        assert sum(r.kept for r in out) == len({r.component for r in out}) == 5
+        left = line_dedup.without_repeats(docs_of(rows)).collect()
+        lines = sorted(s for r in left for s in r.text.lower().replace("!", "").split("\n"))
+        assert lines == sorted({s for t in texts for s in t.lower().replace("!", "").split("\n")})
+        assert all(r.doc_id == i for r in left)
+    assert len(line_dedup.without_repeats(docs_of([(None, "same text here\nb")] * 3)).collect()) == 1
+
+
 def test_line_query_on_the_small_tables(spark, small):
     rows = [(r.doc_id, r.text) for r in queries.table(spark, small, "documents").collect()]
     got = {(r.doc_id, r.line_no): r.kept for r in queries.QUERIES["op5_line_dedup"](spark, small).collect()}
