@@ -6,7 +6,7 @@ the last return the columns of their input; a stage's own columns start with ``_
 
 Cases, beside those of each operator: an empty table goes through all stages as an empty table; a
 null text is kept until the end, where it counts as empty; rows with a null id are judged by their
-text where that needs no other row, and are kept by the join and by decontamination.
+text where that needs no other row, decontamination included, and are kept by the join.
 """
 
 from __future__ import annotations
@@ -40,8 +40,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of ``benchmark``."""
     items = decontaminate.with_answers(queries.table(spark, sf_dir, "benchmark"))
-    found = decontaminate.find(docs, items).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))  # rows with no id or a repeated one by their own text
+    found = decontaminate.find(keyed, items, doc_id="_key").select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(found, "_key", "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

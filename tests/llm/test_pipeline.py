@@ -67,6 +67,16 @@ def test_stages_take_effect(spark, docs_of, tables):
         i: len(library.encode(t)) + 1 for i, t in everything}
 
 
+def test_leaks_are_judged_by_row(docs_of, spark, tables):
+    folder, rows = tables
+    leak, clean = rows["leaks"][0][1], rows["clean"][0][1]
+    docs = docs_of([(None, leak), (None, clean), (5, leak), (5, clean), (6, leak), (7, clean), (7, clean), (8, None)])
+    left = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, folder)
+    assert left.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text) for r in left.collect())
+    assert got == [(0, clean), (5, clean), (7, clean), (7, clean), (8, None)]
+
+
 def test_stages_on_odd_and_empty_tables(spark, docs_of, tables):
     folder, _ = tables
     stage = dict(corpus_pipeline.STAGES)
