@@ -30,19 +30,34 @@ def median_by(df: DataFrame, by: Sequence[str], value: str, name: str = "median"
     around = F.percentile_approx(value, [0.5 - margin, 0.5 + margin], accuracy)
     groups = df.groupBy(*by).agg(
         F.count(value).alias("_n"), around.alias("_around"), *[c.alias(n) for n, c in (extra or {}).items()])
+    if not by:
+        return _median_of_all(df, groups, value, name)
     low, high = F.col("b._around")[0], F.col("b._around")[1]
     x, b = df.alias("x"), groups.alias("b")
     rows = x.join(b, same_keys("x", "b", by)).filter(F.col(f"x.{value}") <= high).select(
         *[F.col(f"x.{k}") for k in by], "_n",
         F.when(F.col(f"x.{value}") >= low, F.col(f"x.{value}")).alias("_v"))
+    found = _middle_values(rows, by, name)
+    g, m = groups.alias("g"), found.alias("m")
+    return g.join(m, same_keys("g", "m", by), "left").select(
+        *[F.col(f"g.{k}") for k in by], F.col(f"m.{name}"), *[F.col(f"g.{n}") for n in (extra or {})])
+
+
+def _middle_values(rows: DataFrame, by: Sequence[str], name: str) -> DataFrame:
     counts = rows.groupBy(*by, "_n", "_v").agg(F.count(F.lit(1)).alias("_c"))
     ranked = counts.withColumn("_end", F.sum("_c").over(_upto(by, "_v")))
     hit = _middle(F.col("_end") - F.col("_c"), F.col("_end"), F.col("_n"))
-    found = ranked.filter(hit[0] | hit[1]).groupBy(*by).agg(
+    return ranked.filter(hit[0] | hit[1]).groupBy(*by).agg(
         ((F.max(F.when(hit[0], F.col("_v"))) + F.max(F.when(hit[1], F.col("_v")))) / 2).alias(name))
-    g, m = groups.alias("g"), found.alias("m")
-    return g.join(m, same_keys("g", "m", by), "left").select(
-        *[F.col(f"g.{k}") for k in by], F.col(f"m.{name}"), *[F.col(f"g.{n}") for n in (extra or {})])
+
+
+def _median_of_all(df: DataFrame, whole: DataFrame, value: str, name: str) -> DataFrame:
+    """The same without keys: one row of bounds, read as scalars, so that nothing is joined."""
+    low, high = (whole.select(F.col("_around")[k]).scalar() for k in (0, 1))
+    v = F.col(value)
+    rows = df.where(v <= high).select(whole.select("_n").scalar().alias("_n"), F.when(v >= low, v).alias("_v"))
+    middle = _middle_values(rows, (), name).select(name).scalar()
+    return whole.select(middle.alias(name), *[c for c in whole.columns if c not in ("_n", "_around")])
 
 
 def _upto(by: Sequence[str], value: str):

@@ -22,17 +22,18 @@ def reduce_and_stack(frames: DataFrame, method: str = "sigma_clip", stack: str =
     pixels = {k: images.to_pixels(frames.filter(F.col("imagetyp") == k),
                                   ("frame_id", stack, "exptime")) for k in KINDS}
     bias = dark = flat = None
+    most = images.stack_depth(frames, ["imagetyp"], least=1)
     if "bias" in kinds:
-        bias = cut_lineage(images.master_bias(pixels["bias"]))
+        bias = cut_lineage(images.master_bias(pixels["bias"], most))
     if "dark" in kinds:
-        dark = cut_lineage(images.master_dark(pixels["dark"], bias))
+        dark = cut_lineage(images.master_dark(pixels["dark"], bias, most))
     if "flat" in kinds:
-        flat = cut_lineage(images.master_flat(pixels["flat"], bias, dark))
+        flat = cut_lineage(images.master_flat(pixels["flat"], bias, dark, most))
     light = images.calibrate(pixels["light"], bias, dark, flat, dark_exptime, normalized=True)
     lights = frames.filter(F.col("imagetyp") == "light")
     aligned = images.align_crop(light, images.shapes(lights, [stack, "frame_id"]), [stack])
     depth = images.stack_depths(lights, [stack]).filter(F.col("frames") >= 2)
     ready = aligned.join(depth.select(stack), stack, "left_semi")
-    combined = images.combine_pixels(ready, [stack], method)
+    combined = images.combine_pixels(ready, [stack], method, depth=most)  # a stack is no deeper than its kind
     return {"bias": bias, "dark": dark, "flat": flat, "calibrated": light,
             "stack": combined, "stats": images.image_stats(combined, [stack])}

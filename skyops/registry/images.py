@@ -66,10 +66,16 @@ cal AS (SELECT frame_id, field, p.y, p.x, p.h,
 _DARK_EXP = 60.0
 
 
+def _depth(spark, sf):
+    """Frames of the kind with the most: none of their masters combines more."""
+    return images.stack_depth(frames(spark, sf), ["imagetyp"])
+
+
 def _masters(spark, sf):
-    bias = cut_lineage(images.master_bias(pixels(spark, sf, "bias")))
-    dark = cut_lineage(images.master_dark(pixels(spark, sf, "dark"), bias))
-    flat = images.master_flat(pixels(spark, sf, "flat"), bias, dark)
+    depth = _depth(spark, sf)
+    bias = cut_lineage(images.master_bias(pixels(spark, sf, "bias"), depth))
+    dark = cut_lineage(images.master_dark(pixels(spark, sf, "dark"), bias, depth))
+    flat = cut_lineage(images.master_flat(pixels(spark, sf, "flat"), bias, dark, depth))
     return bias, dark, flat
 
 
@@ -89,7 +95,15 @@ def _(spark, sf):
 @query("agg_master_bias", f"WITH {_PX}, {_BIAS} SELECT CAST(y AS INTEGER) AS y, "
        "CAST(x AS INTEGER) AS x, v FROM bias")
 def _(spark, sf):
-    return images.master_bias(pixels(spark, sf, "bias"))
+    return images.master_bias(pixels(spark, sf, "bias"), _depth(spark, sf))
+
+
+@query("agg_master_cards", f"""SELECT imagetyp, count(*) AS ncombine, 'median' AS combine, CAST(max(h) AS INTEGER) AS naxis2,
+  8 AS naxis1, max(exptime) AS exptime FROM (SELECT {_KIND} AS imagetyp, {_ROWS} AS h, {_EXP} AS exptime FROM embeddings)
+WHERE imagetyp <> 'light' GROUP BY 1""")
+def _(spark, sf):
+    """NCOMBINE, method, shape and exposure of each master frame."""
+    return images.master_cards(frames(spark, sf).where("imagetyp <> 'light'"))
 
 
 @query("agg_master_dark", f"WITH {_PX}, {_BIAS}, {_DARK} SELECT CAST(y AS INTEGER) AS y, "
@@ -162,7 +176,8 @@ _YX = "field, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x"
 @query("agg_stack_median", f"WITH {_LIGHT} SELECT {_YX}, round(median(v), 6) AS v FROM al "
        "GROUP BY field, y, x")
 def _(spark, sf):
-    return _rounded(images.stack_median(_aligned(spark, sf)[0], ["field"]), "v")
+    rows, f = _aligned(spark, sf)
+    return _rounded(images.stack_median(rows, ["field"], images.stack_depth(f, ["field"])), "v")
 
 
 @query("agg_stack_mean", f"WITH {_LIGHT} SELECT {_YX}, round(avg(v), 6) AS v FROM al "
@@ -187,6 +202,13 @@ _CLIP = (f"WITH {_LIGHT}, {_clip_sql()} SELECT {_YX}, round(avg(v) FILTER (used)
 
 @query("agg_stack_sigma_clip", _CLIP)
 def _(spark, sf):
+    rows, f = _aligned(spark, sf)
+    return _rounded(images.stack_sigma_clip(rows, ["field"], depth=images.stack_depth(f, ["field"])), "v")
+
+
+@query("agg_stack_sigma_clip_deep", _CLIP)
+def _(spark, sf):
+    """The path of stacks deeper than an array can hold: windows over pixel rows."""
     return _rounded(images.stack_sigma_clip(_aligned(spark, sf)[0], ["field"]), "v")
 
 
@@ -194,18 +216,35 @@ def _(spark, sf):
 def _(spark, sf):
     f = frames(spark, sf).filter(F.col("imagetyp") == "light")
     tiles = images.align_crop_tiles(f, ["field"])
-    return _rounded(images.stack_tiles(tiles, ["field"], "sigma_clip"), "v")
+    return _rounded(images.stack_tiles(tiles, ["field"], "sigma_clip", depth=images.stack_depth(f, ["field"])), "v")
+
+
+_TRIMMED = "CASE WHEN count(v) > 2 THEN (sum(v) - min(v) - max(v)) / (count(v) - 2) ELSE avg(v) END"
+
+
+def trimmed_mean(values):
+    """A combine function of a user: each pixel's mean without its least and greatest value."""
+    import numpy as np
+
+    n = np.isfinite(values).sum(axis=0)
+    total = np.nansum(values, axis=0)
+    ends = np.where(n > 2, np.nanmin(values, axis=0, initial=np.inf) + np.nanmax(values, axis=0, initial=-np.inf), 0.0)
+    return np.where(n > 0, total - ends, np.nan) / np.maximum(np.where(n > 2, n - 2, n), 1)
 
 
 @query("udaf_combine", f"WITH {_LIGHT}, {_clip_sql()} " + " UNION ALL ".join(
     f"SELECT '{m}' AS method, {_YX}, round({e}, 6) AS v FROM k5 GROUP BY field, y, x"
-    for m, e in (("median", "median(v)"), ("mean", "avg(v)"), ("sigma_clip", "avg(v) FILTER (used)"))))
+    for m, e in (("median", "median(v)"), ("mean", "avg(v)"), ("sigma_clip", "avg(v) FILTER (used)"), ("trimmed", _TRIMMED))))
 def _(spark, sf):
-    rows, _ = _aligned(spark, sf)
+    """The named methods and a user's function, over the frames aligned once."""
+    f = frames(spark, sf).filter(F.col("imagetyp") == "light")
+    tiles = cut_lineage(images.align_crop_tiles(f, ["field"]))
+    depth = images.stack_depth(f, ["field"])
+    parts = {m: images.stack_tiles(tiles, ["field"], m, depth=depth) for m in images.ARRAY_COMBINERS}
+    parts["trimmed"] = images.stack_custom(tiles, ["field"], trimmed_mean, depth=depth)
     out = None
-    for m in images.COMBINERS:
-        part = images.combine_pixels(rows, ["field"], m).select(
-            F.lit(m).alias("method"), "field", "y", "x", F.round("v", 6).alias("v"))
+    for m, rows in parts.items():
+        part = rows.select(F.lit(m).alias("method"), "field", "y", "x", F.round("v", 6).alias("v"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -206,3 +206,105 @@ def test_cone_join_against_brute_force(spark, radius):
             if np.degrees(np.arctan2(np.linalg.norm(np.cross(vec(a, d), vec(b, e))),
                                      vec(a, d) @ vec(b, e))) <= radius]
     assert sorted(got) == sorted(want)
+
+
+# -- strips, deep stacks, display limits over many tasks --------------------------------------------
+
+def cut(spark, frames, rng):
+    """The same frames, each cut into tiles of its own at chance rows and columns."""
+    rows = []
+    for i, f in enumerate(frames):
+        ys = [0, *sorted(rng.choice(range(1, f.shape[0]), 2, replace=False)), f.shape[0]]
+        xs = [0, *sorted(rng.choice(range(1, f.shape[1]), 2, replace=False)), f.shape[1]]
+        for y0, y1 in zip(ys, ys[1:]):
+            for x0, x1 in zip(xs, xs[1:]):
+                part = f[y0:y1, x0:x1]
+                rows.append((i, int(y0), int(x0), *part.shape, [None if np.isnan(v) else float(v) for v in part.ravel()], 1))
+    return spark.createDataFrame(rows, "frame_id int, y0 int, x0 int, h int, w int, px array<double>, field int").repartition(4)
+
+
+@pytest.mark.parametrize("deep", [1 << 20, 28, 13])
+@pytest.mark.parametrize("method", ["median", "mean", "sigma_clip"])
+def test_strips_of_any_tiling_equal_windows(spark, cube, method, deep, monkeypatch):
+    """Narrow strips, and below the depth of 14 frames the windows, give the same pixels."""
+    monkeypatch.setattr(images, "DEEP", deep)
+    tiles = cut(spark, list(cube), np.random.default_rng(deep))
+    got = as_array(images.stack_tiles(tiles, ["field"], method), (5, 6))
+    pixels = images.to_pixels(frame_rows(spark, list(cube)), ("frame_id", "field"))
+    want = as_array(images.combine_pixels(pixels, ["field"], method), (5, 6))
+    np.testing.assert_allclose(got, want, rtol=1e-12)
+
+
+@pytest.mark.parametrize("limits", [(3.0, 3.0), (0.5, 0.5), (1.0, 2.0)])
+def test_clipping_in_arrays_equals_windows(spark, limits):
+    rng = np.random.default_rng(4)
+    cube = rng.normal(0, 3, (9, 4, 5)).round(1)
+    cube[rng.random(cube.shape) < 0.2] = np.nan
+    cube[:, 0, 0], cube[:, 0, 1] = np.nan, 7
+    pixels = images.to_pixels(frame_rows(spark, list(cube)), ("frame_id", "field"))
+    got, want = (as_array(images.stack_sigma_clip(pixels, ["field"], *limits, depth=d), (4, 5)) for d in (9, None))
+    np.testing.assert_allclose(got, want, rtol=1e-12)
+
+
+def test_tiles_are_combined_without_pixel_rows(spark, cube):
+    plan = images.stack_tiles(frame_rows(spark, list(cube)), ["field"], "sigma_clip")._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan and "Window" not in plan
+
+
+def test_a_function_of_the_user(spark, cube):
+    tiles = cut(spark, list(cube), np.random.default_rng(0))
+    got = as_array(images.stack_custom(tiles, ["field"], lambda m: np.nanmax(m, axis=0) - np.nanmin(m, axis=0)), (5, 6))
+    np.testing.assert_allclose(got, np.nanmax(cube, axis=0) - np.nanmin(cube, axis=0))
+
+
+def test_shallow_stacks_are_refused(spark, cube):
+    tiles = frame_rows(spark, list(cube[:1]))
+    with pytest.raises(ValueError, match="at least 2"):
+        images.stack_depth(tiles, ["field"])
+    assert images.stack_depth(tiles.limit(0), ["field"]) == 0
+
+
+def plain_zscale(values, contrast=0.25):
+    v = np.sort(values[np.isfinite(values)])
+    n = len(v)
+    r, used, slope, few = np.arange(1.0, n + 1), np.ones(n, bool), 0.0, False
+    for _ in range(5):
+        if used.any():
+            x, y = r - r[used].mean(), v - v[used].mean()
+            sxx = (x[used] ** 2).sum()
+            slope = (x[used] * y[used]).sum() / sxx if sxx else 0.0
+            off = y - slope * x
+            bad = r[np.abs(off) > 2.5 * off[used].std() + 1e-12 * (v[-1] - v[0])]
+        else:
+            slope, bad = 0.0, r[:0]
+        reach = np.floor(n * 0.01 / 2)
+        used = ~(np.abs(r[:, None] - bad[None]) <= reach).any(axis=1)
+        few = few or used.sum() < max(5, n // 2)
+    rise, center = slope / contrast, (n + 1) // 2
+    if few:
+        return v[0], v[-1]
+    return max(v[0], np.median(v) - (center - 1) * rise), min(v[-1], np.median(v) + (n - center) * rise)
+
+
+def test_display_limits_against_plain_fit(spark):
+    rng = np.random.default_rng(8)
+    frames = [rng.normal(100, 10, 3000), np.r_[rng.normal(100, 10, 900), rng.normal(5000, 900, 60)], rng.integers(0, 3, 700).astype(float),
+              np.full(40, 5.0), np.arange(300.0), np.r_[np.nan, 1.0, 2.0], rng.exponential(50, 2500), rng.standard_cauchy(1500)]
+    rows = [(i, k, None if np.isnan(v) else float(v)) for i, f in enumerate(frames) for k, v in enumerate(f)]
+    got = images.zscale_interval(spark.createDataFrame(rows, "frame_id int, x int, v double").repartition(5)).collect()
+    assert sorted(r.frame_id for r in got) == list(range(len(frames)))
+    for r in got:
+        np.testing.assert_allclose((r.vmin, r.vmax), plain_zscale(frames[r.frame_id]), rtol=1e-9, atol=1e-9, err_msg=str(r))
+
+
+def test_ranks_of_one_group_span_tasks(spark):
+    """No window sees a row of the group: windows are over one row for each group and partition."""
+    from skyops.operators.ranks import with_ranks
+
+    rows = spark.range(20_000).selectExpr("CAST(NULL AS INT) AS g", "id % 7 AS v")
+    ranked = with_ranks(rows, ["g"], ["v"]).cache()
+    assert [r.rank for r in ranked.orderBy("rank").collect()] == list(range(20_000))
+    assert ranked.where("n <> 20000").count() == 0
+    assert ranked.groupBy("v").agg(F.min("rank").alias("a"), F.max("rank").alias("b")).where("b - a + 1 <> (20000 - v + 6) DIV 7").count() == 0
+    windows = [line for line in with_ranks(rows, ["g"], ["v"])._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window" in line]
+    assert windows and all("_part" in line or "_rows" in line for line in windows)

@@ -20,7 +20,8 @@ def plan(df):
 @pytest.mark.parametrize("name", [
     "val_route", "xf_catalog", "win_trailing_stats", "win_trailing_global",
     "win_alert_transitions", "agg_gauge", "agg_drift", "join_rules", "join_cone",
-    "agg_master_flat", "join_calibrate", "agg_stack_sigma_clip", "secret_scan"])
+    "agg_master_flat", "join_calibrate", "join_calibrate_tiles", "pipe_reduce_stack", "agg_stack_sigma_clip",
+    "agg_stack_sigma_clip_tiles", "img_interval_zscale", "secret_scan"])
 def test_no_cross_join_and_no_row_python(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
