@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skyops.functions.text import float_text
 from skyops.functions.thresholds import OPERATORS, compare
 from skyops.operators import logs
-from skyops.operators.timeline import bucketed_lag, time_bucket
+from skyops.operators.timeline import MICROS, WINDOWS_PER_BUCKET, bucket_width, bucketed_lag, time_bucket
 from skyops.schemas import ALERT_RULES
 
 # Metrics a rule may name, severities, and rule defaults.
@@ -63,10 +63,11 @@ def evaluate(stats: DataFrame, rules: DataFrame, keep: Sequence[str]) -> DataFra
 
 
 def transitions(evaluated: DataFrame, keys: Sequence[str], tick: str,
-                bucket_seconds: int = 600) -> DataFrame:
+                bucket_seconds: float = 600) -> DataFrame:
     """Rows where a rule starts to fire or is resolved, per rule and key, in tick order.
 
-    One task sees the ticks of one rule, key and bucket of time, however dense the stream.
+    One task sees the ticks of one rule, key and bucket of time; ``rule_events`` chooses the bucket by
+    the density of the entries.
     """
     order = F.col(tick)
     rows = bucketed_lag(evaluated, ["name", *keys], order, time_bucket(order, bucket_seconds),
@@ -107,21 +108,34 @@ def event_json(tick: str = "ts") -> Column:
         (F.unix_micros(tick) / 1e6).alias("triggered_at"), message().alias("message")))
 
 
-def rule_values(entries: DataFrame, rules: Sequence[dict], keys: Sequence[str] = (),
-                ts: str = "ts") -> DataFrame:
-    """Trailing statistics of each rule's own window, joined to the rules."""
-    spark = entries.sparkSession
-    windows = sorted({int(r.get("window_seconds", logs.DEFAULT_WINDOW)) for r in rules})
+def _window(rule: dict) -> int:
+    return int(rule.get("window_seconds", logs.DEFAULT_WINDOW))
+
+
+def _values(ticks: DataFrame, rules: Sequence[dict], keys: Sequence[str], ts: str, width: int) -> DataFrame:
     out = None
-    for w in windows:
-        mine = [r for r in rules if int(r.get("window_seconds", logs.DEFAULT_WINDOW)) == w]
-        stats = logs.trailing_stats(entries, keys, w, ts)
-        part = evaluate(stats, rules_frame(spark, mine), [*keys, ts])
+    for w in sorted({_window(r) for r in rules}):
+        stats = logs.trailing_stats_of(ticks, keys, w, ts, width)
+        mine = rules_frame(ticks.sparkSession, [r for r in rules if _window(r) == w])
+        part = evaluate(stats, mine, [*keys, ts])
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def _bucket(entries: DataFrame, rules: Sequence[dict], keys: Sequence[str], ts: str) -> int:
+    return bucket_width(entries, keys, F.unix_micros(ts), max(map(_window, rules)) * MICROS * WINDOWS_PER_BUCKET)
+
+
+def rule_values(entries: DataFrame, rules: Sequence[dict], keys: Sequence[str] = (),
+                ts: str = "ts") -> DataFrame:
+    """Trailing statistics of each rule's own window, joined to the rules; all windows share one table of ticks."""
+    width = _bucket(entries, rules, keys, ts)
+    return _values(logs.entry_ticks(entries, keys, ts), rules, keys, ts, width)
+
+
 def rule_events(entries: DataFrame, rules: Sequence[dict], keys: Sequence[str] = (),
                 ts: str = "ts") -> DataFrame:
     """``rule_values`` as transitions."""
-    return transitions(rule_values(entries, rules, keys, ts), keys, ts)
+    width = _bucket(entries, rules, keys, ts)
+    values = _values(logs.entry_ticks(entries, keys, ts), rules, keys, ts, width)
+    return transitions(values, keys, ts, width / MICROS)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyops.functions import logs
 from skyops.functions.text import strip
-from skyops.operators.timeline import trailing_sums
+from skyops.operators.timeline import ticks_of, trailing_sums, trailing_sums_of
 
 # Levels that have their own counter; every other level counts as info.
 COUNTED_LEVELS = ("ERROR", "CRITICAL", "WARNING", "DEBUG")
@@ -88,6 +88,16 @@ def rolling_stats(entries: DataFrame, keys: Sequence[str] = (), since: Column |
     return with_rates(stats)
 
 
+def entry_ticks(entries: DataFrame, keys: Sequence[str] = (), ts: str = "ts") -> DataFrame:
+    """The counters of every distinct (keys, time): what trailing windows of any length start from."""
+    return ticks_of(entries, keys, F.unix_micros(ts), level_counts())
+
+
+def trailing_stats_of(ticks: DataFrame, keys: Sequence[str], window_seconds: int, ts: str, width: int) -> DataFrame:
+    sums = trailing_sums_of(ticks, keys, ts, COUNTERS, window_seconds, width)
+    return with_rates(sums.withColumn("window_end", F.col(ts)))
+
+
 def trailing_stats(entries: DataFrame, keys: Sequence[str] = (),
                    window_seconds: int = DEFAULT_WINDOW, ts: str = "ts") -> DataFrame:
     """Statistics over the closed window [ts - N, ts] at every time an entry arrives."""

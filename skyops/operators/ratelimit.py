@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyops.operators.timeline import MICROS, bucketed_lag, window_sums
+from skyops.operators.timeline import MICROS, WINDOWS_PER_BUCKET, bucket_width, bucketed_lag, sums_of, ticks_of
+from skyops.session import cut_lineage
 
 DEFAULT_MAX = 100
 DEFAULT_WINDOW = 60
@@ -84,13 +85,15 @@ def busy_runs(access: DataFrame, client: str, ts: str, max_requests: int,
               span: int) -> DataFrame:
     """(client, _us, _session) of the busy moments: within a window before one with more than M
     hits. Two window sums, the second looking ahead by running on negated time."""
-    hits = window_sums(access, [client], F.unix_micros(ts), {"_n": F.count(F.lit(1))}, span - 1)
-    full = F.max((F.col("_n") > max_requests).cast("int"))
-    ahead = window_sums(hits.withColumnRenamed("_us", "_at"), [client], -F.col("_at"),
-                        {"_full": full}, span - 1)
+    moments = ticks_of(access, [client], F.unix_micros(ts), {"_n": F.count(F.lit(1))})
+    width = bucket_width(access, [client], F.unix_micros(ts), span * WINDOWS_PER_BUCKET)
+    hits = sums_of(moments, [client], ["_n"], span - 1, width)
+    full = (F.col("_n") > max_requests).cast("int")
+    back = cut_lineage(hits.select(client, (-F.col("_us")).alias("_us"), full.alias("_full")))
+    ahead = sums_of(back, [client], ["_full"], span - 1, width)
     ticks = ahead.select(client, (-F.col("_us")).alias("_us"),
                          (F.col("_full") > 0).alias("_busy"))
-    bucket = F.floor(F.col("_us") / (span * 64))
+    bucket = F.floor(F.col("_us") / width)
     seen = bucketed_lag(ticks, [client], F.col("_us"), bucket, F.struct("_us", "_busy"), "_before")
     fresh = (F.col("_before").isNull() | ~F.col("_before._busy")
              | (F.col("_us") - F.col("_before._us") >= span))

@@ -1,9 +1,10 @@
 """Ordered computations over long timelines, cut into time buckets so no task sees a whole key.
 
 Spark's own window frames put every row of a key into one task, and a sliding frame is
-re-aggregated for each row. The two helpers below keep the exact result with bounded groups
-and linear work: a running sum over enter/leave marks, and a lag that carries the last value
-of earlier buckets forward.
+re-aggregated for each row. The helpers below keep the exact result with bounded groups
+and linear work, on two levels: running sums, or the last value, inside a bucket, and totals of
+whole buckets carried to later ones. A bucket's width is chosen from the density of the data, so
+that a dense hour of a single stream is many tasks; a window may span any number of buckets.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
-# A bucket spans this many windows; each row within one window of its end is sent twice.
+#: Times of a key in a bucket, at most; and the width of a bucket of sparse data, in windows.
+TICKS = 500_000
 WINDOWS_PER_BUCKET = 4
 
 
@@ -24,47 +26,66 @@ def trailing_sums(df: DataFrame, keys: Sequence[str], ts: str, counts: dict[str,
 
     Output: keys, ts, one column per count, and ``window_start`` (oldest time still inside).
     """
-    sums = window_sums(df, keys, F.unix_micros(ts), counts, int(window_seconds) * MICROS)
-    return sums.select(*keys, F.timestamp_micros("_us").alias(ts), *counts,
+    us = F.unix_micros(ts)
+    width = bucket_width(df, keys, us, int(window_seconds) * MICROS * WINDOWS_PER_BUCKET)
+    return trailing_sums_of(ticks_of(df, keys, us, counts), keys, ts, list(counts), window_seconds, width)
+
+
+def trailing_sums_of(ticks: DataFrame, keys: Sequence[str], ts: str, names: Sequence[str],
+                     window_seconds: int, width: int) -> DataFrame:
+    """``trailing_sums`` over ``ticks_of``, which several windows may share."""
+    sums = sums_of(ticks, keys, names, int(window_seconds) * MICROS, width)
+    return sums.select(*keys, F.timestamp_micros("_us").alias(ts), *names,
                        F.timestamp_micros("_oldest").alias("window_start"))
 
 
-def window_sums(df: DataFrame, keys: Sequence[str], us: Column, counts: dict[str, Column],
-                span: int) -> DataFrame:
-    """For every distinct (keys, us): the counts summed over [us - span, us], and ``_oldest``.
+def ticks_of(df: DataFrame, keys: Sequence[str], us: Column, counts: dict[str, Column]) -> DataFrame:
+    """One row for each distinct (keys, us) with its counts: rows of equal time meet before any window."""
+    return df.groupBy(*keys, us.alias("_us")).agg(*[c.alias(n) for n, c in counts.items()])
+
+
+def bucket_width(df: DataFrame, keys: Sequence[str], us: Column, widest: int) -> int:
+    """Microseconds of a bucket: ``widest``, less where the densest second of a key asks for it.
+
+    Ticks of a key are distinct microseconds, so no bucket holds more than ``TICKS`` of them. The
+    rows of a second are counted by a map-side combined aggregate; one number reaches the driver.
+    """
+    seconds = df.groupBy(*keys, F.floor(us / MICROS).alias("_second")).agg(F.count(F.lit(1)).alias("_n"))
+    densest = seconds.agg(F.max("_n")).first()[0] or 1
+    return max(TICKS, min(widest, TICKS * MICROS // densest))
+
+
+def sums_of(ticks: DataFrame, keys: Sequence[str], names: Sequence[str], span: int, width: int) -> DataFrame:
+    """For every tick (keys, _us): the counts summed over [_us - span, _us], and ``_oldest``.
 
-    Rows of equal time are combined before the shuffle. Each then enters the window at its time
-    and leaves just after time + span; a running sum over those marks is the trailing sum.
+    Each tick enters the window at its time and leaves just after time + span; the running sum over
+    those marks is the trailing sum, and the next to leave is the oldest inside. A bucket takes the
+    sums of the buckets before it, and where nothing leaves in it any more, the first to leave after it.
     """
-    width = max(span, 1) * WINDOWS_PER_BUCKET
-    names = list(counts)
-    ticks = df.groupBy(*keys, us.alias("_us")).agg(*[c.alias(n) for n, c in counts.items()])
+    keys = list(keys)
     us = F.col("_us")
-    bucket = F.floor(us / width)
-
-    def mark(b: Column, order: Column, sign: int, tick: bool, leaver: Column) -> Column:
-        return F.struct(b.alias("_b"), order.alias("_o"), F.lit(sign).alias("_sign"),
-                        F.lit(tick).alias("_tick"), leaver.alias("_leaver"))
-
-    nobody = F.lit(None).cast("bigint")
-    leave = (us + span) * 2 + 1
-    own = [mark(bucket, us * 2, 1, True, nobody), mark(bucket, leave, -1, False, us)]
-    late = us + span >= (bucket + 1) * width
-    spill = [F.when(late, mark(bucket + 1, us * 2, 1, False, nobody)),
-             F.when(late, mark(bucket + 1, leave, -1, False, us))]
-    marks = ticks.select(*keys, "_us", *names,
-                         F.inline(F.array_compact(F.array(*own, *spill))))
-
-    part = Window.partitionBy(*keys, "_b").orderBy("_o")
-    upto = part.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    by = ", ".join(f"`{k}`" for k in [*keys, "_b"])
+
+    def mark(at: Column, order: Column, sign: int, leaver: Column) -> Column:
+        return F.struct(F.floor(at / width).alias("_b"), order.alias("_o"), F.lit(sign).alias("_sign"), leaver.alias("_leaver"))
+
+    marks = ticks.select(*keys, _spread(keys).alias("_h"), "_us", *names, F.inline(F.array(
+        mark(us, us * 2, 1, F.lit(None).cast("bigint")), mark(us + span, (us + span) * 2 + 1, -1, us))))
+    signed = [(n, F.sum(F.col(n) * F.col("_sign"))) for n in names]
+    totals = marks.groupBy("_h", "_b", *keys).agg(*[c.alias(f"_t_{n}") for n, c in signed], F.min("_leaver").alias("_first"))
+    earlier = _over(["_h", *keys]).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    later = _over(["_h", *keys]).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    # leavers ascend, so the first to leave later is the least of the later buckets
+    carried = totals.select("_h", "_b", *keys, *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_t_{n}") for n in names],
+                            F.min("_first").over(later).alias("_first"))
+    inside = _over(["_h", "_b", *keys])
+    upto = inside.orderBy("_o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by = ", ".join(f"`{k}`" for k in ["_h", "_b", *keys])
     oldest = F.expr(f"lead(_leaver) IGNORE NULLS OVER (PARTITION BY {by} ORDER BY _o)")
-    return (
-        marks.select(
-            *keys, "_us", "_tick", oldest.alias("_oldest"),
-            *[F.sum(F.col(n) * F.col("_sign")).over(upto).alias(n) for n in names])
-        .filter("_tick")
-        .select(*keys, "_us", *names, "_oldest"))
+    local = marks.repartition("_h", "_b").select(
+        "_h", "_b", *keys, "_us", "_sign", *[c.over(upto).alias(n) for n, c in signed], oldest.alias("_oldest"))
+    return _with_carried(local.filter("_sign = 1"), carried, keys).select(
+        *[F.col(f"l.{k}") for k in keys], "l._us", *[(F.col(f"l.{n}") + F.col(f"r._t_{n}")).alias(n) for n in names],
+        F.coalesce("l._oldest", "r._first").alias("_oldest"))
 
 
 def bucketed_lag(df: DataFrame, keys: Sequence[str], order: Column, bucket: Column, value: Column,
@@ -76,29 +97,38 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], order: Column, bucket: Colu
     The result is null only where the key has no earlier row or the earlier value is null.
     """
     keys = list(keys)
-    spread = F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")
-    rows = df.withColumns({"_o": order, "_b": bucket, "_v": value, "_h": spread})
+    rows = df.withColumns({"_o": order, "_b": bucket, "_v": value, "_h": _spread(keys)})
     ends = rows.groupBy("_h", "_b", *keys).agg(F.max_by(F.struct("_v"), "_o").alias("_end"))
     carried = ends.select(
         "_h", "_b", *keys, F.lag("_end").over(_over(["_h", *keys]).orderBy("_b")).alias("_carry"))
-    # one exchange on (hash, bucket) serves both the window and the join; null keys compare inside
     inside = rows.repartition("_h", "_b").withColumn(
         "_prev", F.lag(F.struct("_v")).over(_over(["_h", "_b", *keys]).orderBy("_o")))
-    left, right = inside.alias("l"), carried.alias("r")
+    return _with_carried(inside, carried, keys).select(
+        *[F.col(f"l.{c}") for c in df.columns], F.coalesce("l._prev", "r._carry")["_v"].alias(name))
+
+
+def _spread(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")
+
+
+def _with_carried(local: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows ``l`` with what their bucket carries, ``r``.
+
+    One exchange on (hash, bucket) serves both the window and the join; null keys compare inside.
+    """
+    left, right = local.alias("l"), carried.alias("r")
     same = (F.col("l._h") == F.col("r._h")) & (F.col("l._b") == F.col("r._b"))
     for k in keys:
         lk, rk = F.col(f"l.{k}"), F.col(f"r.{k}")
         # spelt as an interval so that it stays a condition and not a third join key
         same = same & ((lk.isNull() & rk.isNull())
                        | F.coalesce((lk <= rk) & (lk >= rk), F.lit(False)))
-    joined = left.join(right, same, "left").select("l.*", "r._carry")
-    return joined.select(*[F.col(c) for c in df.columns],
-                         F.coalesce("_prev", "_carry")["_v"].alias(name))
+    return left.join(right, same, "left")
 
 
 def _over(columns):
     return Window.partitionBy(*columns)
 
 
-def time_bucket(ts: Column, seconds: int) -> Column:
-    return F.floor(F.unix_micros(ts) / (seconds * MICROS))
+def time_bucket(ts: Column, seconds: float) -> Column:
+    return F.floor(F.unix_micros(ts) / int(seconds * MICROS))

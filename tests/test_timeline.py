@@ -2,11 +2,11 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import Window
+from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 
-from skyops.operators import alerts, logs, ratelimit
-from skyops.operators.timeline import bucketed_lag, time_bucket
+from skyops.operators import alerts, logs, ratelimit, timeline
+from skyops.operators.timeline import bucketed_lag, sums_of, ticks_of, time_bucket
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -99,3 +99,32 @@ def test_rate_limit_against_brute_force(spark, limit, window):
 def test_time_bucket(spark):
     b = spark.range(1).select(time_bucket(F.lit(T0).cast("timestamp"), 60)).first()[0]
     assert b == int((T0 - dt.datetime(1970, 1, 1)).total_seconds()) // 60
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+@pytest.mark.parametrize("width", [3, 40, 10_000])
+def test_sums_over_buckets_of_any_width(spark, keys, width):
+    """Windows that span many buckets, and buckets that hold many windows, null keys too."""
+    rng = random.Random(width)
+    rows = [(rng.choice([None, "a", "b"]), rng.choice([rng.randrange(900), 5000 + rng.randrange(60)]), rng.randrange(5)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "k string, us long, v long")
+    for span in (0, 17, 400):
+        ticks = ticks_of(df, keys, F.col("us"), {"s": F.sum("v")})
+        got = sorted(map(str, sums_of(ticks, keys, ["s"], span, width).collect()))
+        want = []
+        for k, us in {(k if keys else None, us) for k, us, _ in rows}:
+            inside = [(u, v) for kk, u, v in rows if (not keys or kk == k) and us - span <= u <= us]
+            want.append(str(Row(**({"k": k} if keys else {}), _us=us, s=sum(v for _, v in inside), _oldest=min(inside)[0])))
+        assert got == sorted(want)
+
+
+def test_a_dense_stream_gets_narrow_buckets(spark, monkeypatch):
+    monkeypatch.setattr(timeline, "TICKS", 1000)
+    dense = spark.range(50_000).select(F.col("id").alias("us"))
+    assert timeline.bucket_width(dense, [], F.col("us"), 10**12) == 1000 * timeline.MICROS // 50_000
+    ticks = ticks_of(dense, [], F.col("us"), {"n": F.count(F.lit(1))})
+    sums = sums_of(ticks, [], ["n"], 9999, 20_000)
+    assert sums.agg(F.max("n"), F.sum("n")).first()[:] == (10_000, sum(min(i + 1, 10_000) for i in range(50_000)))
+    sparse = spark.range(10).select((F.col("id") * 3_600_000_000).alias("us"))
+    assert timeline.bucket_width(sparse, [], F.col("us"), 123_456_789) == 123_456_789
+    assert timeline.bucket_width(sparse.limit(0), [], F.col("us"), 123_456_789) == 123_456_789
