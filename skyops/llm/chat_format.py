@@ -150,8 +150,11 @@ def messages(df: DataFrame, parts: Column, conv_id: str = "conv_id", turn: str =
     return rows.select("conv_id", "turn", "role", "string", spans.alias("spans"), F.col("_laid.attachments").alias("attachments"))
 
 
-def format(df: DataFrame, parts: Column, visitor: Visitor | None = None, **names) -> DataFrame:
-    """Chunks of formatted conversations: conv_id, part, chunk (their order), n_turns, formatted, spans, attachments."""
+def format(df: DataFrame, parts: Column, visitor: Visitor | None = None, chunk: int = CHUNK, **names) -> DataFrame:
+    """Chunks of formatted conversations: conv_id, part, chunk (their order), n_turns, formatted, spans, attachments.
+
+    A chunk is closed at ``chunk`` code points. ``names`` are those of ``messages``.
+    """
     rows = messages(df, parts, visitor=visitor, **names)
     # the row number parts rows that are equal in all else, should one message be a large share of all
     order = ["conv_id", "turn", "role", F.sha2("string", 256), F.monotonically_increasing_id()]
@@ -160,7 +163,8 @@ def format(df: DataFrame, parts: Column, visitor: Visitor | None = None, **names
     kind = rows.schema["conv_id"].dataType
     schema = T.StructType([T.StructField("conv_id", kind)]).add("part", "integer").add("chunk", "long").add("n_turns", "long").add(
         "formatted", "string").add("spans", T.DataType.fromDDL(_SPANS)).add("attachments", T.DataType.fromDDL(_ATTACHMENTS))
-    return dealt.select("conv_id", "string", "spans", "attachments").mapInArrow(_laid_out, schema)
+    return dealt.select("conv_id", "string", "spans", "attachments").mapInArrow(
+        lambda batches: _laid_out(batches, chunk), schema)
 
 
 class _Chunk:
@@ -176,7 +180,7 @@ class _Chunk:
         self.size += len(string)
 
 
-def _laid_out(batches) -> Iterator[pa.RecordBatch]:
+def _laid_out(batches, limit: int) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     now, kind, closed, size = None, None, [], 0
 
@@ -192,13 +196,13 @@ def _laid_out(batches) -> Iterator[pa.RecordBatch]:
     for b in batches:
         kind = b.column("conv_id").type
         for conv, string, spans, attachments in zip(*(b.column(c).to_pylist() for c in b.schema.names), strict=True):
-            if now is None or now.conv != conv or now.size >= CHUNK:
+            if now is None or now.conv != conv or now.size >= limit:
                 if now is not None:
                     closed.append(now)
                     size += now.size
                 now = _Chunk(conv, now.number + 1 if now is not None and now.conv == conv else 0)
             now.add(string, spans, attachments)
-            if size >= CHUNK:
+            if size >= limit:
                 yield out()
                 closed, size = [], 0
     if now is not None:

@@ -26,9 +26,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyops.operators.ranks import with_ranks
 from skyops.session import cut_lineage
 
 FANOUT, BAND = 3, 5
@@ -50,21 +51,6 @@ def leaf(columns: Sequence[Column]) -> Column:
     return digest(*map(field, columns))
 
 
-def ranked(rows: DataFrame, tree: str, order: Sequence[str]) -> DataFrame:
-    """Add ``rank`` of each row in its tree from 0, and ``n``, the rows of the tree."""
-    stored = cut_lineage(rows.withColumn("_at", F.monotonically_increasing_id()))  # parts equal rows as well
-    place = cut_lineage(stored.orderBy(tree, *order, "_at").withColumn("_at", F.monotonically_increasing_id()))
-    part = F.shiftright("_at", 33)
-    parts = place.groupBy(F.col(tree).alias("_tree"), part.alias("_part")).agg(
-        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    whole = Window.partitionBy("_tree")  # a row for each partition that the tree spans
-    before = F.sum("_rows").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = parts.withColumns({"n": F.sum("_rows").over(whole), "_before": F.coalesce(before, F.lit(0))})
-    same = F.col(tree).eqNullSafe(F.col("_tree")) & (part == F.col("_part"))
-    return place.join(starts, same).select(
-        *rows.columns, (F.col("_at") - F.col("_first") + F.col("_before")).alias("rank"), "n")
-
-
 def _parents(level: str) -> Column:
     """The nodes above those of an array column."""
     def node(i):
@@ -135,9 +121,11 @@ class Trees:
         """Every node: tree, level, lo, hi, digest."""
         out = None
         for b, band in enumerate(self.bands):
-            inner = [F.transform(F.col(f"level{k}"), lambda x, k=k: F.struct(F.lit(b * BAND + k).alias("level"), x["lo"].alias("lo"),
-                                                                        x["hi"].alias("hi"), x["digest"].alias("digest")))
-                     for k in range(BAND)]
+            def labelled(k, b=b):
+                return F.transform(f"level{k}", lambda x: F.struct(
+                    F.lit(b * BAND + k).alias("level"), x["lo"].alias("lo"), x["hi"].alias("hi"), x["digest"].alias("digest")))
+
+            inner = [labelled(k) for k in range(BAND)]
             # a lone node is its own top; else the levels below the top are in the block, and the top is an item above or a root
             levels = F.slice(F.array(*inner), 1, F.greatest("levels", F.lit(0)))
             own = F.array(F.struct((F.col("levels") + b * BAND).alias("level"), "lo", "hi", "digest"))
@@ -200,9 +188,10 @@ def manifest(df: DataFrame, tree: str, order: str, columns: Sequence[str],
     names = list(payload)
     leaves = df.select(F.col(tree).alias("tree"), F.col(order).alias("_order"),
                        leaf([F.col(c) for c in columns]).alias("digest"), *[c.alias(n) for n, c in payload.items()])
-    lower = build(ranked(leaves, "tree", ["_order", "digest"]), names)
+    # stored first, since a range-partitioned sort reads its input twice and the texts are hashed in it
+    lower = build(with_ranks(cut_lineage(leaves), ["tree"], ["_order", "digest"]), names)
     roots = lower.roots.select(F.lit(0).alias("tree"), F.col("tree").alias("group"), "digest")
-    return lower, build(ranked(roots, "tree", ["group"]), ["group"])
+    return lower, build(with_ranks(roots, ["tree"], ["group"]), ["group"])
 
 
 def proofs(lower: Trees, upper: Trees) -> DataFrame:
