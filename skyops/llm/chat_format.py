@@ -6,7 +6,7 @@ expanded token count are recorded in order. The template is ::
 
     <|im_start|>role\\nparts<|im_end|>\\n
 
-Two texts in a row have ``<|part|>`` between them. Control strings inside texts are those of the template
+Two texts in a row have ``<|part|>`` between them, and so has an empty text beside an attachment. Control strings inside texts are those of the template
 and those that common models know; each gets a backslash after its first character, more if it
 has some already, so that escaping is undone by taking one away, and an unescaped control string is always
 the template's. A role's backslashes and line feeds are escaped, so that it stays one line.
@@ -47,7 +47,7 @@ CHUNK = 1 << 16
 _REST = r"\|[A-Za-z0-9_]+\|>|/?(?:s|SYS|unk|pad)>|/?INST\]"
 _PLAIN = re.compile(rf"([<\[])\\(\\*)(?={_REST})")
 _MESSAGE = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
-_PIECE = re.compile("(" + "|".join(map(re.escape, [BETWEEN, *PLACEHOLDERS.values()])) + ")")
+_ATTACHED = re.compile("|".join(map(re.escape, PLACEHOLDERS.values())))
 
 _SPANS = "array<struct<start:bigint,end:bigint>>"
 _ATTACHMENTS = "array<struct<kind:string,ref:string,tokens:bigint,at:bigint>>"
@@ -127,8 +127,10 @@ def messages(df: DataFrame, parts: Column, conv_id: str = "conv_id", turn: str =
     rows = rows.select("*", F.concat(F.lit(START), line, F.lit("\n")).alias("_head"), flat.alias("_flat"))
 
     def between(p, i):
-        again = (i > 0) & p["kind"].isNull() & F.get("_flat", i - 1)["kind"].isNull()
-        return F.struct(F.when(again, F.lit(BETWEEN)).otherwise(F.lit("")).alias("before"), p.alias("p"))
+        before = F.get("_flat", i - 1)
+        texts = p["kind"].isNull() & before["kind"].isNull()
+        apart = (i > 0) & (texts | (p["string"] == "") | (before["string"] == ""))
+        return F.struct(F.when(apart, F.lit(BETWEEN)).otherwise(F.lit("")).alias("before"), p.alias("p"))
 
     rows = rows.withColumn("_flat", F.transform("_flat", between))
 
@@ -219,14 +221,15 @@ def read(formatted: str) -> Iterator[tuple[str, list[str | None]]]:
 
 def _parts(body: str) -> list[str | None]:
     out: list[str | None] = []
-    for k, piece in enumerate(_PIECE.split(body)):
-        if k % 2 == 0:
-            if piece or not out or out[-1] is not None:
-                out.append(plain(piece))
-        elif piece != BETWEEN:
-            if out and out[-1] == "":
+    for group in body.split(BETWEEN):
+        pieces = _ATTACHED.split(group)
+        out.append(plain(pieces[0]))
+        for piece in pieces[1:]:
+            if out[-1] == "":
                 out.pop()
-            out.append(None)
+            out += [None, plain(piece)]
+        if len(pieces) > 1 and out[-1] == "":
+            out.pop()
     return out
 
 

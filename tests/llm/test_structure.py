@@ -271,6 +271,6 @@ def test_odd_parts(spark):
     rows = [(1, 0, "user", [None, {"type": "video", "ref": "v"}, {"type": None, "text": "t"}, {"type": "IMAGE", "ref": None}]), (2, 0, "user", None)]
     df = spark.createDataFrame(rows, "conv_id long, turn int, role string, parts array<struct<type:string,text:string,ref:string>>")
     got = {r.conv_id: r for r in chat_format.format(df, F.col("parts")).collect()}
-    assert got[1].formatted == "<|im_start|>user\n<|document|>t<|image|><|im_end|>\n"
+    assert got[1].formatted == "<|im_start|>user\n<|part|><|document|>t<|image|><|im_end|>\n"
     assert [(a.kind, a.ref, a.tokens) for a in got[1].attachments] == [("document", "v", 1024), ("image", None, 2)]
     assert got[2].formatted == "<|im_start|>user\n<|im_end|>\n"
