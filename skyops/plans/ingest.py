@@ -33,11 +33,11 @@ def routed_rows(raw: DataFrame, run: dict) -> DataFrame:
     return routed
 
 
-def ingest(raw: DataFrame, table: str, runs_table: str, version: int, *,
+def ingest(raw: DataFrame, table: str, runs_table: str, seq: int, *,
            dry_run: bool = False, run_id: str | None = None, now=None) -> dict:
     """Run all stages; a dry run stops before the table but is audited, as is a failure.
 
-    ``raw`` holds the raw columns and a unique ``row_ord``. Returns the audit record.
+    ``raw`` holds the raw columns and a unique ``row_ord``; ``seq`` numbers the writes of the table. Returns the audit record.
     """
     spark = raw.sparkSession
     run = _start(run_id)
@@ -49,7 +49,7 @@ def ingest(raw: DataFrame, table: str, runs_table: str, version: int, *,
             run["status"] = "dry_run"
         else:
             if run["records_transformed"]:
-                upsert.write_upsert(upsert.stamp(clean, run["run_id"], now), table, version)
+                upsert.write_upsert(upsert.stamp(clean, run["run_id"], now), table, seq)
             run["records_loaded"] = run["records_transformed"]
             run["status"] = "success"
     except Exception as e:

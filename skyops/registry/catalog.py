@@ -10,7 +10,7 @@ from skyops.operators import catalog, quality
 from skyops.plans import ingest, statistics
 from skyops.registry import query
 from skyops.registry.bindings import QUERY_SQL, RAW_SQL, query_catalog, raw_catalog, table
-from skyops.schemas import RAW_COLUMNS, RUNS, STORED_CATALOG
+from skyops.schemas import RAW_COLUMNS, RUNS
 from skyops.session import scratch_dir
 from skyops.sinks import audit, export, upsert
 from skyops.sources import catalog as source
@@ -358,9 +358,10 @@ def _(spark, sf):
     second = _stored_slice(spark, sf, "row_ord % 3 = 0 OR row_ord % 2 = 1").withColumn(
         "mass_earth", F.when(F.split_part("pl_name", F.lit(" "), F.lit(2)).cast("long") % 9 != 0,
                              F.col("mass_earth") * 2))
-    upsert.write_upsert(first, path, 1)
-    upsert.write_upsert(upsert.stamp(second, "run-2", F.lit(_T1).cast("timestamp")), path, 2)
-    return upsert.read_version(spark, path, 2).select(
+    second = upsert.stamp(second, "run-2", F.lit(_T1).cast("timestamp"))
+    for rows, seq in ((first, 1), (second, 2), (first, 1)):  # the first comes again and changes nothing
+        upsert.write_upsert(rows, path, seq)
+    return upsert.read_table(spark, path).select(
         "pl_name", "hostname", "mass_earth", "run_id",
         F.date_format("ingested_at", "yyyy-MM-dd").alias("ingested_on"),
         F.date_format("updated_at", "yyyy-MM-dd").alias("updated_on"))
@@ -472,14 +473,19 @@ def _(spark, sf):
 
 # -- ingest ------------------------------------------------------------------------
 
-@query("pipe_ingest", f"WITH {_ROUTED} SELECT {_CLEAN_OUT}, 'run-1' AS run_id FROM routed "
-       "WHERE outcome = 'valid'")
+@query("pipe_ingest", f"""WITH {_ROUTED}, n AS (SELECT count(*) AS records_extracted,
+  count(*) FILTER (outcome = 'valid') AS records_validated, count(*) FILTER (outcome <> 'valid') AS records_failed_validation,
+  count(*) FILTER (outcome = 'valid') AS records_transformed, count(*) FILTER (outcome = 'valid') AS records_loaded FROM routed)
+SELECT {_CLEAN_OUT}, 'run-1' AS run_id, 'success' AS status, records_extracted, records_validated, records_failed_validation,
+  records_transformed, records_loaded FROM routed, n WHERE outcome = 'valid'""")
 def _(spark, sf):
+    """The stored catalog, each row with the audit record of the run that wrote it."""
     path = scratch_dir(spark, "ingest")
     raw = raw_catalog(spark, sf).withColumn("disc_year", F.col("disc_year").cast("int"))
     ingest.ingest(raw, f"{path}/catalog", f"{path}/runs", 1, run_id="run-1")
-    stored = upsert.read_version(spark, f"{path}/catalog", 1, STORED_CATALOG)
-    return _clean_out(stored.drop("ingested_at", "updated_at"))
+    stored = _clean_out(upsert.read_table(spark, f"{path}/catalog").drop("ingested_at", "updated_at"))
+    runs = spark.read.schema(RUNS).parquet(f"{path}/runs").drop("started_at", "completed_at", "error_message")
+    return stored.join(runs, "run_id")
 
 
 @query("pipe_validate_only", f"""WITH {_ROUTED} SELECT 'validated' AS status,

@@ -56,10 +56,11 @@ def drain(spark, df, name, fmt="parquet", schema=None):
 
 
 def drain_updates(spark, df, name, keys):
+    """Run a stream in update mode into a table that keeps the newest row of every key."""
     path = scratch_dir(spark, name)
-    run.each_batch(df, st_metrics.latest_table(f"{path}/out"), f"{path}/checkpoint",
-                   "update").awaitTermination()
-    return st_metrics.read_latest(spark, f"{path}/out", keys)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    run.each_batch(df, st_metrics.latest_table(f"{path}/out", schema, keys), f"{path}/checkpoint", "update").awaitTermination()
+    return upsert.read_table(spark, f"{path}/out", schema)
 
 
 # -- logs --------------------------------------------------------------------------------------
@@ -124,6 +125,23 @@ def _(spark, sf):
         "name", F.unix_micros("ts").alias("us"), F.round("value", 9).alias("value"), "state")
 
 
+@query("st_firing_now", f"""WITH {_WINDOWS.format(keys='')},
+ev AS (SELECT 'high_error_rate' AS name, start_us + {_N * 1000000} AS us,
+    (error_count + critical_count) / total_entries AS value,
+    (error_count + critical_count) / total_entries > 0.5 AS breached FROM closed
+  UNION ALL SELECT 'busy', start_us + {_N * 1000000}, CAST(total_entries AS DOUBLE),
+    total_entries >= 18 FROM closed),
+ch AS (SELECT * FROM (SELECT *, lag(breached, 1, false) OVER (PARTITION BY name ORDER BY us) AS was FROM ev) WHERE breached <> was)
+SELECT name, '' AS stream, max(us) AS us, round(arg_max(value, us), 9) AS value FROM ch GROUP BY 1 HAVING arg_max(breached, us)""")
+def _(spark, sf):
+    """The alerts that fire once the log is read to its end, from the state of the alert query."""
+    path = scratch_dir(spark, "firing")
+    events = st_alerts.watch(log_stream(spark, sf), _RULES, None, _N, _SLIDE, f"{_DELAY} seconds")
+    run.to_files(events, f"{path}/alerts", f"{path}/checkpoint").awaitTermination()
+    return st_alerts.firing_now(spark, f"{path}/checkpoint").select(
+        "name", "stream", F.unix_micros("ts").alias("us"), F.round("value", 9).alias("value"))
+
+
 @query("pipe_log_watch", f"""WITH {_WINDOWS.format(keys='')},
 ev AS (SELECT 'busy' AS alert, 'WARNING: busy — total_entries is' AS what, '>= 18.0' AS bound,
     start_us + {_N * 1000000} AS us, CAST(total_entries AS DOUBLE) AS value, total_entries >= 18 AS breached
@@ -210,32 +228,30 @@ def _(spark, sf):
                          F.col("r.context")["k"].alias("k"))
 
 
-# Two files, the older events second: what lies behind the watermark by then is dropped.
+# The older events come second: what lies behind the watermark by then is dropped.
 @query("st_late_policy", """WITH t AS (SELECT ts, event_id,
   epoch_us(ts) >= (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 FROM events) AS young
   FROM events)
 SELECT 'kept' AS what, count(*) AS n FROM t WHERE young
 UNION ALL SELECT 'late', count(*) FROM t WHERE NOT young""")
 def _(spark, sf):
+    """Rows that a stateful stream kept, and the number that Spark says it dropped."""
     path = scratch_dir(spark, "late")
-    events = b.events(spark, sf)
+    events = b.events(spark, sf).select("event_id", "ts")
     us = F.unix_micros("ts")
     low, high = events.agg(F.min(us), F.max(us)).first()
     young = us >= (low + high) // 2
-    schema = events.select("event_id", "ts").schema
-    events.filter(young).select("event_id", "ts").coalesce(1).write.parquet(f"{path}/in/a")
-    counts = (spark.readStream.schema(schema).option("recursiveFileLookup", True)
-              .option("pathGlobFilter", "*.parquet").parquet(f"{path}/in")
-              .withWatermark("ts", "10 minutes").groupBy(F.window("ts", "1 hour"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    sink = st_metrics.latest_table(f"{path}/out")
-    run.each_batch(counts, sink, f"{path}/checkpoint", "update").awaitTermination()
-    events.filter(~young).select("event_id", "ts").coalesce(1).write.parquet(f"{path}/in/b")
-    run.each_batch(counts, sink, f"{path}/checkpoint", "update").awaitTermination()
-    kept = st_metrics.read_latest(spark, f"{path}/out", ["window"]).agg(F.sum("n").alias("n"))
-    total = events.agg(F.count(F.lit(1)).alias("n"))
-    late = total.select(F.lit("late").alias("what"), (F.col("n") - kept.scalar()).alias("n"))
-    return kept.select(F.lit("kept").alias("what"), "n").unionByName(late)
+    late = 0
+    for part in (events.filter(young), events.filter(~young)):
+        part.write.mode("append").parquet(f"{path}/in")
+        rows = spark.readStream.schema(events.schema).option("pathGlobFilter", "*.parquet").parquet(f"{path}/in")
+        once = rows.withWatermark("ts", "10 minutes").dropDuplicates(["event_id", "ts"])
+        query = run.to_files(once, f"{path}/out", f"{path}/checkpoint")
+        query.awaitTermination()
+        late += run.late_rows(query)
+    kept = spark.read.schema(events.schema).parquet(f"{path}/out").agg(F.count(F.lit(1)).alias("n"))
+    return kept.select(F.lit("kept").alias("what"), "n").unionByName(
+        spark.createDataFrame([("late", late)], "what string, n bigint"))
 
 
 # -- metrics ----------------------------------------------------------------------------------------
@@ -279,9 +295,9 @@ SELECT s.name, s.label, round(sum(CASE op WHEN 'dec' THEN -value ELSE value END)
 FROM s JOIN l ON s.name = l.name AND s.label = l.label
 WHERE last_set IS NULL OR event_id >= last_set GROUP BY 1, 2""")
 def _(spark, sf):
-    rows = drain_updates(spark, st_metrics.gauges(sample_stream(spark, sf)), "gauges",
-                         ["name", "label"])
-    return rows.withColumn("value", F.round("value", 6))
+    path = scratch_dir(spark, "gauges")
+    run.each_batch(sample_stream(spark, sf), st_metrics.gauge_table(f"{path}/out"), f"{path}/checkpoint").awaitTermination()
+    return st_metrics.read_gauges(spark, f"{path}/out").withColumn("value", F.round("value", 6))
 
 
 @query("st_request_metrics", "SELECT method, endpoint, status, count(*) AS requests FROM (SELECT "
@@ -341,11 +357,12 @@ def _(spark, sf):
 @query("st_upsert", f"WITH {_ROUTED} SELECT {_CLEAN_OUT}, 'run-s' AS run_id FROM routed "
        "WHERE outcome = 'valid'")
 def _(spark, sf):
+    """Every row is delivered twice; what comes again is dropped before the table sees it."""
     path = scratch_dir(spark, "stream-upsert")
-    raw = b.project(stream(spark, sf, "part"), b.RAW).withColumn(
-        "disc_year", F.col("disc_year").cast("int"))
+    part = stream(spark, sf, "part")
+    twice = part.unionByName(stream(spark, sf, "part")).withColumn("_at", F.timestamp_seconds(F.col("p_partkey")))
+    once = st_upsert.without_redelivered(twice, ["p_partkey"], "_at", "1 day").select(*part.columns)
+    raw = b.project(once, b.RAW).withColumn("disc_year", F.col("disc_year").cast("int"))
     st_upsert.upsert_stream(raw, f"{path}/catalog", f"{path}/checkpoint",
                             "run-s").awaitTermination()
-    version = st_upsert.latest_version(spark, f"{path}/catalog")
-    stored = upsert.read_version(spark, f"{path}/catalog", version)
-    return _clean_out(stored.drop("ingested_at", "updated_at"))
+    return _clean_out(upsert.read_table(spark, f"{path}/catalog").drop("ingested_at", "updated_at"))

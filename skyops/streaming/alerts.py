@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -18,11 +18,14 @@ EVENTS = ("name string, stream string, ts timestamp, metric string, operator str
 _COLUMNS = [c.split()[0] for c in EVENTS.split(", ")]
 
 
+STATE = "firing boolean, ts timestamp, value double"
+
+
 class Transitions(StatefulProcessor):
-    """Keeps one flag per (rule, stream): whether it is firing."""
+    """Keeps for each (rule, stream) whether it is firing, and when and at what value that began."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._firing = handle.getValueState("firing", "firing boolean")
+        self._firing = handle.getValueState("firing", STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         ticks = pd.concat(list(rows)).sort_values("ts", kind="stable")
@@ -32,8 +35,9 @@ class Transitions(StatefulProcessor):
         was = [firing, *hit[:-1]]
         changed = hit != was
         if changed.any():
-            self._firing.update((bool(hit[-1]),))
             out = ticks[changed].copy()
+            last = out.iloc[-1]
+            self._firing.update((bool(hit[-1]), last["ts"].to_pydatetime(), float(last["value"])))
             out["state"] = ["firing" if h else "resolved" for h in hit[changed]]
             yield out[_COLUMNS]
 
@@ -69,3 +73,13 @@ def watch(entries: DataFrame, rules: Sequence[dict], stream_key: str | None = No
         part = alerts.evaluate(ticked, alerts.rules_frame(spark, mine), ["stream", "ts"])
         evaluated = part if evaluated is None else evaluated.unionByName(part)
     return transitions(evaluated)
+
+
+def firing_now(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What fires now, read from the state of a running or stopped ``watch`` query: name, stream, ts and value at its start."""
+    operators = spark.read.format("state-metadata").load(checkpoint)
+    ours = operators.where(F.col("operatorProperties").contains('"stateName":"firing"')).select("operatorId").first()
+    if ours is None:
+        raise ValueError(f"{checkpoint}: not the checkpoint of an alert query")
+    state = spark.read.format("statestore").option("operatorId", ours[0]).option("stateVarName", "firing").load(checkpoint)
+    return state.where("value.firing").select("key.name", "key.stream", "value.ts", "value.value")

@@ -1,67 +1,62 @@
-"""Live counters, histograms and gauges."""
+"""Live counters, histograms and gauges, kept as bucketed tables of their latest values.
+
+Each micro-batch is first reduced to one row a label set by an ordinary aggregate, which combines
+before the shuffle; only those rows meet the stored values. What is stored is bounded by the label
+sets, however many batches there were, and a batch that is repeated changes nothing.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from skyops.functions.labels import format_labels
-from skyops.streaming import run
+from skyops.sinks import upsert
+
+GAUGES = "name string, label string, value double, resets boolean"
 
-GAUGES = "name string, label string, value double"
 
+def latest_table(path: str, schema: str, keys: Sequence[str], buckets: int = upsert.BUCKETS) -> Callable[[DataFrame, int], None]:
+    """A per-batch function that keeps the newest row of every key of update-mode output."""
 
-class GaugeState(StatefulProcessor):
-    """Current value of one label set. Rows of a batch are applied in (ts, seq) order."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        upsert.write_upsert(batch, path, batch_id + 1, list(keys), schema, (), buckets)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._value = handle.getValueState("value", "value double")
+    return write
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        pdf = pd.concat(list(rows)).sort_values(["ts", "seq"], kind="stable")
-        before = self._value.get()
-        value = float(before[0]) if before is not None else 0.0
-        ops, amounts = pdf["op"].to_numpy(), pdf["value"].to_numpy(dtype=float)
-        sets = (ops == "set").nonzero()[0]
-        if len(sets):
-            value, start = amounts[sets[-1]], sets[-1] + 1
-        else:
-            start = 0
-        sign = 1.0 - 2.0 * (ops[start:] == "dec")
-        value += float((sign * amounts[start:]).sum())
-        self._value.update((value,))
-        yield pd.DataFrame({"name": [key[0]], "label": [key[1]], "value": [value]})
 
-    def close(self) -> None:
-        pass
+def gauge_changes(samples: DataFrame, seq: str = "event_id") -> DataFrame:
+    """What a batch does to each gauge: the value after its last ``set`` by (ts, seq), or the sum of its changes.
 
+    Samples at or after the last set count, so the sums are taken for each set in two steps: the place of the last
+    set of a label set, then the samples from there on.
+    """
+    rows = samples.select("name", format_labels(F.col("key")).alias("label"), "op", F.col("value").cast("double").alias("value"),
+                          F.unix_micros("ts").alias("_us"), F.col(seq).alias("_seq"))
+    is_set = F.col("op") == "set"
+    # in two steps of plain numbers, which combine before the shuffle
+    times = rows.where(is_set).groupBy("name", "label").agg(F.max("_us").alias("_last"))
+    places = rows.where(is_set).join(times, ["name", "label"]).where("_us = _last").groupBy("name", "label", "_last").agg(F.max("_seq").alias("_at"))
+    later = F.col("_last").isNull() | (F.col("_us") > F.col("_last")) | ((F.col("_us") == F.col("_last")) & (F.col("_seq") >= F.col("_at")))
+    signed = F.when(F.col("op") == "dec", -F.col("value")).otherwise(F.col("value"))
+    return rows.join(places, ["name", "label"], "left").where(later).groupBy("name", "label").agg(
+        F.sum(signed).alias("value"), F.max(F.col("_last").isNotNull()).alias("resets"))
 
-def gauges(samples: DataFrame, seq: str = "event_id") -> DataFrame:
-    """Updates of gauge values, one row per label set and batch."""
-    run.use_rocksdb(samples.sparkSession)
-    rows = samples.select("name", format_labels(F.col("key")).alias("label"), "op", "value", "ts",
-                          F.col(seq).alias("seq"))
-    return rows.groupBy("name", "label").transformWithStateInPandas(
-        GaugeState(), outputStructType=GAUGES, outputMode="Update", timeMode="None")
 
+def gauge_table(path: str, seq: str = "event_id", buckets: int = upsert.BUCKETS) -> Callable[[DataFrame, int], None]:
+    """A per-batch function that applies a batch of samples to the stored gauges."""
 
-def latest_table(path: str):
-    """A per-batch function that keeps update-mode rows as files tagged with their batch."""
+    def value(old: Column, new: Column) -> dict[str, Column]:
+        before = F.when(new["resets"] | old.isNull(), 0.0).otherwise(old["value"])
+        return {"value": before + new["value"]}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-         .parquet(f"{path}/b={batch_id:012d}"))
+        upsert.write_upsert(gauge_changes(batch, seq), path, batch_id + 1, ["name", "label"], GAUGES, (), buckets, value)
 
     return write
 
 
-def read_latest(spark, path: str, keys: Sequence[str]) -> DataFrame:
-    """The newest row of every key over all batches."""
-    rows = spark.read.option("recursiveFileLookup", True).parquet(path)
-    columns = [c for c in rows.columns if c != "batch"]
-    return (rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch").alias("_r"))
-            .select("_r.*"))
+def read_gauges(spark, path: str) -> DataFrame:
+    return upsert.read_table(spark, path, GAUGES).drop("resets")

@@ -38,6 +38,5 @@ def _trigger(writer, available_now: bool, interval: str):
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped so far because they came behind the watermark."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress
-               for op in p.stateOperators)
+    """Rows that the stateful operators of a query dropped because they came behind the watermark, as Spark counted them."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)

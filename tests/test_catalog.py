@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,7 +150,7 @@ def test_ingest_upsert_and_audit(spark):
         "success", 2, 2)
     ingest.ingest(raw(spark, {"pl_name": "B", "pl_rade": None}), f"{path}/c", f"{path}/r", 2,
                   run_id="two", now=t1)
-    rows = {r.pl_name: r for r in upsert.read_version(spark, f"{path}/c", 2).collect()}
+    rows = {r.pl_name: r for r in upsert.read_table(spark, f"{path}/c").collect()}
     assert rows["B"].run_id == "two" and rows["B"].radius_earth is None
     assert rows["B"].ingested_at.month == 1 and rows["B"].updated_at.month == 2
     assert rows["A"].updated_at.month == 1
@@ -162,11 +163,41 @@ def test_ingest_upsert_and_audit(spark):
     assert audit.recent_runs(runs, 1).first().status == "failed"
 
 
-def test_rewriting_a_version_changes_nothing(spark):
-    path = scratch_dir(spark, "t")
-    rows = upsert.stamp(catalog.transform(raw(spark, {"pl_name": "A"})), "r")
-    upsert.write_upsert(rows, path, 1)
-    upsert.write_upsert(rows, path, 1)
-    assert upsert.read_version(spark, path, 1).count() == 1
-    assert upsert.seed_if_empty(upsert.read_version(spark, path, 1), rows).count() == 0
-    assert spark.createDataFrame([], STORED_CATALOG).columns == rows.columns
+def files_of(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in pathlib.Path(path).rglob("part-*")}
+
+
+def test_a_write_touches_the_buckets_it_meets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    now = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp")
+    many = upsert.stamp(catalog.transform(raw(spark, *({"pl_name": f"p{k}"} for k in range(200)))), "r", now)
+    assert len(upsert.write_upsert(many, path, 1)) == upsert.BUCKETS
+    before = files_of(path)
+    one = many.where("pl_name = 'p7'").withColumns({"mass_earth": F.lit(9.0), "run_id": F.lit("s"), "ingested_at": F.current_timestamp()})
+    assert len(upsert.write_upsert(one, path, 2)) == 1
+    after = files_of(path)
+    assert len({f.split("/")[0] for f in before.keys() ^ after.keys()}) == 1
+    rows = {r.pl_name: r for r in upsert.read_table(spark, path).collect()}
+    assert len(rows) == 200 and rows["p7"].mass_earth == 9.0 and rows["p7"].ingested_at == dt.datetime(2024, 1, 1)
+    # a repeated write, and one that comes after a later one, change nothing
+    upsert.write_upsert(one.withColumn("mass_earth", F.lit(1.0)), path, 2)
+    upsert.write_upsert(many, path, 1)
+    assert {r.pl_name: r for r in upsert.read_table(spark, path).collect()} == rows
+    assert upsert.write_upsert(many.limit(0), path, 3) == []
+
+
+def test_keys_of_several_columns_and_nulls(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "a string, b int, v array<int>, w double"
+    write = lambda rows, seq, **kw: upsert.write_upsert(spark.createDataFrame(rows, schema), path, seq, ["a", "b"], schema, (), 4, **kw)
+    assert upsert.read_table(spark, path, schema).collect() == []
+    write([("x", 1, [1], 1.0), (None, 1, [2], 2.0), ("x", None, None, 3.0)], 1)
+    write([(None, 1, [3], 5.0), ("y", 1, [4], 4.0)], 2, combine=lambda o, n: {"w": F.coalesce(o["w"], F.lit(0.0)) + n["w"]})
+    got = sorted(map(tuple, upsert.read_table(spark, path, schema).collect()), key=str)
+    assert got == sorted([("x", 1, [1], 1.0), (None, 1, [3], 7.0), ("x", None, None, 3.0), ("y", 1, [4], 4.0)], key=str)
+
+
+def test_seed_only_into_an_empty_table(spark):
+    seed, target = spark.range(5), spark.createDataFrame([], STORED_CATALOG)
+    assert upsert.seed_if_empty(target, seed).count() == 5
+    assert upsert.seed_if_empty(seed, seed).count() == 0
+    assert target.columns == upsert.stamp(catalog.transform(raw(spark, {"pl_name": "A"})), "r").columns
