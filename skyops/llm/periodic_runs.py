@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from skyops.llm.batches import append, slices
+from skyops.llm.batches import append
 from skyops.llm.words import Powers, mix
 
 LEAST, TIMES = 6, 4
@@ -180,8 +180,7 @@ def find(df: DataFrame, text: str = "text", found: str = "runs", shortened: str
             return [(r, collapsed(w, r)) for w, r in zip(words, here, strict=True)]
 
         def fn(batch):
-            texts = batch.column(text)
-            rows = [row for a, b in slices(texts) for row in some(texts.slice(a, b - a))]
+            rows = some(batch.column(text))
             offsets = np.cumsum([0, *(len(r) for r, _ in rows)], dtype=np.int32)
             flat = np.concatenate([_EMPTY, *(r for r, _ in rows)])
             values = pa.StructArray.from_arrays([pa.array(flat[:, k]) for k in range(3)], names=RUN.fieldNames())

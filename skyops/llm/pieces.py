@@ -7,6 +7,7 @@ refuses any other.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from dataclasses import dataclass
@@ -28,20 +29,24 @@ class Vocabulary:
     byte_ids: list[int]
     end_id: int
     closed: str  # characters that no piece has before one outside this set
+    digest: str  # of the model file
 
 
 class Memory(dict):
-    """A dict that computes what it lacks and keeps two generations of at most ``size`` entries."""
+    """A dict that computes what it lacks and keeps two generations of at most ``size`` entries.
 
-    def __init__(self, compute, size: int, longest: int = 64):
+    Texts longer than ``longest`` are not kept; without it keys are of any kind.
+    """
+
+    def __init__(self, compute, size: int, longest: int | None = 64):
         super().__init__()
         self.compute, self.size, self.longest, self.old = compute, size, longest, {}
 
-    def __missing__(self, key: str):
+    def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
-        if len(key) <= self.longest:
+        if self.longest is None or len(key) <= self.longest:
             if len(self) >= self.size:
                 self.old = dict(self)
                 self.clear()
@@ -69,7 +74,9 @@ def load(path: str) -> Vocabulary:
         raw[i] = bytes([b])
     ranks = {p: -sp.get_score(i) for p, i in ids.items()}
     single = frozenset(p for p in ids if merge(p, ranks) == [p])
-    vocab = Vocabulary(ids, ranks, single, raw, byte_ids, sp.eos_id(), _closed(ids))
+    with open(path, "rb") as f:
+        digest = hashlib.sha256(f.read()).hexdigest()
+    vocab = Vocabulary(ids, ranks, single, raw, byte_ids, sp.eos_id(), _closed(ids), digest)
     split = splitter(vocab)
     for text in _PROBES:
         if [i for c in split(text) for i in merged_ids(c, vocab)] != sp.encode(text):

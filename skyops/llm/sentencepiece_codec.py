@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from skyops.llm.batches import append
 from skyops.llm.pieces import Memory, Vocabulary, load, merge, splitter
 
-#: Chunks and pairs of pieces that a task remembers, in each of two generations.
-REMEMBERED, PAIRS = 100_000, 50_000
+#: Chunks and pairs of pieces that a worker process remembers, in each of two generations.
+REMEMBERED, PAIRS = 200_000, 200_000
 
 
 class Encoder:
@@ -46,13 +46,16 @@ class Encoder:
         self.shorter = {i: next((single[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in single), None)
                         for p, i in single.items()}
         text_of = {i: p for p, i in single.items()}
+        self.shift = max(single.values()).bit_length()
 
         def apart(pair):
-            left, right = text_of[pair[0]], text_of[pair[1]]
+            left, right = text_of[pair >> self.shift], text_of[pair & ((1 << self.shift) - 1)]
             return merge(left + right, vocab.ranks) == [left, right]
 
-        #: whether two pieces stay apart when their string is merged again
-        self.fits = Memory(apart, PAIRS)
+        #: whether two pieces, the ids of which make one number, stay apart when their string is merged again
+        self.fits = Memory(apart, PAIRS, None)
+        #: the ids of chunks as bytes
+        self.known = Memory(lambda chunk: array("i", self.ids(chunk)).tobytes(), REMEMBERED)
 
     def known_ids(self, text: str) -> list[int]:
         """The ids of a text of known characters."""
@@ -61,13 +64,13 @@ class Encoder:
         for end, (back, i) in self.automaton.iter(text):
             longest[end - back] = i  # ends ascend, so the last one is the longest
         failed = None  # a bit for each position, once there is one from which no piece leads on
-        length, shorter, fits = self.length, self.shorter, self.fits
+        length, shorter, fits, shift = self.length, self.shorter, self.fits, self.shift
         out: list[int] = []
         at, last, piece = 0, None, longest[0]
         while at < n:
             while piece is not None:
                 end = at + length[piece]
-                if (failed is None or not failed[end >> 3] >> (end & 7) & 1) and (last is None or fits[last, piece]):
+                if (failed is None or not failed[end >> 3] >> (end & 7) & 1) and (last is None or fits[last << shift | piece]):
                     break
                 piece = shorter[piece]
             if piece is not None:
@@ -93,13 +96,23 @@ class Encoder:
         return out + self.known_ids(chunk[start:])
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(vocab: Vocabulary) -> Encoder:
+    """The encoder of this worker process, which its tasks share with what it remembers; a new model replaces it."""
+    if vocab.digest not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[vocab.digest] = Encoder(vocab)
+    return _ENCODERS[vocab.digest]
+
+
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", end: bool = True) -> DataFrame:
     """Add the ids of ``text`` as an array, with the end id last if ``end``."""
     shared = df.sparkSession.sparkContext.broadcast(load(path))
 
     def make():
-        encoder, split = Encoder(shared.value), splitter(shared.value)
-        known = Memory(lambda c: array("i", encoder.ids(c)).tobytes(), REMEMBERED)
+        known, split = encoder_of(shared.value).known, splitter(shared.value)
         tail = np.array([shared.value.end_id], np.int32).tobytes() if end else b""
 
         def fn(batch):
