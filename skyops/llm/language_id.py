@@ -3,14 +3,15 @@
 Lower-cased texts are turned into counts of hashed 1- to 3-grams, weighted log(1 + count) * idf and
 scaled to length 1. Document frequencies are counted over all texts that may be learned from; the
 classifier is trained on a bounded sample of them (about ``SAMPLE`` of each language, chosen by a
-hash of the id) by follow-the-regularised-leader with L1 and L2 penalties, so that most weights are
+hash of id and text) by follow-the-regularised-leader with L1 and L2 penalties, so that most weights are
 exactly zero. A temperature fitted on a part of the sample that training left out makes the
 probabilities honest.
 
 Cases: null texts and texts without a letter are ``und`` with score 0; rows without a language are
 never learned from; with one language it is predicted everywhere, with none all texts are ``und``;
-equal scores go to the language first in the alphabet; repeated rows count once each; a very long
-text is read whole; added columns replace columns of the same names and others stay.
+equal scores go to the language first in the alphabet; rows without an id, or with a common
+one, are learned from like others; equal texts of a language are learned from once and count
+once each in frequencies; a very long text is read whole; added columns replace columns of the same names and others stay.
 """
 
 from __future__ import annotations
@@ -160,10 +161,13 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     rows = rows.where("text is not null and lang is not null")
     found, n = _document_frequencies(rows)
     idf = np.log((1 + n) / (1 + found)) + 1
-    counts = rows.groupBy("lang").count().select("lang", (F.lit(float(sample)) / F.col("count")).alias("share"))
-    place = (F.xxhash64("id").cast("double") / 2.0**64) + 0.5
-    chosen = rows.join(counts, "lang").where(F.coalesce(place, F.lit(0.0)) <= F.col("share")).select("id", "text", "lang")
-    got = sorted(chosen.collect(), key=lambda r: (r["lang"], r["id"] is not None, r["id"] or 0, r["text"]))
+    counts = dict(rows.groupBy("lang").count().collect())  # a row for each language, all of which the model holds
+    shares = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, sample / n)]) if counts else None
+    # by id and text, so that rows without an id or with a common one have places of their own
+    place = F.xxhash64("id", "text").cast("double") / 2.0**64 + 0.5
+    chosen = rows.where(place <= shares[F.col("lang")]) if counts else rows.limit(0)
+    chosen = chosen.groupBy("lang", "text").agg(F.min("id").alias("id"))  # repeated rows share a place
+    got = sorted(chosen.select("id", "text", "lang").collect(), key=lambda r: (r["lang"], r["id"] is not None, r["id"] or 0, r["text"]))
     return train([r["text"] for r in got], [r["lang"] for r in got], idf)
 
 

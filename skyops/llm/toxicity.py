@@ -2,13 +2,14 @@
 
 A word is the mean of the vectors of its character n-grams and of itself, a text the mean of its
 distinct words, and a softmax over two classes stands on top; vectors and softmax are trained together, by
-adaptive gradient steps in numpy, so a misspelt word shares the vectors of the n-grams it keeps. The
-model learns from a bounded sample of labelled texts (``SAMPLE`` of each class, chosen by a hash of
+adaptive gradient steps in numpy, so a misspelt word shares the vectors of the n-grams it keeps; the
+weights are the mean over the ends of the later half of the rounds. The model learns from a bounded sample of labelled texts (``SAMPLE`` of each class, chosen by a hash of
 the id), with the intercept set to the share of the class among all labels. Training happens on the
 driver and gives one number for each n-gram bucket, which is all that scoring needs.
 
 Cases: null and empty texts, and texts without a letter or digit, get the score of the intercept
-alone; labels that are null, not 0 or 1, or of ids without text are not used; if the texts to learn from
+alone; labels that are null, not 0 or 1, or of ids without text are not used and take no place in the
+sample; of several texts under one id the least is learned from; if the texts to learn from
 are of one class every score is next to that class, and next to 0 if there are none; rows with equal ids or texts
 are scored each; a very long text is scored whole; ``df`` keeps its other columns.
 """
@@ -94,7 +95,8 @@ def train(texts: list[str], labels: list[int], share: float, seed: int = 7) -> M
     base = np.log(np.array([len(labels) - ones, ones], np.float32) / len(labels))
     seen = np.full(BUCKETS, 1e-12, np.float32)
     seen_top = np.full((WIDTH, 2), 1e-6, np.float32)
-    for _ in range(ROUNDS):
+    weights = np.zeros(BUCKETS)
+    for r in range(ROUNDS):
         for k in rng.permutation(len(bags)):
             ids, part = bags[k]
             own = vectors[ids]
@@ -109,7 +111,9 @@ def train(texts: list[str], labels: list[int], share: float, seed: int = 7) -> M
             top -= STEP * grad / np.sqrt(seen_top)
             seen[ids] += (part * part) * float(down @ down / WIDTH)
             vectors[ids] = own * (1 - SHRINK) - np.outer(STEP * part / np.sqrt(seen[ids]), down)
-    weights = vectors @ (top[:, 1] - top[:, 0])
+        if r >= ROUNDS // 2:
+            weights += vectors @ (top[:, 1] - top[:, 0])
+    weights /= ROUNDS - ROUNDS // 2
     return Model(weights.astype(np.float32), _log_odds(share))
 
 
@@ -121,17 +125,19 @@ def _log_odds(share: float) -> float:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
         sample: int = SAMPLE) -> Model:
     """Learn from ``labels`` (doc_id, label) of the texts in ``docs``."""
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(
         F.col(doc_id).alias("id")).agg(F.max(label).alias("label"))
+    known = known.join(texts.select("id"), "id", "left_semi")
     counts = dict(known.groupBy("label").count().collect())
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     chosen = None
     for c in (0, 1):
         own = known.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(sample)
         chosen = own if chosen is None else chosen.unionByName(own)
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text is not null")
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "label", "text").collect()  # at most twice the sample
-    rows = sorted({r["id"]: r for r in sorted(rows, key=lambda r: r["text"])}.values(), key=lambda r: r["id"])
+    # at most twice the sample: one text for each id, the least of several
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")).collect()
+    rows = sorted(rows, key=lambda r: r["id"])
     return train([r["text"] for r in rows], [int(r["label"]) for r in rows], share)
 
 
