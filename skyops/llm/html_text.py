@@ -2,8 +2,10 @@
 
 The standard library's parser streams a page's events. Text between block-level tags makes a line,
 with its number of tags and the elements it lies in; lines inside menus, headers, footers, sidebars,
-notices, adverts, forms and reader comments (by element, role, class or id) have no text of their
-own in the ratios. The ratios of text to tags are smoothed by a Gaussian over the lines, and lines
+notices, adverts, forms and reader comments (by element or role, or by a hint in class or id) have no
+text of their own in the ratios. A hint is a name whose head is such a word (``sidebar``, ``site-footer``; not
+``has-sidebar`` or ``market-share``), and the page decides: an element that holds the main element or an
+article, or prose under the page's title, or all prose there is, is not aside. The ratios of text to tags are smoothed by a Gaussian over the lines, and lines
 at or above one standard deviation are content. From the innermost element that holds most of that
 text the region is widened to the article around it, else to the main element, else as far as no
 line of those kinds and no list of links stands beside it; text that stands directly in an element
@@ -55,6 +57,21 @@ _ASIDE_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adver
                 "navigation", "menu", "menus", "breadcrumb", "breadcrumbs", "header", "masthead", "footer", "share",
                 "sharing", "social", "related", "recommended", "widget", "widgets", "comment", "comments", "commentlist",
                 "respond", "reply", "replies", "disqus", "pagination", "pager", "search", "toolbar"}
+#: Of these, which are clear also with a word before them that is not known.
+_CLEAR = {"sidebar", "sidebars", "nav", "navbar", "navigation", "menu", "menus", "breadcrumb", "breadcrumbs", "footer", "masthead",
+          "cookie", "cookies", "gdpr", "advert", "adverts", "advertisement", "advertising", "newsletter", "comments", "commentlist",
+          "disqus", "pagination", "popup", "modal", "toolbar"}
+#: Words that say how or where something stands.
+_LAYOUT = {"left", "right", "top", "bottom", "main", "site", "page", "global", "primary", "secondary", "container", "wrapper", "wrap",
+           "box", "block", "area", "section", "list", "links", "link", "bar", "buttons", "button", "inner", "outer", "col", "column",
+           "row", "item", "items", "group", "panel", "unit", "slot", "form", "post", "posts", "entry", "article", "articles", "content",
+           "blog", "user", "reader", "mobile", "desktop", "sticky", "fixed", "small", "large", "js", "the", "of", "and", "us", "text"}
+#: Words that say something is not there, or how it is shown.
+_STATES = {"has", "have", "with", "without", "no", "not", "non", "hide", "hides", "hidden", "show", "shows", "open", "opened", "closed",
+           "is", "enabled", "disabled"}
+_HEADERS, _OF_ARTICLE = {"header", "masthead"}, {"entry", "post", "article", "story", "section", "content"}
+#: Characters of a line of prose.
+PROSE = 80
 _ENDS_ITSELF = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                 "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4",
@@ -126,6 +143,20 @@ def ends_of(events: list[tuple[str, str, list]]) -> dict[int, int]:
     return out
 
 
+def hint(name: str, in_article: bool) -> int:
+    """Whether a class or id hints that an element is aside: 0 no, 1 by its head, 2 by all of it."""
+    tokens = _TOKEN.findall(_CAMEL.sub(" ", name).lower())
+    found = _ASIDE_WORDS.intersection(tokens)
+    if not found or _STATES.intersection(tokens):
+        return 0
+    if found <= _HEADERS and (in_article or _OF_ARTICLE.intersection(tokens)):
+        return 0
+    if all(t in _ASIDE_WORDS or t in _LAYOUT or t.isdigit() for t in tokens):
+        return 2 if len(tokens) == 1 else 1
+    head = [t for t in tokens if t not in _LAYOUT and not t.isdigit()][-1]
+    return int(head in _CLEAR)
+
+
 class Lines:
     """The lines of a page: text, tags, characters in links, elements around them, whether aside, links."""
 
@@ -133,6 +164,9 @@ class Lines:
         self.lines: list[tuple[str, int, int, tuple[int, ...], bool, int]] = []
         self.open: list[tuple[str, int, bool]] = []  # name, number, whether it is aside
         self.made = 0
+        self.hints: dict[int, int] = {}  # elements that class or id say are aside
+        self.mains: set[int] = set()  # elements around a main element or an article
+        self.titles: set[int] = set()  # elements around a heading of the page
         self.names: dict[int, str] = {}
         self.label = False  # within a label that is left open
         self.linking = self.lasting = False  # within a link; whether it lasts to its end tag
@@ -159,8 +193,11 @@ class Lines:
         given = dict(attrs)
         if (given.get("role") or "").lower() in _ASIDE_ROLES:
             return True
-        marks = _CAMEL.sub(" ", f"{given.get('class') or ''} {given.get('id') or ''}").lower()
-        return name not in _HEADINGS and name != "p" and bool(_ASIDE_WORDS.intersection(_TOKEN.findall(marks)))
+        if name not in _HEADINGS and name != "p":
+            names = f"{given.get('class') or ''} {given.get('id') or ''}".split()
+            if found := max((hint(n, bool(around & {"article", "main"})) for n in names), default=0):
+                self.hints[self.made] = found
+        return False
 
     def _close(self, names: set[str]):
         """End the innermost of these elements, unless a scope stands between."""
@@ -197,6 +234,8 @@ class Lines:
             self.made += 1
             self.names[self.made] = tag
             self.open.append((tag, self.made, self._is_aside(tag, attrs)))
+            if tag in ("main", "article", "h1") and not self._aside():
+                (self.titles if tag == "h1" else self.mains).update(n for _, n, _ in self.open)
 
     def end(self, tag: str):
         if tag in _INLINE:
@@ -239,6 +278,18 @@ class Lines:
                 if kind == "empty" and tag in _CHILDLESS:
                     self.end(tag)
         self._flush()
+        self._decide()
+
+    def _decide(self):
+        """Lines in elements that are aside by a hint which the page does not deny."""
+        prose = [(set(line[3]), line) for line in self.lines if len(line[0]) >= PROSE and not line[4] and line[2] < LINKED * len(line[0])]
+        aside = {n for n in self.hints if n not in self.mains}
+        for n in sorted(aside):  # outer elements first
+            if any(n in around for around, _ in prose):
+                outside = any(n not in around and not around & aside for around, _ in prose)
+                if n in self.titles or (self.hints[n] == 1 and not outside):
+                    aside.discard(n)
+        self.lines = [(*line[:4], line[4] or not aside.isdisjoint(line[3]), line[5]) for line in self.lines]
 
 
 def lines_of(html: str) -> Lines:

@@ -138,6 +138,58 @@ def test_odd_pages():
     assert len(html_text.main_text(f"<article>{many}</article>").split("\n")) == 3000
 
 
+@pytest.mark.parametrize("name", ["has-sidebar", "content-with-sidebar", "post-header-fixed", "no-comments", "main-menu-page", "sidebar-layout"])
+def test_wrappers_named_after_what_they_hold(name):
+    """A class word on an element around the article does not make it aside; real sidebars and comments still go."""
+    a, b = "first words " * 20, "other words " * 30
+    article = f"<h1>T</h1><p>{a}</p><p>{b}</p>"
+    rest = f'<div class="left-sidebar"><p>{"side " * 40}</p></div><div id="comments"><p>{"I say " * 60}</p></div>'
+    for inner in (article, f"<article>{article}</article>", f"<div class=body>{article}</div>"):
+        for after in ("", rest):
+            got = html_text.main_text(f'<body><nav><a href=x>Home</a></nav><div class="{name}">{inner}{after}</div><footer>f</footer></body>')
+            assert got.split("\n") == ["T", a.strip(), b.strip()]
+
+
+def test_parts_of_an_article_named_like_asides():
+    a, b = "first words " * 20, "other words " * 30
+    page = f"""<body><div class="site-header"><h2>Site</h2></div><article><div class="entry-header"><h1>T</h1></div><p>{a}</p>
+      <section id="market-share"><h2>Market share</h2><p>{b}</p></section><div class="social-share"><a href=x>Share</a> it</div>
+      <div class="popular-posts-sidebar"><p>{a}</p></div></article><div class="cookie-notice"><p>{b}</p></div></body>"""
+    assert html_text.main_text(page).split("\n") == ["T", a.strip(), "Market share", b.strip()]
+    words = {"sidebar": 2, "site-footer": 1, "has-sidebar": 0, "market-share": 0, "entry-header": 0, "weatherWidget": 0, "relatedPosts": 1,
+             "popular-posts-sidebar": 1, "nav-item-3": 1, "no-comments": 0, "": 0, "shareholder": 0}
+    assert {w: html_text.hint(w, False) for w in words} == words
+
+
+def made_page(rng):
+    """A page of chance layout, and the blocks of its article."""
+    text = lambda lo, hi: " ".join(rng.choice(WORDS) for _ in range(rng.randrange(lo, hi)))
+    blocks = [("h1", text(2, 8)), ("p", text(20, 60))]
+    for _ in range(rng.randrange(2, 12)):
+        blocks.append(rng.choice([("p", text(15, 120)), ("p", text(1, 6)), ("h2", text(1, 5)), ("li", text(2, 20)), ("blockquote", text(10, 40))]))
+    blocks.append(("p", text(30, 90)))
+    body = "".join(f"<ul><li>{t}</li></ul>" if k == "li" else f"<{k}>{t}</{k}>" for k, t in blocks)
+    holder = rng.choice(["<article>{}</article>", "<main>{}</main>", "<main><article class=post>{}</article></main>", "<div class=content>{}</div>",
+                         '<div class="row has-sidebar"><div class="entry-content">{}</div></div>'])
+    links = "".join(f"<li><a href=/{k}>{text(1, 3)}</a></li>" for k in range(rng.randrange(3, 9)))
+    before = rng.sample([f"<nav><ul>{links}</ul></nav>", f"<header><h2>{text(1, 3)}</h2></header>", f'<div class="ad">{text(3, 9)}</div>',
+                         f'<div id="cookie-banner"><p>{text(10, 30)}</p></div>', f"<ul class=menu>{links}</ul>"], rng.randrange(1, 5))
+    after = rng.sample([f'<div class="sidebar"><p>{text(10, 40)}</p></div>', f"<aside>{text(5, 20)}</aside>", f"<footer>{text(5, 20)}</footer>",
+                        f'<section id="comments"><p>{text(30, 90)}</p><p>{text(30, 90)}</p></section>', f"<form>{text(2, 6)}<input></form>",
+                        f'<div class="related-posts"><ul>{links}</ul></div>'], rng.randrange(1, 5))
+    return f"<html><head><title>x</title></head><body>{''.join(before)}{holder.format(body)}{''.join(after)}</body></html>", [t for _, t in blocks]
+
+
+WORDS = "river stone letter amber candle winter orchard signal harbor meadow copper lantern".split()
+
+
+def test_made_pages_give_their_articles():
+    rng = random.Random(77)
+    for _ in range(400):
+        page, blocks = made_page(rng)
+        assert html_text.main_text(page).split("\n") == blocks, page
+
+
 def test_smoothing_and_threshold():
     import numpy as np
 
