@@ -18,17 +18,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyops.llm.batches import slices
 from skyops.session import cut_lineage
 
 _FOUND = "leader long, part long, a long, b long, distance double, open boolean"
 _SLACK = 1e-9
 
 
+#: Words of 64 bits in a filter of keys: 4 MB, whatever the number of keys.
+FILTER = 1 << 18
+
+
+def possible(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """Rows whose 64-bit ``column`` may be among those of ``wanted``: one hash bit for each, so that few others are shuffled.
+
+    The bits are a table of at most ``FILTER`` rows, so its broadcast is bounded; when they fill up, more
+    rows pass and nothing is lost.
+    """
+    hashed = F.xxhash64(column)
+    slot, bit = F.pmod(hashed, F.lit(FILTER)), F.pmod(F.shiftrightunsigned(hashed, 18), F.lit(64)).cast("int")
+    bits = wanted.groupBy(slot.alias("_slot")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("_bits"))
+    mine = F.call_function("shiftright", F.col("_bits"), bit).bitwiseAND(F.lit(1).cast("bigint")) == 1
+    return rows.withColumn("_slot", slot).join(F.broadcast(bits), "_slot").where(mine).select(*rows.columns)
+
+
 def pairs_with_leader(keys: DataFrame) -> DataFrame:
     """(leader, id) for each (id, key) whose key two ids share; the leader is the least id of the key."""
     shared = keys.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
-    shared = shared.where("leader < last").select("key", "leader")
-    return keys.join(shared, "key").select("leader", "id").distinct()
+    shared = cut_lineage(shared.where("leader < last").select("key", "leader"))
+    return possible(keys, shared, "key").join(shared, "key").select("leader", "id").distinct()
 
 
 def in_parts(pairs: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
@@ -97,16 +115,18 @@ def _compare(ids: list[int], sets: list[np.ndarray], search: Search, similarity:
     return ids, found
 
 
-def by_key(rows: DataFrame, keys: list[str], values: list[str], fn: Callable, schema: str, batch: Callable) -> DataFrame:
+def by_key(rows: DataFrame, keys: list[str], values: list[str], fn: Callable, schema: str, batch: Callable,
+           prepare: dict[str, Callable]) -> DataFrame:
     """``fn(key, {value: list})`` for the rows of each key, as ``batch(rows)`` of what it returns.
 
     The rows are dealt and sorted by key and stream through the tasks, so that a hundred thousand
-    small groups cost no call each; a task holds one group at a time.
+    small groups cost no call each; a task holds one group at a time. ``prepare`` turns the values of
+    a column into others, a bounded slice at once.
     """
     def run(batches):
         key, held, out = None, {v: [] for v in values}, []
-        for b in batches:
-            columns = [b.column(v).to_pylist() for v in values]
+        for b in (x.slice(start, end - start) for x in batches for start, end in slices(x.column("text"))):
+            columns = [prepare[v](b.column(v).to_pylist()) if v in prepare else b.column(v).to_pylist() for v in values]
             for k, *row in zip(zip(*(b.column(k).to_pylist() for k in keys), strict=True), *columns, strict=True):
                 if k != key:
                     if key is not None:
@@ -124,24 +144,23 @@ def by_key(rows: DataFrame, keys: list[str], values: list[str], fn: Callable, sc
     return dealt.mapInArrow(run, schema)
 
 
-def _items(held: dict[str, list], to_set: Callable) -> dict[int, np.ndarray]:
+def _items(held: dict[str, list]) -> dict[int, np.ndarray]:
     out: dict[int, np.ndarray] = {}
-    for i, t in zip(held["id"], held["text"], strict=True):
-        if i not in out:
-            out[i] = to_set(t)
+    for i, elements in zip(held["id"], held["text"], strict=True):
+        out.setdefault(i, elements)
     return out
 
 
-def links(members: DataFrame, texts: DataFrame, to_set: Callable, similarity: float,
+def links(members: DataFrame, texts: DataFrame, to_sets: Callable, similarity: float,
           search: Search = every_pair) -> DataFrame:
     """(a, b) links that connect all items of ``members`` that are similar, by way of shared ones.
 
     ``members``: of ``in_parts``; ``texts`` (id, text): each id at least once, where any row of an id
-    does. ``search`` calls ``linked(i, j)`` for the pairs of a part that may be similar.
+    does; ``to_sets`` makes sorted sets of a list of texts. ``search`` calls ``linked(i, j)`` for the pairs of a part that may be similar.
     """
     def of_part(key, held):
         leader, parts, part = key
-        sets = _items(held, to_set)
+        sets = _items(held)
         ids, found = _compare(list(sets), list(sets.values()), search, similarity)
         low = {}
         for i, c in zip(ids, found.of.tolist(), strict=True):
@@ -154,7 +173,7 @@ def links(members: DataFrame, texts: DataFrame, to_set: Callable, similarity: fl
         return rows
 
     rows = members.join(texts, "id")
-    seen = cut_lineage(by_key(rows, ["leader", "parts", "part"], ["id", "text"], of_part, _FOUND, _batch))
+    seen = cut_lineage(by_key(rows, ["leader", "parts", "part"], ["id", "text"], of_part, _FOUND, _batch, {"text": to_sets}))
     out = seen.where("b is not null").select("a", "b")
     far = seen.where("distance is not null").select("leader", "part", F.col("a").alias("id"), "distance", "open")
     if far.where("open").isEmpty():
@@ -163,10 +182,10 @@ def links(members: DataFrame, texts: DataFrame, to_set: Callable, similarity: fl
     span = far.where("open").groupBy("leader").agg(F.min("distance").alias("low"), F.max("distance").alias("high"))
     left = far.join(span, "leader").where(
         F.col("open") | F.col("distance").between(F.col("low") - reach, F.col("high") + reach))
-    return out.unionByName(_across(cut_lineage(left), texts, to_set, similarity, search))
+    return out.unionByName(_across(cut_lineage(left), texts, to_sets, similarity, search))
 
 
-def _across(left: DataFrame, texts: DataFrame, to_set: Callable, similarity: float, search: Search) -> DataFrame:
+def _across(left: DataFrame, texts: DataFrame, to_sets: Callable, similarity: float, search: Search) -> DataFrame:
     """Links between what is left of different parts of a group."""
     used = left.select("leader", "part").distinct()
     pairs = used.join(used.select("leader", F.col("part").alias("other")), "leader")
@@ -174,13 +193,13 @@ def _across(left: DataFrame, texts: DataFrame, to_set: Callable, similarity: flo
     rows = left.join(blocks.where("x < y").distinct(), ["leader", "part"]).join(texts, "id")
 
     def of_block(key, held):
-        sets = _items(held, to_set)
+        sets = _items(held)
         ids, found = _compare(list(sets), list(sets.values()), search, similarity)
         low: dict[int, int] = {}
         return [(key[0], None, i, low[c], None, None) for i, c in zip(ids, found.of.tolist(), strict=True)
                 if low.setdefault(c, i) != i]
 
-    return by_key(rows, ["leader", "x", "y"], ["id", "text"], of_block, _FOUND, _batch).select("a", "b")
+    return by_key(rows, ["leader", "x", "y"], ["id", "text"], of_block, _FOUND, _batch, {"text": to_sets}).select("a", "b")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -14,7 +14,8 @@
 Cases: null or blank text has an empty set and is linked with nothing; fewer than five words are
 one 5-gram; rows with a null id get their count, but take part in no link and have no component;
 repeated rows are one class and each gives a row; rows that share an id but not a text give a row
-each; ties do not matter, since components do not depend on order; other columns of the input are
+each, and since the id is one, what is linked with any of them is connected; ids are taken as whole
+numbers, and one that is none counts as null; ties do not matter, since components do not depend on order; other columns of the input are
 not read; an empty table gives no rows.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from skyops.llm import groups
 from skyops.llm.components import components
-from skyops.llm.words import mix, shingle_set
+from skyops.llm.words import mix, shingle_set, shingle_sets
 from skyops.session import cut_lineage
 
 SIMILARITY = 0.8
@@ -40,7 +41,7 @@ PART = 1_000_000
 SAMPLE_DOCS, SAMPLE_COUNT, MOST_FREQUENT = 20_000, 3, 200_000
 _LEAST_BITS = 64
 
-_SETS = "id long, n_shingles long, class long, prefix array<long>, bits binary"
+_SETS = "id long, hash long, n_shingles long, class long, prefix array<long>, bits binary"
 
 
 def bitmap(elements: np.ndarray) -> np.ndarray:
@@ -176,19 +177,19 @@ def set_class(elements: np.ndarray) -> int:
 
 
 def shingle_rows(docs: DataFrame, similarity: float) -> DataFrame:
-    """Set size, class, prefix and bitmap of each document (id, text)."""
+    """Set size, class, prefix and bitmap of each document (id, hash, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs))
 
     def run(batches):
         common = shared.value
         for b in batches:
             rows = []
-            for i, t in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), strict=True):
+            for i, h, t in zip(*(b.column(c).to_pylist() for c in ("id", "hash", "text")), strict=True):
                 s = shingle_set(t)
                 n = len(s)
                 late = _is_in(s, common)
                 first = np.concatenate([s[~late], s[late]])[: n - math.ceil(similarity * n - 1e-9) + 1]
-                rows.append((i, n, set_class(s), first.view(np.int64), bitmap(s).tobytes() if n else None))
+                rows.append((i, h, n, set_class(s), first.view(np.int64), bitmap(s).tobytes() if n else None))
                 if len(rows) == 1000:
                     yield _set_batch(rows)
                     rows = []
@@ -199,9 +200,9 @@ def shingle_rows(docs: DataFrame, similarity: float) -> DataFrame:
 
 
 def _set_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
     return pa.record_batch([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                           names=["id", "n_shingles", "class", "prefix", "bits"])
+                           names=["id", "hash", "n_shingles", "class", "prefix", "bits"])
 
 
 def _with_partner(members: DataFrame, similarity: float) -> DataFrame:
@@ -227,25 +228,33 @@ def _with_partner(members: DataFrame, similarity: float) -> DataFrame:
     return single.unionByName(members.where("parts > 1").select("leader", "id").distinct())
 
 
+def _same_id(rows: DataFrame) -> DataFrame:
+    """Links between the classes of an id that has several."""
+    several = rows.groupBy("id").agg(F.min("class").alias("b"), F.max("class").alias("last")).where("b < last")
+    return rows.join(several.select("id", "b"), "id").where("class > b").select(F.col("class").alias("a"), "b").distinct()
+
+
 def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(``doc_id``, n_shingles, component_id) of every row: the least id reachable by links, itself included."""
-    docs = df.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    docs = df.select(F.col(doc_id).try_cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    docs = docs.withColumn("hash", F.xxhash64("text"))  # tells rows of one id apart
     rows = cut_lineage(shingle_rows(docs, similarity))
-    classes = rows.where("n_shingles > 0 and id is not null").groupBy("class").agg(F.min("id").alias("doc"))
-    kept = rows.join(classes.select("class", F.col("doc").alias("id"), "doc"), ["class", "id"]).select(
-        F.col("class").alias("id"), "doc", "n_shingles", "prefix", "bits")
+    filled = rows.where("n_shingles > 0 and id is not null")
+    classes = filled.groupBy("class").agg(F.min("id").alias("doc"), F.min_by("hash", "id").alias("hash"))
+    kept = rows.withColumnRenamed("id", "doc").join(classes, ["class", "doc", "hash"]).select(
+        F.col("class").alias("id"), "doc", "hash", "n_shingles", "prefix", "bits")
     kept = cut_lineage(kept.dropDuplicates(["id"]))  # equal rows may share their id
     keys = kept.select("id", F.explode("prefix").alias("key"))
     pairs = cut_lineage(groups.pairs_with_leader(keys))
     weights = kept.select("id", F.col("n_shingles").alias("weight"))
     first = groups.in_parts(pairs, weights, PART).join(kept.select("id", "n_shingles", "bits"), "id")
     pairs = cut_lineage(_with_partner(first, similarity))
-    wanted = pairs.select("id").distinct().join(kept.select("id", "doc"), "id")
-    texts = docs.select(F.col("id").alias("doc"), "text").join(wanted, "doc").select("id", "text")
-    links = groups.links(groups.in_parts(pairs, weights, PART), cut_lineage(texts), shingle_set, similarity,
+    wanted = pairs.select("id").distinct().join(kept.select("id", "doc", "hash"), "id")
+    texts = docs.withColumnRenamed("id", "doc").join(wanted, ["doc", "hash"]).select("id", "text")
+    links = groups.links(groups.in_parts(pairs, weights, PART), cut_lineage(texts), shingle_sets, similarity,
                          search(similarity))
-    of_class = components(cut_lineage(links))
-    found = classes.join(of_class.withColumnRenamed("id", "class"), "class", "left").select(
+    of_class = components(cut_lineage(links.unionByName(_same_id(filled.select("id", "class")))))
+    found = classes.select("class", "doc").join(of_class.withColumnRenamed("id", "class"), "class", "left").select(
         "class", "doc", F.coalesce("component", "class").alias("component"))
     found = cut_lineage(found)
     least = found.groupBy("component").agg(F.min("doc").alias("component_id"))

@@ -18,13 +18,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyops.llm import groups
-from skyops.llm.batches import SLICE_BYTES
+from skyops.llm.batches import slices
 from skyops.llm.components import components
-from skyops.llm.words import mix
+from skyops.llm.words import distinct, mix
 from skyops.session import cut_lineage
 
 SIMILARITY = 0.8
@@ -59,8 +60,9 @@ def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return mix(out[inside[:n]]), np.cumsum(counts) - counts
 
 
-def shingle_set(line: str) -> np.ndarray:
-    return np.unique(shingles([line])[0])
+def shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    hashed, starts = shingles(lines)
+    return [distinct(part) for part in np.split(hashed, starts[1:])]
 
 
 def bands(lines: list[str]) -> np.ndarray:
@@ -90,54 +92,57 @@ def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _signed(lines: DataFrame) -> DataFrame:
-    """(id, weight, keys) of lines, seldom more than once from a task."""
+    """doc_id, _row, line_no and id of every line; line, weight and keys where a task first meets the id."""
+    kind = lines.schema["doc_id"].dataType
+
     def run(batches):
         seen: set[int] = set()
-        for b in batches:
-            ids, texts, size = [], [], 0
+        for b in (x.slice(start, end - start) for x in batches for start, end in slices(x.column("line"))):
+            lines = []
             for i, t in zip(b.column("id").to_pylist(), b.column("line").to_pylist(), strict=True):
-                if i in seen:
-                    continue
-                if len(seen) >= REMEMBERED:
-                    seen.clear()
-                seen.add(i)
-                ids.append(i)
-                texts.append(t)
-                size += len(t)
-                if size >= SLICE_BYTES:
-                    yield of(ids, texts)
-                    ids, texts, size = [], [], 0
-            if ids:
-                yield of(ids, texts)
-
-    def of(ids, texts):
-        keys = bands(texts).view(np.int64)
-        offsets = np.arange(0, keys.size + 1, BANDS, dtype=np.int32)
-        return pa.record_batch([pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
-                                pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))],
-                               names=["id", "weight", "keys"])
-
-    return lines.select("id", "line").mapInArrow(run, "id long, weight long, keys array<long>")
+                new = i is not None and i not in seen
+                lines.append(t if new else None)
+                if new:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add(i)
+            yield of(b, lines)
+
+    def of(b, lines):
+        fresh = np.array([t is not None for t in lines], bool)
+        texts = [t for t in lines if t is not None]
+        keys = bands(texts).view(np.int64) if texts else np.zeros((0, BANDS), np.int64)
+        offsets = np.concatenate([[0], np.cumsum(fresh * BANDS)]).astype(np.int32)
+        size = np.zeros(len(fresh), np.int64)
+        size[fresh] = [len(t) for t in texts]
+        return pa.RecordBatch.from_arrays(
+            [*(b.column(c) for c in ("doc_id", "_row", "line_no", "id")),
+             pa.array(lines, pa.string()), pa.array(size, mask=~fresh), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()), mask=pa.array(~fresh))],
+            names=["doc_id", "_row", "line_no", "id", "line", "weight", "keys"])
+
+    schema = T.StructType([T.StructField("doc_id", kind), *(T.StructField(c, T.LongType()) for c in ("_row", "line_no", "id")),
+                           T.StructField("line", T.StringType()), T.StructField("weight", T.LongType()),
+                           T.StructField("keys", T.ArrayType(T.LongType()))])
+    return lines.select("doc_id", "_row", "line_no", "id", "line").mapInArrow(run, schema)
 
 
 def line_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, line_no, component, kept) of every line of the corpus."""
-    return _line_rows(with_rows(docs, doc_id, text), doc_id, text).drop("_row")
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return _line_rows(with_rows(own, "doc_id", "text"), "doc_id", "text").drop("_row")
 
 
 def _line_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``line_components`` of documents ``with_rows``, and ``_row``."""
-    lines = lines_of(docs, doc_id, text)
-    filled = lines.where("id is not null")
-    signed = cut_lineage(_signed(filled))
-    pairs = cut_lineage(groups.pairs_with_leader(signed.select("id", F.explode("keys").alias("key"))))
-    wanted = pairs.select("id").distinct()
-    weights = signed.join(wanted, "id", "left_semi").groupBy("id").agg(F.max("weight").alias("weight"))
-    texts = filled.select("id", "line").join(wanted, "id", "left_semi")
-    texts = cut_lineage(texts.groupBy("id").agg(F.first("line").alias("text")))
-    links = groups.links(groups.in_parts(pairs, weights, PART), texts, shingle_set, SIMILARITY)
+    signed = cut_lineage(_signed(lines_of(docs, doc_id, text)))
+    fresh = signed.where("keys is not null")
+    pairs = cut_lineage(groups.pairs_with_leader(fresh.select("id", F.explode("keys").alias("key"))))
+    wanted = cut_lineage(pairs.select("id").distinct())
+    texts = groups.possible(fresh.select("id", "line", "weight"), wanted, "id").join(wanted, "id", "left_semi")
+    texts = cut_lineage(texts.groupBy("id").agg(F.first("line").alias("text"), F.max("weight").alias("weight")))
+    links = groups.links(groups.in_parts(pairs, texts.select("id", "weight"), PART), texts.select("id", "text"), shingle_sets, SIMILARITY)
     linked = components(cut_lineage(links))
-    numbered = lines.select("doc_id", "_row", "line_no", "id").join(linked, "id", "left").select(
+    numbered = signed.select("doc_id", "_row", "line_no", "id").join(linked, "id", "left").select(
         "doc_id", "_row", "line_no", F.coalesce("component", "id").alias("component"))
     numbered = cut_lineage(numbered)
     in_row = numbered.where("component is not null").groupBy("component", "doc_id", "_row").agg(F.min("line_no").alias("line_no"))
@@ -159,13 +164,20 @@ def _line_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the kept lines of each text, less documents of which no line of text is kept."""
-    rows = with_rows(docs, doc_id, text)
-    own = _line_rows(rows, doc_id, text).groupBy("doc_id", F.col("_row").alias("_own")).agg(
+    # the columns of ``docs`` travel as one, so that no name clashes
+    whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.struct(*map(_quoted, docs.columns)).alias("_all"))
+    rows = with_rows(whole, "doc_id", "text")
+    own = _line_rows(rows, "doc_id", "text").groupBy(F.col("doc_id").alias("_doc"), F.col("_row").alias("_own")).agg(
         F.array_sort(F.collect_set(F.struct("line_no", "kept"))).alias("_lines"),
         F.max(F.col("component").isNotNull()).alias("_any"),
-        F.max(F.col("kept") & F.col("component").isNotNull()).alias("_left")).withColumnRenamed("doc_id", "_doc")
-    joined = rows.join(own, rows[doc_id].eqNullSafe(own["_doc"]) & (rows["_row"] == own["_own"]), "left")
+        F.max(F.col("kept") & F.col("component").isNotNull()).alias("_left"))
+    joined = rows.join(own, rows["doc_id"].eqNullSafe(own["_doc"]) & (rows["_row"] == own["_own"]), "left")
     joined = joined.where(F.coalesce(~F.col("_any") | F.col("_left"), F.lit(True)))
-    both = F.filter(F.arrays_zip(F.split(text, "\n").alias("line"), F.col("_lines.kept").alias("kept")), lambda x: x["kept"])
+    both = F.filter(F.arrays_zip(F.split("text", "\n").alias("line"), F.col("_lines.kept").alias("kept")), lambda x: x["kept"])
     rebuilt = F.array_join(F.transform(both, lambda x: x["line"]), "\n")
-    return joined.withColumn(text, F.when(F.col("_lines").isNull(), F.col(text)).otherwise(rebuilt)).select(*docs.columns)
+    value = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(rebuilt)
+    return joined.select(*[(value if c == text else F.col("_all").getField(c)).alias(c) for c in docs.columns])
+
+
+def _quoted(name: str) -> Column:
+    return F.col(f"`{name}`")

@@ -67,6 +67,17 @@ def word_hashes(text: bytes, lower: bool) -> np.ndarray:
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The values in ascending order, each once."""
+    out = np.sort(values)
+    if len(out) < 2:
+        return out
+    fresh = np.empty(len(out), bool)
+    fresh[0] = True
+    np.not_equal(out[1:], out[:-1], out=fresh[1:])
+    return out[fresh]
+
+
 def window_hashes(words: np.ndarray, size: int = WINDOW) -> np.ndarray:
     """A hash for each run of ``size`` words; empty if there are fewer."""
     n = len(words) - size + 1
@@ -83,4 +94,8 @@ def shingle_set(text: str | None, size: int = WINDOW) -> np.ndarray:
     words = word_hashes((text or "").encode(), lower=True)
     if 0 < len(words) < size:
         return window_hashes(words, len(words)) + np.uint64(len(words))
-    return np.unique(window_hashes(words, size))
+    return distinct(window_hashes(words, size))
+
+
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    return [shingle_set(t) for t in texts]

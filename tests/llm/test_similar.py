@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 from conftest_llm import ODD
+from pyspark.sql import functions as F
 
 from skyops.llm import groups, jaccard_join, line_dedup, queries, words
 from skyops.llm.components import components
@@ -74,6 +75,39 @@ def test_join_cases(docs_of):
     assert jaccard_join.join(docs_of(ODD).where("doc_id > 99")).collect() == []
 
 
+def one_node(rows):
+    """Component of each id where an id with several texts is one node, by comparing all pairs of texts."""
+    of = {i: i for i, _ in rows if i is not None}
+    for i, s in rows:
+        for j, t in rows:
+            x, y = grams(s), grams(t)
+            if None not in (i, j) and i < j and x and y and len(x & y) >= 0.8 * len(x | y) - 1e-12 and of[i] != of[j]:
+                low, high = sorted((of[i], of[j]))
+                of = {k: low if c == high else c for k, c in of.items()}
+    return of
+
+
+@pytest.mark.parametrize("part", [10**6, 60])
+def test_rows_that_share_an_id_connect_their_texts(spark, docs_of, monkeypatch, part):
+    monkeypatch.setattr(jaccard_join, "PART", part)
+    a, b, c = (" ".join(f"{w}{k}" for k in range(60)) for w in ("one", "two", "six"))
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, c), (5, c + " end"), (None, a), (5, ""), (6, None), (4, c)]
+    rng = random.Random(part)
+    for n in (1, 3, 7):
+        rng.shuffle(rows)
+        got = jaccard_join.join(docs_of(rows).repartition(n)).collect()
+        want = one_node(rows)
+        assert {(r.doc_id, r.component_id) for r in got if r.n_shingles} == {(i, want.get(i)) for i, t in rows if grams(t)}
+        assert {(r.doc_id, r.component_id) for r in got if not r.n_shingles} == {(5, 5), (6, 6)} and len(got) == len(rows)
+
+
+def test_chance_texts_under_shared_ids(docs_of):
+    rng = random.Random(9)
+    rows = [(rng.randrange(70), t) for _, t in variants(rng, 120, 60)]
+    got = {r.doc_id: r.component_id for r in jaccard_join.join(docs_of(rows)).collect()}
+    assert got == one_node(rows)
+
+
 def test_tree_join_misses_no_pair():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 3000, dtype=np.uint64)
@@ -139,6 +173,19 @@ def test_line_cases_and_rebuilt_texts(docs_of):
     assert len(line_dedup.without_repeats(docs_of(ODD)).collect()) > 5
 
 
+def test_columns_of_any_name_stay(docs_of):
+    names = ["_row", "_own", "_doc", "_lines", "_any", "_left", "_all", "line", "kept", "a.b"]
+    docs = docs_of([(1, "a first line\nof two"), (2, "A first line\nand more")])
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(f"v{k}"))
+    got = line_dedup.without_repeats(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.text, *r[-len(names):]) for r in got.collect()) == [
+        (t, *(f"v{k}" for k in range(len(names)))) for t in ("a first line\nof two", "and more")]
+    named = docs.select(F.col("doc_id").alias("_row"), F.col("text").alias("line"))
+    assert sorted(r.line for r in line_dedup.without_repeats(named, "_row", "line").collect()) == ["a first line\nof two", "and more"]
+
+
 def test_lines_of_rows_that_share_an_id(docs_of):
     """Documents without an id, or with different texts under one, give each line once and keep no repeats."""
     texts = ["A line that all of them share\nown line of the first", "a line that all of them share\nquite different words here",
