@@ -20,39 +20,45 @@ SAFE_ENV_PREFIXES = ("PATH", "HOME", "USER", "SHELL", "LANG", "LC_", "TERM", "ED
 def ancestors(envs: DataFrame, parents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Chains (env, ancestor, depth), depth 0 being the environment itself, and the errors.
 
-    One join per inheritance level over the chains that are still open. Every level is written
-    to the shared folder, so the plan stays short and a retry starts from the files. A parent
-    that is already in the chain, or that does not exist, ends the chain as an error row.
+    Chains are doubled: those of length d that are still open are followed by the chains of their
+    ends, so a depth of n takes log n joins. Every round is written to the shared folder, and a retry
+    starts from the files. A parent that is already in the chain, or that does not exist, ends the
+    chain as an error row.
     """
     known = envs.select(F.col("env").alias("_known")).distinct()
-    links = parents.join(known, parents.parent == F.col("_known"), "left").select(
-        F.col("env").alias("_child"), "parent", F.col("_known").isNotNull().alias("_exists"))
-    step = envs.select("env", F.col("env").alias("ancestor"), F.lit(0).alias("depth"),
-                       F.array("env").alias("_seen"), F.lit(None).cast("string").alias("error"))
-    step = cut_lineage(step)
-    done = []
+    missing = F.when(F.col("_known").isNull(), F.concat(F.lit("Config file not found: "), "parent"))
+    first = parents.join(known, parents.parent == F.col("_known"), "left").select(
+        "env", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"), F.array("env", "parent").alias("_seen"), missing.alias("_missing"))
+    first = _ended(first)
+    start = envs.select("env", F.col("env").alias("ancestor"), F.lit(0).alias("depth"), F.array("env").alias("_seen"),
+                        F.lit(None).cast("string").alias("error"))
+    rows, length = cut_lineage(start.unionByName(first)), 1
     while True:
-        done.append(step)
-        open_ends = step.filter(F.col("error").isNull())
-        nxt = open_ends.join(links, F.col("ancestor") == F.col("_child"))
-        error = (
-            F.when(~F.col("_exists"), F.concat(F.lit("Config file not found: "), "parent"))
-            .when(F.array_contains("_seen", F.col("parent")),
-                  F.concat(F.lit("Circular inheritance detected: "),
-                           F.array_join(F.array_append("_seen", F.col("parent")), " → "))))
-        step, n = cut_and_count(nxt.select(
-            "env", F.col("parent").alias("ancestor"), (F.col("depth") + 1).alias("depth"),
-            F.array_append("_seen", F.col("parent")).alias("_seen"), error.alias("error")))
+        ends = rows.filter((F.col("depth") == length) & F.col("error").isNull()).select(
+            "env", F.col("ancestor").alias("_end"), F.col("_seen").alias("_so_far"))
+        on = rows.filter(F.col("depth") > 0).select(
+            F.col("env").alias("_from"), "ancestor", (F.col("depth") + length).alias("depth"), F.col("_seen").alias("_then"),
+            F.when(F.col("error").startswith("Config"), F.col("error")).alias("_missing"))
+        longer = ends.join(on, F.col("_end") == F.col("_from")).select(
+            "env", "ancestor", "depth", F.concat("_so_far", F.slice("_then", F.lit(2), F.size("_then"))).alias("_seen"), "_missing")
+        step, n = cut_and_count(_ended(longer))
         if n == 0:
             break
-    rows = done[0]
-    for d in done[1:]:
-        rows = rows.unionByName(d)
+        rows, length = rows.unionByName(step), 2 * length
     errors = rows.filter(F.col("error").isNotNull()).select("env", "error")
     chains = rows.filter(F.col("error").isNull()).select("env", "ancestor", "depth")
     return chains.join(errors.select("env"), "env", "left_anti"), errors
 
 
+def _ended(chains: DataFrame) -> DataFrame:
+    """Chains with the error that ends them; those that go on after a repeated environment are left out."""
+    before = F.slice("_seen", F.lit(1), F.size("_seen") - 1)
+    again = F.array_contains(before, F.col("ancestor"))
+    circle = F.when(again, F.concat(F.lit("Circular inheritance detected: "), F.array_join("_seen", " → ")))
+    return chains.filter(F.size(F.array_distinct(before)) == F.size(before)).select(
+        "env", "ancestor", "depth", "_seen", F.coalesce("_missing", circle).alias("error"))
+
+
 # -- deep merge --------------------------------------------------------------------------
 
 def stack_levels(chains: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -72,7 +78,7 @@ def deep_merge(levels: DataFrame, keys: Sequence[str] = ("env",)) -> DataFrame:
     nearest = levels.groupBy(*at).agg(
         F.min_by(F.struct("depth", "kind", "value"), "depth").alias("_n"),
         F.min(F.when(F.col("kind") != "dict", F.col("depth"))).alias("_blocks"))
-    rows = nearest.select(*at, "_n.*", "_blocks")
+    rows = cut_lineage(nearest.select(*at, "_n.*", "_blocks"))  # read three times
     walls = rows.filter(F.col("_blocks").isNotNull()).select(
         *keys, F.col("path").alias("_wall"), "_blocks")
     below = rows.filter(F.size("path") > 1).select(
@@ -86,6 +92,7 @@ def deep_merge(levels: DataFrame, keys: Sequence[str] = ("env",)) -> DataFrame:
 
 def resolve(nodes: DataFrame, parents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Resolved trees of all environments, and the inheritance errors."""
+    nodes, parents = cut_lineage(nodes), cut_lineage(parents)
     envs = nodes.select("env").unionByName(parents.select("env")).distinct()
     chains, errors = ancestors(envs, parents)
     return deep_merge(stack_levels(chains, nodes)), errors
@@ -343,11 +350,38 @@ def drift(matrix: DataFrame, envs: DataFrame) -> DataFrame:
 def missing_envs(matrix: DataFrame, envs: DataFrame) -> DataFrame:
     """(package, env) for every environment that lacks a package.
 
-    Environments are deployments, a short list, so each package carries the set of its own.
+    A package that all environments have is counted out first. The pairs of the others are the
+    result and what its packages do have; they are dealt by package and environment, not collected.
+    """
+    n = envs.select("env").distinct().agg(F.count(F.lit(1)).alias("n"))
+    have = matrix.select("package", "env").distinct()
+    some = have.groupBy("package").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") < n.scalar()).select("package")
+    deal = F.pmod(F.xxhash64("env"), F.lit(_DEALS))
+    every = some.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(_DEALS - 1)))).join(
+        envs.select("env").distinct().withColumn("_deal", deal.cast("int")), "_deal").select("package", "env")
+    return every.join(have, ["package", "env"], "left_anti")
+
+
+#: Into how many parts the environments are dealt.
+_DEALS = 16
+
+
+def inventory_rows(matrix: DataFrame, envs: DataFrame, trees: DataFrame | None = None, absent: str = "-") -> DataFrame:
+    """(package, env, version, drift) for every package and environment; with ``trees`` also OS and Python as packages.
+
+    The report in rows, for any number of environments; ``wide_matrix`` makes columns of a named few.
     """
-    every = envs.agg(F.collect_set("env").alias("s")).scalar()
-    have = matrix.groupBy("package").agg(F.collect_set("env").alias("_have"))
-    return have.select("package", F.explode(F.array_except(every, "_have")).alias("env"))
+    flags = drift(matrix, envs).select("package", F.lit(True).alias("drift"))
+    rows = matrix.select("package", "env", "version").unionByName(
+        missing_envs(matrix, envs).withColumn("version", F.lit(absent)))
+    out = rows.join(flags, "package", "left").withColumn("drift", F.coalesce("drift", F.lit(False)))
+    if trees is None:
+        return out
+    runtime = runtime_versions(trees).select("env", F.inline(F.array(
+        F.struct(F.lit("os").alias("package"), F.col("os").alias("version")),
+        F.struct(F.lit("python").alias("package"), F.col("python").alias("version")))))
+    return out.withColumn("section", F.lit("packages")).unionByName(
+        runtime.withColumns({"drift": F.lit(False), "section": F.lit("runtime")}))
 
 
 def inventory_report(matrix: DataFrame, envs: DataFrame, names: Sequence[str]) -> DataFrame:
