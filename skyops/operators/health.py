@@ -140,6 +140,12 @@ def warning_threshold(checks: DataFrame, config: DataFrame) -> DataFrame:
         "check", F.coalesce("warning", F.lit(DEFAULT_WARNING)).alias("warning"))
 
 
+def check_thresholds(checks: DataFrame, config: DataFrame) -> DataFrame:
+    """Both thresholds of every check name; the critical one is null where none is set."""
+    return checks.join(config, "check", "left").select(
+        "check", F.coalesce("warning", F.lit(DEFAULT_WARNING)).alias("warning"), "critical")
+
+
 def result_alerts(results: DataFrame, config: DataFrame) -> DataFrame:
     """WARNING / CRITICAL / ERROR results with the configured threshold, else their own."""
     hits = results.filter(F.col("status").isin(*ALERTING)).withColumnRenamed("threshold", "_own")

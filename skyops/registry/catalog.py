@@ -321,14 +321,12 @@ def _(spark, sf):
         "pl_name", "hostname", F.col("disc_year").cast("int").alias("disc_year"))
 
 
-@query("src_catalog_table", f'WITH {_Q} SELECT pl_name AS "Planet", hostname AS "Host Star", '
-       'discovery_method AS "Method", disc_year AS "Year", ra AS "RA (°)", '
-       '"dec" AS "Dec (°)" FROM q')
+@query("src_catalog_table", f"WITH {_Q} SELECT " + ", ".join(
+    f'"{c}" AS "{shown}"' for c, shown in catalog.DISPLAY_NAMES.items()) + " FROM q")
 def _(spark, sf):
     path = scratch_dir(spark, "catalog")
     query_catalog(spark, sf).write.parquet(path)
-    shown = catalog.display_table(source.read_catalog_table(spark, path))
-    return shown.select("Planet", "Host Star", "Method", "Year", "`RA (°)`", "`Dec (°)`")
+    return catalog.display_table(source.read_catalog_table(spark, path))
 
 
 # -- sinks -------------------------------------------------------------------------

@@ -55,11 +55,11 @@ _PARENTS = [("nation", _N, "concat('R', n_regionkey)"),
             ("customer", _C, "concat('N', c_nationkey)")]
 
 
-def nodes(spark, sf):
+def nodes(spark, sf, given=None):
     """The node rows of all three levels, one scan per table."""
     out = None
     for t in ("region", "nation", "customer"):
-        mine = [n for n in _NODES if n[0] == t]
+        mine = [n for n in given or _NODES if n[0] == t]
         structs = ", ".join(
             f"CASE WHEN {cond} THEN named_struct('path', split('{path}', '[.]'), "
             f"'kind', '{kind}', 'value', CAST({value} AS STRING)) END"
@@ -78,9 +78,15 @@ def parents(spark, sf):
     return out
 
 
-_NODES_SQL = "n AS (" + " UNION ALL ".join(
-    f"SELECT {env} AS env, '{path}' AS path, '{kind}' AS kind, CAST({value} AS VARCHAR) AS value "
-    f"FROM {t} WHERE {cond}" for t, env, cond, path, kind, value in _NODES) + ")"
+
+
+def _nodes_sql(given):
+    return "n AS (" + " UNION ALL ".join(
+        f"SELECT {env} AS env, '{path}' AS path, '{kind}' AS kind, CAST({value} AS VARCHAR) AS value "
+        f"FROM {t} WHERE {cond}" for t, env, cond, path, kind, value in given) + ")"
+
+
+_NODES_SQL = _nodes_sql(_NODES)
 _PARENTS_SQL = "p AS (" + " UNION ALL ".join(
     f"SELECT {env} AS env, {parent} AS parent FROM {t}" for t, env, parent in _PARENTS) + ")"
 _CHAIN_SQL = f"""{_NODES_SQL}, {_PARENTS_SQL},
@@ -340,10 +346,6 @@ def _(spark, sf):
 
 # -- inventory ----------------------------------------------------------------------------------
 
-#: the columns that the reference SQL names
-_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-
-
 def software(spark, sf):
     """(env, package, version, source): nations as packages of market segments."""
     c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
@@ -394,13 +396,11 @@ def _(spark, sf):
     return configs.missing_envs(_matrix(spark, sf), _envs(spark, sf))
 
 
-@query("agg_inventory_report", f"WITH {_SOFTWARE_SQL} SELECT package, " + ", ".join(
-    f"coalesce(max(version) FILTER (env = '{s}'), '-') AS \"{s}\"" for s in _SEGMENTS)
-    + ", package IN (SELECT package FROM dr) AS drift FROM m GROUP BY 1")
+@query("agg_inventory_report", f"""WITH {_SOFTWARE_SQL} SELECT p.package, e.env, coalesce(version, '-') AS version,
+  p.package IN (SELECT package FROM dr) AS drift FROM (SELECT DISTINCT package FROM m) p CROSS JOIN envs e
+  LEFT JOIN m ON m.package = p.package AND m.env = e.env""")
 def _(spark, sf):
-    envs = _envs(spark, sf)
-    names = [r["env"] for r in envs.orderBy("env").collect()]  # they become columns
-    return configs.inventory_report(_matrix(spark, sf), envs, names)
+    return configs.inventory_rows(_matrix(spark, sf), _envs(spark, sf))
 
 
 # -- secrets --------------------------------------------------------------------------------------
@@ -433,21 +433,64 @@ def _(spark, sf):
 
 # -- audit ----------------------------------------------------------------------------------------
 
-@query("pipe_config_audit", f"""WITH RECURSIVE {_PAIRS_SQL},
-w AS (SELECT pair AS env, count(*) AS changes FROM e GROUP BY 1)
-SELECT m.env, count(*) AS nodes, coalesce(max(w.changes), 0) AS changes,
-  count(*) FILTER (path = 'acct' AND kind <> 'dict') AS bad_accounts
-FROM merged m LEFT JOIN w ON w.env = m.env WHERE m.env LIKE 'C%' GROUP BY 1""")
+# Software on top of the trees: every region names a package, an OS and a Python; some nations override them.
+_AUDIT_NODES = _NODES + [
+    ("region", _R, "TRUE", "software", "dict", "NULL"),
+    ("region", _R, "TRUE", "software.packages", "dict", "NULL"),
+    ("region", _R, "TRUE", "software.packages.base", "scalar", "'\"1.0\"'"),
+    ("region", _R, "TRUE", "software.packages.same", "scalar", "'\"2\"'"),
+    ("region", _R, "TRUE", "software.os_version", "scalar", _quoted("r_name")),
+    ("nation", _N, "n_nationkey % 4 = 0", "software", "dict", "NULL"),
+    ("nation", _N, "n_nationkey % 4 = 0", "software.packages", "dict", "NULL"),
+    ("nation", _N, "n_nationkey % 4 = 0", "software.packages.base", "scalar", "'\"1.1\"'"),
+    ("nation", _N, "n_nationkey % 4 = 0", "software.python_version", "scalar", "'\"3.13\"'"),
+]
+
+
+def _lost(spark, sf):
+    """Environments whose parent does not exist."""
+    return table(spark, sf, "supplier").selectExpr("concat('X', s_suppkey) AS env", "concat('none', s_suppkey) AS parent")
+
+
+@query("pipe_config_audit", f"""WITH RECURSIVE {_PAIRS_SQL.replace(_NODES_SQL, _nodes_sql(_AUDIT_NODES))}, {_LINES_SQL},
+found AS ({_scan_sql()}),
+sw AS (SELECT env, path[19:] AS package, trim(value, '"') AS version FROM merged WHERE starts_with(path, 'software.packages.')),
+rt AS (SELECT env, coalesce(max(trim(value, '"')) FILTER (path = 'software.os_version'), '?') || ' ' ||
+  coalesce(max(trim(value, '"')) FILTER (path = 'software.python_version'), '?') AS what FROM merged GROUP BY 1)
+SELECT 'nodes' AS section, env AS item, '' AS what, count(*) AS n FROM merged GROUP BY 2
+UNION ALL SELECT 'changes', pair, operation, count(*) FROM e GROUP BY 2, 3
+UNION ALL SELECT 'violations', env, 'acct', count(*) FROM merged WHERE path = 'acct' AND kind <> 'dict' GROUP BY 2
+UNION ALL SELECT 'errors', concat('X', s_suppkey), concat('Config file not found: none', s_suppkey), 1 FROM supplier
+UNION ALL SELECT 'drift', package, CAST(count(DISTINCT version) AS VARCHAR), count(DISTINCT env) FROM sw GROUP BY 2
+  HAVING count(DISTINCT version) > 1 OR count(DISTINCT env) < (SELECT count(DISTINCT env) FROM merged)
+UNION ALL SELECT 'runtime', env, what, 1 FROM rt
+UNION ALL SELECT 'secrets', pattern, severity, count(*) FROM found GROUP BY 2, 3""")
 def _(spark, sf):
+    """Every output of the audit: trees, changes, violations, inheritance errors, drift, runtimes and secrets."""
     from skyops.plans.config_audit import config_audit
 
     link = table(spark, sf, "customer").selectExpr(f"{_C} AS env",
                                                    "concat('N', c_nationkey) AS base")
-    out = config_audit(nodes(spark, sf), parents(spark, sf), _SCHEMA, link)
-    trees, changes, problems = out["trees"], out["diff"], out["violations"]
-    sizes = trees.filter(F.col("env").startswith("C") & (F.size("path") > 0)).groupBy("env").agg(
-        F.count(F.lit(1)).alias("nodes"))
-    changed = changes.groupBy("env").agg(F.count(F.lit(1)).alias("changes"))
-    bad = problems.filter((path_join(F.col("path")) == "acct") & (F.col("keyword") == "type")
-                          ).groupBy("env").agg(F.count(F.lit(1)).alias("bad_accounts"))
-    return sizes.join(changed, "env", "left").join(bad, "env", "left").na.fill(0)
+    out = config_audit(nodes(spark, sf, _AUDIT_NODES), parents(spark, sf).unionByName(_lost(spark, sf)), _SCHEMA, link,
+                       table(spark, sf, "documents").select("doc_id", "text"))
+    text, one = F.lit("").alias("what"), F.count(F.lit(1)).alias("n")
+
+    def section(name, rows, *columns):
+        return rows.select(F.lit(name).alias("section"), *[c.cast("string").alias(n) for c, n in zip(columns, ("item", "what"))],
+                           F.col("n").cast("bigint").alias("n"))
+
+    c = F.col
+    bad = out["violations"].filter((path_join(c("path")) == "acct") & (c("keyword") == "type"))
+    parts = [
+        section("nodes", out["trees"].filter(F.size("path") > 0).groupBy("env", text).agg(one), c("env"), c("what")),
+        section("changes", out["diff"].groupBy("env", "operation").agg(one), c("env"), c("operation")),
+        section("violations", bad.groupBy("env", F.lit("acct").alias("what")).agg(one), c("env"), c("what")),
+        section("errors", out["errors"].withColumn("n", F.lit(1)), c("env"), c("error")),
+        section("drift", out["drift"].withColumnRenamed("envs", "n"), c("package"), c("versions")),
+        section("runtime", out["runtime"].withColumn("n", F.lit(1)), c("env"), F.concat("os", F.lit(" "), "python")),
+        section("secrets", out["secrets"].groupBy("pattern", "severity").agg(one), c("pattern"), c("severity")),
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole

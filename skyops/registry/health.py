@@ -83,14 +83,14 @@ def _(spark, sf):
 
 
 @query("src_thresholds", f"""WITH {_CHECKS_SQL}, {_THRESHOLDS_SQL}
-SELECT "check", CAST(coalesce(max(warning), 80) AS DOUBLE) AS warning, count(*) AS results
-FROM c LEFT JOIN t ON chk = "check" GROUP BY 1""")
+SELECT "check", CAST(coalesce(max(warning), 80) AS DOUBLE) AS warning, CAST(max(critical) AS DOUBLE) AS critical,
+  count(*) AS results FROM c LEFT JOIN t ON chk = "check" GROUP BY 1""")
 def _(spark, sf):
     path = scratch_dir(spark, "thresholds")
     _user(spark).write.json(path)
     config = health.thresholds(spark, source.read_thresholds(spark, path))
     seen = check_rows(spark, sf).groupBy("check").agg(F.count(F.lit(1)).alias("results"))
-    return health.warning_threshold(seen, config).join(seen, "check")
+    return health.check_thresholds(seen, config).join(seen, "check")
 
 
 _HOOKS = [{"url": "http://pager", "on": ["critical", "error"]}, {"url": "http://chat"},
@@ -110,14 +110,53 @@ def _(spark, sf):
     return out.withColumn("payload", _names(parsed["alerts"]))
 
 
-@query("pipe_health", f"""WITH {_ALERTS_SQL}, {_REPORT_SQL} SELECT rep.host, rep.run,
-  overall_status, total, count(al.status) AS alerts FROM rep
-  LEFT JOIN al ON rep.host = al.host AND rep.run = al.run GROUP BY 1, 2, 3, 4""")
+@query("pipe_health", f"""WITH {_ALERTS_SQL}, {_REPORT_SQL}, r(url, status) AS (VALUES
+  ('http://pager', 'CRITICAL'), ('http://pager', 'ERROR'), ('http://chat', 'CRITICAL'), ('http://mail', 'WARNING')),
+sent AS (SELECT host, run, url, string_agg("check" || ':' || status, ',' ORDER BY "check") AS what FROM al JOIN r USING (status)
+  GROUP BY 1, 2, 3),
+hooks AS (SELECT host, run, string_agg(url || ' ' || what, ';' ORDER BY url) AS payloads FROM sent GROUP BY 1, 2),
+n AS (SELECT host, run, count(*) AS alerts FROM al GROUP BY 1, 2)
+SELECT rep.*, CASE overall_status WHEN 'CRITICAL' THEN 2 WHEN 'WARNING' THEN 1 ELSE 0 END AS exit_code,
+  coalesce(alerts, 0) AS alerts, coalesce(payloads, '') AS payloads FROM rep
+  LEFT JOIN n ON rep.host = n.host AND rep.run = n.run LEFT JOIN hooks ON rep.host = hooks.host AND rep.run = hooks.run""")
 def _(spark, sf):
+    """The whole run: report, alerts, and what each webhook is sent."""
     out = health_run(check_rows(spark, sf), _KEYS, ("event_id",), _HOOKS, _user(spark))
     alerts = out["alerts"].groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("alerts"))
-    return out["report"].join(alerts, list(_KEYS), "left").select(
-        *_KEYS, "overall_status", "total", F.coalesce("alerts", F.lit(0)).alias("alerts"))
+    parsed = F.from_json("payload", "source string, alerts array<struct<check:string,status:string>>")
+    line = F.concat("url", F.lit(" "), _names(parsed["alerts"]))
+    sent = out["payloads"].withColumn("line", line).groupBy(*_KEYS).agg(
+        F.array_join(F.sort_array(F.collect_list("line")), ";").alias("payloads"))  # a line a webhook
+    report = out["report"].withColumn("checks", _names(F.col("checks")))
+    return report.join(alerts, list(_KEYS), "left").join(sent, list(_KEYS), "left").withColumns(
+        {"alerts": F.coalesce("alerts", F.lit(0)), "payloads": F.coalesce("payloads", F.lit(""))})
+
+
+_PRODUCERS = {
+    "events": ("events", """concat('{"check": "ev', event_id % 7, '", "status": "', CASE event_id % 3 WHEN 0 THEN 'OK' WHEN 1 THEN 'WARNING'
+      ELSE 'odd' END, '", "value": ', event_id, '}')"""),
+    "orders": ("orders", """concat('{"check": "order", "status": "CRITICAL", "value": ', o_orderkey, ', "threshold": 5, "message": "',
+      o_orderstatus, '"}')"""),
+    "suppliers": ("supplier", "CASE WHEN s_suppkey % 4 = 0 THEN 'not json' ELSE concat('  {\"check\": \"sup\", \"value\": ', s_suppkey, '}  ') END"),
+}
+_PRODUCED_SQL = """SELECT 'events' AS producer, CASE event_id % 3 WHEN 2 THEN 'ev' || event_id % 7 ELSE 'ev' || event_id % 7 END AS "check",
+    CASE event_id % 3 WHEN 0 THEN 'OK' WHEN 1 THEN 'WARNING' ELSE 'ERROR' END AS status,
+    CASE WHEN event_id % 3 = 2 THEN 0.0 ELSE CAST(event_id AS DOUBLE) END AS value FROM events
+  UNION ALL SELECT 'orders', 'order', 'CRITICAL', CAST(o_orderkey AS DOUBLE) FROM orders
+  UNION ALL SELECT 'suppliers', CASE WHEN s_suppkey % 4 = 0 THEN 'unknown' ELSE 'sup' END, 'ERROR',
+    CASE WHEN s_suppkey % 4 = 0 THEN 0.0 ELSE CAST(s_suppkey AS DOUBLE) END FROM supplier"""
+
+
+@query("udf_check", f"""SELECT producer, "check", status, count(*) AS n, CAST(sum(value) AS DOUBLE) AS total
+FROM ({_PRODUCED_SQL}) GROUP BY 1, 2, 3""")
+def _(spark, sf):
+    """Checks of a user's own: any producers of one JSON line a check, read by the one contract."""
+    lines = None
+    for name, (source_table, line) in _PRODUCERS.items():
+        part = table(spark, sf, source_table).selectExpr(f"'{name}' AS producer", f"{line} AS value")
+        lines = part if lines is None else lines.unionByName(part)
+    return health.parse_results(lines, keep=("producer",)).groupBy("producer", "check", "status").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
 
 
 @query("flt_checks", f"""WITH {_CHECKS_SQL} SELECT "check", count(*) AS n FROM c

@@ -364,6 +364,8 @@ def _encoded(spark, sf):
                          card("OBJECT", f"'field {row.field}'"),
                          card("IMAGETYP", f"'{row.imagetyp}'"), card("EXPTIME", row.exptime),
                          card("CRVAL1", row.frame_id % 360), card("CRVAL2", row.frame_id % 90),
+                         card("FILTER", f"'F{row.frame_id % 3}'"), card("INSTRUME", "'it''s one'"),
+                         card("TELESCOP", f"'T{row.field}' / aperture"), card("AIRMASS", 1 + row.frame_id % 8 / 8),
                          card("DATE-OBS", f"'2024-01-{row.frame_id % 28 + 1:02d}'"),
                          "END".ljust(80)]
                 head = "".join(cards).encode().ljust(2880)
@@ -387,13 +389,17 @@ _FILES = """fl AS (SELECT vec_id, 'f' || vec_id || '.fits' ||
 """.format(kind=_KIND, exp=_EXP, rows=_ROWS)
 
 
-@query("src_image_headers", f"""WITH {_FILES} SELECT filename,
-  CASE WHEN NOT bad THEN 'field ' || label END AS object,
-  CASE WHEN NOT bad THEN imagetyp END AS imagetyp, CASE WHEN NOT bad THEN exptime END AS exptime,
-  CASE WHEN NOT bad THEN h END AS naxis2 FROM fl""")
+_HEADER_FIELDS = {
+    "object": "'field ' || label", "ra_deg": "CAST(vec_id % 360 AS DOUBLE)", "dec_deg": "CAST(vec_id % 90 AS DOUBLE)",
+    "filter": "'F' || vec_id % 3", "exptime": "exptime", "instrument": "'it''s one'", "telescope": "'T' || label",
+    "date_obs": "'2024-01-' || lpad(CAST(vec_id % 28 + 1 AS VARCHAR), 2, '0')", "imagetyp": "imagetyp", "naxis1": "8", "naxis2": "h",
+    "airmass": "1 + CAST(vec_id % 8 AS DOUBLE) / 8", "fov_arcmin": "CAST(NULL AS VARCHAR)"}
+
+
+@query("src_image_headers", f"WITH {_FILES} SELECT filename, " + ", ".join(
+    f'CASE WHEN NOT bad THEN {e} END AS "{c}"' for c, e in _HEADER_FIELDS.items()) + " FROM fl")
 def _(spark, sf):
-    entries = sky.catalog_entries(source.headers_of(_encoded(spark, sf)))
-    return entries.select("filename", "object", "imagetyp", "exptime", "naxis2")
+    return sky.catalog_entries(source.headers_of(_encoded(spark, sf)))
 
 
 @query("src_image_pixels", f"""WITH {_FILES}, {_PX} SELECT filename, count(*) AS pixels,
@@ -500,21 +506,23 @@ def _(spark, sf):
         "id", F.round("q.x", 5).alias("x"), F.round("q.y", 5).alias("y"))
 
 
-@query("wcs_field_geometry", f"""WITH {_HEAD_SQL} SELECT id,
-  {_sky_sql("512.0", "256.0", "center")}, {_sky_sql("1023.0", "511.0", "corner3")},
+_CORNERS = [("0.0", "0.0"), ("1023.0", "0.0"), ("1023.0", "511.0"), ("0.0", "511.0")]
+
+
+@query("wcs_field_geometry", f"""WITH {_HEAD_SQL} SELECT id, {_sky_sql("512.0", "256.0", "center")},
+  {", ".join(_sky_sql(x, y, f"corner{k}") for k, (x, y) in enumerate(_CORNERS))},
   round((sqrt(a * a + c * c) + sqrt(b * b + d * d)) / 2 * 3600, 4) AS scale,
-  round(sqrt(a * a + c * c) * 1024 * 60, 2) AS fov_w,
+  round(sqrt(a * a + c * c) * 1024 * 60, 2) AS fov_w, round(sqrt(b * b + d * d) * 512 * 60, 2) AS fov_h,
   round(CASE WHEN cd11 IS NOT NULL THEN degrees(atan2(cd12, cd11)) ELSE coalesce(crota2, 0) END, 2)
     AS rotation, 'TAN' AS projection
 FROM mx WHERE ctype1 = 'RA---TAN'""")
 def _(spark, sf):
     rows = headers(spark, sf).withColumn("g", fn.field_geometry()).filter(F.col("g").isNotNull())
-    corner = F.col("g.corners")[2]
+    places = {"center": F.col("g.center")} | {f"corner{k}": F.col("g.corners")[k] for k in range(len(_CORNERS))}
     return rows.select(
-        "id", F.round("g.center.ra", 6).alias("center_ra"),
-        F.round("g.center.dec", 6).alias("center_dec"), F.round(corner["ra"], 6).alias("corner3_ra"),
-        F.round(corner["dec"], 6).alias("corner3_dec"),
+        "id", *[F.round(at[c], 6).alias(f"{name}_{c}") for name, at in places.items() for c in ("ra", "dec")],
         F.col("g.pixel_scale_arcsec").alias("scale"), F.col("g.fov_arcmin.width").alias("fov_w"),
+        F.col("g.fov_arcmin.height").alias("fov_h"),
         F.col("g.rotation_deg").alias("rotation"), F.col("g.projection").alias("projection"))
 
 
@@ -555,7 +563,8 @@ _CARDS = """map_filter(map('OBJECT', p_name, 'FILTER', p_brand,
   'RA', CASE WHEN p_partkey % 2 = 0 THEN CAST(p_partkey % 360 AS STRING) END,
   'CRVAL1', '12.5', 'CRVAL2', '-3.5', 'CRPIX1', '512', 'CRPIX2', '256', 'CD1_1', '-0.001',
   'CD2_2', '0.001', 'CTYPE1', CASE WHEN p_partkey % 3 = 0 THEN 'RA---TAN' END,
-  'CTYPE2', 'DEC--TAN', 'NAXIS1', '1024', 'NAXIS2', '512',
+  'CTYPE2', 'DEC--TAN', 'NAXIS1', '1024', 'NAXIS2', '512', 'INSTRUME', p_type, 'IMAGETYP', 'light',
+  'TELESCOP', CASE WHEN p_partkey % 4 <> 0 THEN concat('T', p_size) END, 'AIRMASS', CAST(1 + p_size / 100 AS STRING),
   'DATE-OBS', CASE WHEN p_partkey % 7 <> 0 THEN concat('2024-01-', lpad(p_size, 2, '0')) END),
   (k, v) -> v IS NOT NULL)"""
 
@@ -569,16 +578,16 @@ _ENTRY_SQL = """en AS (SELECT p_partkey, 'f' || p_partkey || '.fits' AS filename
   CAST(CASE WHEN p_partkey % 2 = 0 THEN p_partkey % 360 ELSE 12.5 END AS DOUBLE) AS ra_deg,
   CAST(-3.5 AS DOUBLE) AS dec_deg, p_brand AS "filter",
   CAST(CASE WHEN p_partkey % 5 <> 0 THEN p_size END AS DOUBLE) AS exptime,
+  p_type AS instrument, CASE WHEN p_partkey % 4 <> 0 THEN 'T' || p_size END AS telescope,
   CASE WHEN p_partkey % 7 <> 0 THEN '2024-01-' || lpad(CAST(p_size AS VARCHAR), 2, '0') END
-    AS date_obs, CASE WHEN p_partkey % 3 = 0 THEN '61.4x30.7' END AS fov_arcmin FROM part)"""
-_ENTRY_COLS = ("filename", "object", "ra_deg", "dec_deg", "filter", "exptime", "date_obs",
-               "fov_arcmin")
+    AS date_obs, 'light' AS imagetyp, 1024 AS naxis1, 512 AS naxis2, round(1 + p_size / 100, 6) AS airmass,
+  CASE WHEN p_partkey % 3 = 0 THEN '61.4x30.7' END AS fov_arcmin FROM part)"""
+_ENTRIES = f"WITH {_ENTRY_SQL} SELECT * EXCLUDE (p_partkey) FROM en"
 
 
-@query("xf_catalog_entry", f"WITH {_ENTRY_SQL} SELECT filename, object, ra_deg, dec_deg, "
-       '"filter", exptime, date_obs, fov_arcmin FROM en')
+@query("xf_catalog_entry", _ENTRIES)
 def _(spark, sf):
-    return sky.catalog_entries(cards(spark, sf)).select(*_ENTRY_COLS)
+    return _rounded(sky.catalog_entries(cards(spark, sf)), "airmass")
 
 
 @query("xf_observation_keys", """SELECT 'f' || p_partkey || '.fits' AS filename,
@@ -599,8 +608,7 @@ def _(spark, sf):
     return sky.with_position(sky.sort_by_date(entries))
 
 
-@query("sink_image_catalog", f"WITH {_ENTRY_SQL} SELECT filename, object, ra_deg, dec_deg, "
-       '"filter", exptime, date_obs, fov_arcmin FROM en')
+@query("sink_image_catalog", _ENTRIES)
 def _(spark, sf):
     path = scratch_dir(spark, "image-catalog")
     sky.write_catalog(sky.catalog_entries(cards(spark, sf)), path, "csv")
@@ -608,4 +616,4 @@ def _(spark, sf):
         "filename string, object string, ra_deg double, dec_deg double, filter string, "
         "exptime double, instrument string, telescope string, date_obs string, imagetyp string, "
         "naxis1 int, naxis2 int, airmass double, fov_arcmin string").csv(path)
-    return back.select(*_ENTRY_COLS)
+    return _rounded(back, "airmass")
