@@ -344,19 +344,24 @@ def _(spark, sf):
 
 # -- files --------------------------------------------------------------------------------------
 
-def _encoded(spark, sf):
-    """Frames as FITS bytes; every eleventh file is cut short, every seventh is compressed."""
+def _written(spark, sf):
+    """A folder of frames as FITS files; every eleventh is cut short, every seventh is compressed."""
     import gzip
 
     import numpy as np
     import pandas as pd
+    import pyarrow.fs as fs
+
+    folder = scratch_dir(spark, "images")
 
     def card(key, value):
         return f"{key:<8}= {value:>20}".ljust(80)
 
     def encode(batches):
+        files, at = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/"))
+        files.create_dir(at)
         for pdf in batches:
-            names, blobs = [], []
+            names = []
             for row in pdf.itertuples():
                 px = np.array([np.nan if v is None else v for v in row.px], dtype=float)
                 cards = [card("SIMPLE", "T"), card("BITPIX", -64), card("NAXIS", 2),
@@ -371,16 +376,18 @@ def _encoded(spark, sf):
                 head = "".join(cards).encode().ljust(2880)
                 body = px.astype(">f8").tobytes()
                 data = head + body.ljust(-(-len(body) // 2880) * 2880, b"\0")
-                name = f"/images/f{row.frame_id}.fits"
+                name = f"f{row.frame_id}.fits"
                 if row.frame_id % 11 == 0:
                     data = data[:100]
                 elif row.frame_id % 7 == 0:
                     data, name = gzip.compress(data), name + ".gz"
+                with files.open_output_stream(f"{at}/{name}", compression=None) as out:
+                    out.write(data)
                 names.append(name)
-                blobs.append(data)
-            yield pd.DataFrame({"path": names, "content": blobs})
+            yield pd.DataFrame({"name": names})
 
-    return frames(spark, sf).mapInPandas(encode, "path string, content binary")
+    frames(spark, sf).mapInPandas(encode, "name string").write.format("noop").mode("overwrite").save()
+    return folder
 
 
 _FILES = """fl AS (SELECT vec_id, 'f' || vec_id || '.fits' ||
@@ -399,14 +406,14 @@ _HEADER_FIELDS = {
 @query("src_image_headers", f"WITH {_FILES} SELECT filename, " + ", ".join(
     f'CASE WHEN NOT bad THEN {e} END AS "{c}"' for c, e in _HEADER_FIELDS.items()) + " FROM fl")
 def _(spark, sf):
-    return sky.catalog_entries(source.headers_of(_encoded(spark, sf)))
+    return sky.catalog_entries(source.read_headers(spark, _written(spark, sf)))
 
 
 @query("src_image_pixels", f"""WITH {_FILES}, {_PX} SELECT filename, count(*) AS pixels,
   count(v) AS good, CAST(sum(v) AS DOUBLE) AS total FROM fl JOIN px ON frame_id = vec_id
   WHERE NOT bad GROUP BY 1""")
 def _(spark, sf):
-    tiles, _bad = source.split_bad(source.tiles_of(_encoded(spark, sf), tile=5))
+    tiles, _bad = source.split_bad(source.read_tiles(spark, _written(spark, sf), tile=5))
     return images.to_pixels(tiles, ("filename",)).groupBy("filename").agg(
         F.count(F.lit(1)).alias("pixels"), F.count("v").alias("good"), F.sum("v").alias("total"))
 

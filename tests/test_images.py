@@ -1,4 +1,5 @@
 import gzip
+import io
 
 import numpy as np
 import pytest
@@ -308,3 +309,53 @@ def test_ranks_of_one_group_span_tasks(spark):
     assert ranked.groupBy("v").agg(F.min("rank").alias("a"), F.max("rank").alias("b")).where("b - a + 1 <> (20000 - v + 6) DIV 7").count() == 0
     windows = [line for line in with_ranks(rows, ["g"], ["v"])._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window" in line]
     assert windows and all("_part" in line or "_rows" in line for line in windows)
+
+
+def fits_bytes(image, bitpix=-64, extra=()):
+    cards = [f"{k:<8}= {v:>20}".ljust(80) for k, v in (("SIMPLE", "T"), ("BITPIX", bitpix), ("NAXIS", 2), ("NAXIS1", image.shape[1]),
+                                                     ("NAXIS2", image.shape[0]), *extra)]
+    head = "".join([*cards, "END".ljust(80)]).encode()
+    body = image.astype({-64: ">f8", 16: ">i2"}[bitpix]).tobytes()
+    return head.ljust(-(-len(head) // 2880) * 2880) + body.ljust(-(-len(body) // 2880) * 2880, b"\0")
+
+
+class Counted(io.BytesIO):
+    """A file that knows how many bytes were read."""
+
+    count = 0
+
+    def read(self, n=-1):
+        data = super().read(n)
+        self.count += len(data)
+        return data
+
+
+def test_headers_are_read_without_pixels():
+    image = np.zeros((2000, 500))
+    file = Counted(fits_bytes(image) + fits_bytes(image))
+    units = list(source._units(file, len(file.getbuffer())))
+    assert len(units) == 2 and file.count == 2 * 2880
+
+
+def test_strips_are_read_at_their_offsets(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    image = rng.integers(-900, 900, (57, 23))
+    (tmp_path / "a.fits").write_bytes(fits_bytes(image, 16, (("BZERO", 100), ("BSCALE", 2), ("BLANK", int(image[4, 4])))))
+    (tmp_path / "b.FITS.gz").write_bytes(gzip.compress(fits_bytes(image.astype(float))))
+    (tmp_path / "c.fit").write_bytes(fits_bytes(image.astype(float))[:9000])
+    (tmp_path / "d.fts.gz").write_bytes(gzip.compress(fits_bytes(image.astype(float))[:9000]))
+    (tmp_path / "e.fits").write_bytes(b"SIMPLE")
+    tiles, bad = source.split_bad(source.read_tiles(spark, str(tmp_path), tile=10))
+    assert {r.filename for r in bad.collect()} == {"c.fit", "d.fts.gz", "e.fits"}
+    rows = tiles.collect()
+    assert max(r.h for r in rows) == max(r.w for r in rows) == 10 and len(rows) == 2 * 6 * 3
+    for name, want in (("a.fits", np.where(image == image[4, 4], np.nan, image * 2.0 + 100)), ("b.FITS.gz", image.astype(float))):
+        got = as_array(images.to_pixels(tiles.filter(F.col("filename") == name), ("filename",)), image.shape)
+        np.testing.assert_array_equal(got, want)
+    file = Counted(fits_bytes(image.astype(float)))
+    cards, at, shape = source._image_unit(source._units(file, len(file.getbuffer())))
+    file.count = 0
+    np.testing.assert_array_equal(source.read_rows(file, cards, at, shape, 30, 2), image[30:32])
+    assert file.count == 2 * 23 * 8
+    plan = source.list_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1]
