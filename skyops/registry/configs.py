@@ -9,7 +9,7 @@ from skyops.functions.text import path_get, path_join, path_prefixes
 from skyops.operators import configs, secrets
 from skyops.registry import query
 from skyops.registry.bindings import events, table
-from skyops.session import cut_lineage
+from skyops.session import cut_lineage, scratch_dir
 from skyops.sources import configs as source
 
 # -- inputs: region -> nation -> customer as an inheritance forest ------------------------------
@@ -288,25 +288,39 @@ def _(spark, sf):
     return _flat(source.nodes_of(_yaml(spark, sf)))
 
 
-@query("src_config_nodes", f"""WITH {_DOC_NODES} SELECT env, concat('N', c_nationkey) AS parent,
-  count(*) AS nodes FROM d JOIN customer ON env = concat('C', c_custkey)
-  WHERE x.path <> 'inherits' GROUP BY 1, 2""")
+def _files(docs, spark, name):
+    """A folder with a file for each document, by environment."""
+    path = scratch_dir(spark, name)
+    docs.select("env", "value").repartition("env").write.partitionBy("env").option("lineSep", "\n").text(path)
+    return path
+
+
+@query("src_config_nodes", """WITH d AS (SELECT 'N' || n_nationkey AS env, 'R' || n_regionkey AS parent, unnest([
+  {'path': '', 'kind': 'dict', 'value': NULL}, {'path': 'meta', 'kind': 'dict', 'value': NULL},
+  {'path': 'meta.nation', 'kind': 'scalar', 'value': '"' || n_name || '"'},
+  {'path': 'codes', 'kind': 'list', 'value': '[' || n_nationkey || ', "x"]'},
+  {'path': 'empty', 'kind': 'null', 'value': 'null'}]) AS x FROM nation)
+SELECT env, parent, x.path AS path, x.kind AS kind, x.value AS value FROM d""")
 def _(spark, sf):
-    pointers, body = source.parents_of(source.nodes_of(_yaml(spark, sf)))
-    return body.groupBy("env").agg(F.count(F.lit(1)).alias("nodes")).join(pointers, "env")
+    """A folder of YAML files, one for each nation."""
+    docs = table(spark, sf, "nation").selectExpr(
+        "concat('N', n_nationkey) AS env", "concat('inherits: R', n_regionkey, '\nmeta:\n  nation: \"', n_name, '\"\ncodes: [', "
+        "n_nationkey, ', x]\nempty:\n') AS value")
+    pointers, body = source.parents_of(source.read_config_nodes(spark, _files(docs, spark, "trees"), "part-*"))
+    return _flat(body).join(pointers, "env")
 
 
-@query("src_snapshots", """SELECT 'S' || o_orderkey AS snapshot, 'host' || o_custkey AS host,
-  unnest(['pkg' || o_custkey, 'base']) AS package, unnest([o_orderstatus || '.1', '2.0']) AS version,
-  unnest([CASE WHEN o_orderkey % 2 = 0 THEN 'apt' ELSE 'pip' END, 'pip']) AS source
-  FROM orders""")
+@query("src_snapshots", """SELECT 'S' || s_suppkey AS snapshot, 'host' || s_nationkey AS host,
+  unnest(['pkg' || s_nationkey, 'base']) AS package, unnest([(s_suppkey % 9) || '.1', '2.0']) AS version,
+  unnest([CASE WHEN s_suppkey % 2 = 0 THEN 'apt' ELSE 'pip' END, 'pip']) AS source FROM supplier""")
 def _(spark, sf):
-    docs = table(spark, sf, "orders").selectExpr(
-        "concat('S', o_orderkey) AS env",
-        "concat('hostname: host', o_custkey, '\npackages:\n  - {name: pkg', o_custkey, "
-        "', version: ', o_orderstatus, '.1', CASE WHEN o_orderkey % 2 = 0 THEN ', source: apt' "
+    """A folder of stored snapshots, one for each supplier."""
+    docs = table(spark, sf, "supplier").selectExpr(
+        "concat('S', s_suppkey) AS env",
+        "concat('hostname: host', s_nationkey, '\npackages:\n  - {name: pkg', s_nationkey, "
+        "', version: \"', s_suppkey % 9, '.1\"', CASE WHEN s_suppkey % 2 = 0 THEN ', source: apt' "
         "ELSE '' END, '}\n  - {name: base, version: \"2.0\"}\n') AS value")
-    return source.snapshot_packages(source.nodes_of(docs))
+    return source.read_snapshots(spark, _files(docs, spark, "snapshots"), "part-*")
 
 
 @query("path_join", f"WITH {_NODES_SQL} SELECT path, count(*) AS n FROM n GROUP BY 1")

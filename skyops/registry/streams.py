@@ -12,15 +12,16 @@ from skyops.registry import bindings as b
 from skyops.registry import logs as log_queries
 from skyops.registry import query
 from skyops.registry.catalog import _CLEAN_OUT, _ROUTED, _clean_out
-from skyops.registry.health import (_CHECKS_SQL, _KEYS, _OUT_TEXT, _REPORT_SQL,
+from skyops.registry.health import (_CHECKS_SQL, _KEYS, _OUT_TEXT, _REPORT_SQL, _names,
                                     check_rows)
-from skyops.registry.metrics import _ACCESS, _KEY_SQL, _LABELS_SPARK, _OP
+from skyops.registry.metrics import _ACCESS, _ACCESS_SQL, _KEY_SQL, _LABELS_SPARK, _OP, _buckets_sql
 from skyops.session import scratch_dir
 from skyops.sinks import events as event_sink
 from skyops.sinks import upsert
 from skyops.sources import checks as check_source
 from skyops.sources import logs as log_source
 from skyops.streaming import alerts as st_alerts
+from skyops.streaming import health as st_health
 from skyops.streaming import logs as st_logs
 from skyops.streaming import metrics as st_metrics
 from skyops.streaming import ratelimit as st_ratelimit
@@ -300,12 +301,18 @@ def _(spark, sf):
     return st_metrics.read_gauges(spark, f"{path}/out").withColumn("value", F.round("value", 6))
 
 
-@query("st_request_metrics", "SELECT method, endpoint, status, count(*) AS requests FROM (SELECT "
-       + ", ".join(f"{e} AS {c}" for c, e in _ACCESS) + " FROM events) GROUP BY 1, 2, 3")
+@query("st_request_metrics", f"""WITH {_ACCESS_SQL} SELECT method, endpoint,
+  'requests' AS kind, CAST(status AS VARCHAR) AS item, count(*) AS n FROM a GROUP BY 1, 2, 4
+UNION ALL SELECT method, endpoint, 'latency', le, cumulative FROM
+  ({_buckets_sql('method, endpoint', 'a', 'latency')})""")
 def _(spark, sf):
+    """Request counts and the latency histogram of a stream of hits."""
     access = event_stream(spark, sf).selectExpr(*[f"{e} AS `{c}`" for c, e in _ACCESS])
-    keys = ["method", "endpoint", "status"]
-    return drain_updates(spark, metrics.request_counts(access), "requests", keys)
+    counts = drain_updates(spark, metrics.request_counts(access), "requests", ["method", "endpoint", "status"])
+    latency = drain_updates(spark, metrics.request_latency(access), "latency", ["method", "endpoint"])
+    return counts.select("method", "endpoint", F.lit("requests").alias("kind"), F.col("status").cast("string").alias("item"),
+                         F.col("requests").alias("n")).unionByName(metrics.histogram_buckets(latency, ("method", "endpoint")).select(
+        "method", "endpoint", F.lit("latency").alias("kind"), F.col("le").alias("item"), F.col("cumulative").alias("n")))
 
 
 @query("st_rate_limit", """WITH RECURSIVE h AS (SELECT event_id, user_id AS client,
@@ -340,18 +347,23 @@ def _(spark, sf):
     return out.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("st_health_report", f"""WITH {_CHECKS_SQL}, {_REPORT_SQL} SELECT host, run, total, ok,
-  warning, critical, error, overall_status FROM rep""")
+@query("st_health_report", f"""WITH {_CHECKS_SQL}, {_REPORT_SQL} SELECT *,
+  CASE overall_status WHEN 'CRITICAL' THEN 2 WHEN 'WARNING' THEN 1 ELSE 0 END AS exit_code FROM rep""")
 def _(spark, sf):
-    """Latest result per check as streaming state; the report folds those rows per run."""
-    cols = check_rows(spark, sf).columns
+    """Latest result per check in a table that a stream keeps; the report folds those rows per run.
+
+    A batch is reduced to its latest results before they meet the stored ones, so the stream holds no state.
+    """
     from skyops.registry.health import _CHECK_COLS
 
+    path = scratch_dir(spark, "report")
     rows = event_stream(spark, sf).selectExpr(
         "date_format(ts, 'yyyy-MM-dd') AS run", *[f"{e} AS `{c}`" for c, e in _CHECK_COLS])
-    latest = health.latest_results(rows.select(*cols), _KEYS, ("event_id",))
-    table = drain_updates(spark, latest, "report", [*_KEYS, "check"])
-    return health.report(table, _KEYS).drop("checks", "exit_code")
+    rows = rows.select(*check_rows(spark, sf).columns)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    run.each_batch(rows, st_health.latest_results_table(path + "/out", schema, _KEYS, "event_id"), path + "/checkpoint").awaitTermination()
+    report = health.report(upsert.read_table(spark, path + "/out", schema), _KEYS)
+    return report.withColumn("checks", _names(F.col("checks")))
 
 
 @query("st_upsert", f"WITH {_ROUTED} SELECT {_CLEAN_OUT}, 'run-s' AS run_id FROM routed "

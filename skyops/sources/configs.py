@@ -9,24 +9,35 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skyops.schemas import CONFIG_NODES
 
 try:
     import yaml
-except ImportError:  # JSON documents still load
+except ImportError:  # JSON documents need none; a YAML document is then refused
     yaml = None
 
 _NODE = "path array<string>, kind string, value string"
+#: Nodes of a slice.
+_SLICE = 20_000
 
 
 def _load(text: str):
-    if yaml is not None:
+    """The mapping of a document: JSON if it begins with a brace and is, else YAML."""
+    data, parsed = None, False
+    if text.lstrip().startswith("{"):
+        try:
+            data, parsed = json.loads(text), True
+        except ValueError:
+            pass  # a flow mapping of YAML
+    if not parsed and text.strip():
+        if yaml is None:
+            raise RuntimeError("PyYAML is needed to read YAML documents")
         data = yaml.load(text, getattr(yaml, "CSafeLoader", yaml.SafeLoader))
-    else:
-        data = json.loads(text) if text.strip() else None
     if data is None:
         return {}
     if not isinstance(data, dict):
@@ -49,32 +60,57 @@ def _walk(path: list[str], value) -> Iterator[tuple]:
 
 @F.udtf(returnType=_NODE, useArrow=True)
 class ConfigNodes:
-    """``config_nodes(text)``: the nodes of one YAML or JSON document."""
+    """``config_nodes(text)``, for SQL: the nodes of one YAML or JSON document. ``nodes_of`` takes batches."""
 
     def eval(self, text: str):
         yield from _walk([], _load(text))
 
 
 def nodes_of(documents: DataFrame, text: str = "value") -> DataFrame:
-    """Apply the table function to a text column; the other columns stay."""
-    rest = [c for c in documents.columns if c != text]
-    d = documents.withColumnRenamed(text, "_text")
-    return d.lateralJoin(ConfigNodes(F.col("_text").outer())).select(*rest, "path", "kind", "value")
+    """The nodes of the documents in a text column; the other columns stay.
+
+    Documents are parsed an Arrow batch at a time, and their nodes leave in slices of bounded length.
+    """
+    rest = [f for f in documents.schema.fields if f.name != text]
+    schema = StructType([*rest, *StructType.fromDDL(_NODE).fields])
+    names = [f.name for f in rest]
+
+    def sliced(b, at, nodes):
+        columns = [b.column(n).take(pa.array(at, pa.int32())) for n in names]
+        parts = list(zip(*nodes, strict=True))
+        kinds = [pa.list_(pa.string()), pa.string(), pa.string()]
+        return pa.RecordBatch.from_arrays([*columns, *(pa.array(list(c), k) for c, k in zip(parts, kinds, strict=True))],
+                                          names=[*names, "path", "kind", "value"])
+
+    def run(batches):
+        for b in batches:
+            at, nodes = [], []
+            for i, t in enumerate(b.column(text).to_pylist()):
+                for node in _walk([], _load(t or "")):
+                    at.append(i)
+                    nodes.append(node)
+                    if len(at) == _SLICE:
+                        yield sliced(b, at, nodes)
+                        at, nodes = [], []
+            if at:
+                yield sliced(b, at, nodes)
+
+    return documents.select(*names, text).mapInArrow(run, schema)
 
 
 def read_config_nodes(spark: SparkSession, path: str, glob: str = "*.yaml") -> DataFrame:
-    """All documents of a folder; the environment is the file name without its suffix.
+    """All documents of a folder; the environment is the file name without its suffix, or that of an ``env=`` folder.
 
     Spark skips files of no bytes, so those are listed and added as trees with a root only.
     """
     stem = F.regexp_extract("path", r"([^/]*)\.[^./]*$", 1)
-    docs = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-            .select(stem.alias("env"), F.decode("content", "UTF-8").alias("value")))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    name = F.col("env").cast("string") if "env" in files.columns else stem
+    nodes = nodes_of(files.select(name.alias("env"), F.decode("content", "UTF-8").alias("value")))
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{glob}")
     fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
     empty = [(f.getPath().getName().rsplit(".", 1)[0], [], "dict", None)
              for f in fs.globStatus(fs_path) or [] if f.isFile() and f.getLen() == 0]
-    nodes = nodes_of(docs)
     if not empty:
         return nodes
     return nodes.unionByName(spark.createDataFrame(empty, CONFIG_NODES))

@@ -7,7 +7,8 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 STREAMS = {n for n in entry.queries() if n.startswith("st_")} | {"pipe_log_watch"}
-QUICK = {"st_level_counts", "st_histogram", "st_late_policy", "st_upsert", "st_sliding_stats"}
+QUICK = {"st_level_counts", "st_histogram", "st_late_policy", "st_upsert", "st_sliding_stats", "st_gauge",
+         "st_firing_now", "st_health_report", "st_request_metrics"}
 NAMES = sorted(n for n in entry.registry.QUERIES if n not in STREAMS or n in QUICK)
 
 
