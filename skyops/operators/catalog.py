@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyops.functions.text import strip
+from skyops.operators.ranks import slice_of
 
 # Unit ratios and the temperate range.
 JUPITER_RADIUS_IN_EARTH_RADII = 11.209
@@ -99,6 +100,10 @@ def search(df: DataFrame, term: str) -> DataFrame:
                      | F.ilike("discovery_method", pattern))
 
 
+#: Rows that a page may keep as a top-k of each task; further on, pages are found by partition counts.
+DEEP_PAGE = 10_000
+
+
 def order_nulls(column: str, descending: bool = False) -> Column:
     """Nulls last when ascending, first when descending."""
     c = F.col(column)
@@ -117,6 +122,8 @@ def page(df: DataFrame, sort_by: str = "pl_name", sort_order: str = "asc",
     order = [order_nulls(sort_by, sort_order == "desc")]
     if tie != sort_by:
         order.append(F.col(tie).asc_nulls_last())
+    if offset + limit > DEEP_PAGE:
+        return slice_of(df.orderBy(*order), offset, limit)
     return df.orderBy(*order).offset(offset).limit(limit)
 
 

@@ -32,3 +32,20 @@ def with_ranks(rows: DataFrame, keys: Sequence[str], order: Sequence[str], rank:
         same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
     return place.join(starts, same).select(
         *rows.columns, (F.col("_at") - F.col("_first") + F.col("_before")).alias(rank), F.col("_size").alias(size))
+
+
+def slice_of(ordered: DataFrame, offset: int, limit: int) -> DataFrame:
+    """Rows ``offset`` up to ``offset + limit`` of a sorted table, in its order.
+
+    Only the partitions that hold them are looked into; no task gathers what comes before.
+    """
+    at = F.monotonically_increasing_id()
+    place = cut_lineage(ordered.withColumn("_at", at))
+    part = F.shiftright("_at", 33)
+    parts = place.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # a row a partition
+    starts = parts.withColumn("_before", F.coalesce(earlier, F.lit(0)))
+    held = starts.where((F.col("_before") < offset + limit) & (F.col("_before") + F.col("_rows") > offset)).select("_part", "_before")
+    rank = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = place.join(held, part == F.col("_part")).where((rank >= offset) & (rank < offset + limit))
+    return rows.orderBy("_at").select(*ordered.columns)

@@ -329,8 +329,10 @@ f AS (SELECT event_id, client, us, rn, true AS accepted, [us] AS kept FROM h WHE
 SELECT event_id, CAST(client AS VARCHAR) AS client, accepted FROM f""")
 def _(spark, sf):
     access = event_stream(spark, sf).selectExpr("event_id", "user_id AS client", "ts")
-    out = st_ratelimit.decide(access, max_requests=3, window_seconds=86_400)
-    return drain(spark, out, "limit").withColumnRenamed("seq", "event_id")
+    path = scratch_dir(spark, "limit")
+    decide = st_ratelimit.limit_batches(f"{path}/out", f"{path}/state", max_requests=3, window_seconds=86_400)
+    run.each_batch(access, decide, f"{path}/checkpoint").awaitTermination()
+    return st_ratelimit.read_decisions(spark, f"{path}/out").withColumnRenamed("seq", "event_id")
 
 
 # -- health and catalog ---------------------------------------------------------------------------

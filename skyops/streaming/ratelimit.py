@@ -1,66 +1,57 @@
-"""Sliding-window request limiting on a stream."""
+"""Sliding-window request limiting on a stream.
+
+A micro-batch is decided by the batch operator, which sorts and streams the hits of a busy client
+through a task and never holds them: the last accepted times of its clients come before its hits. What is
+stored is those times, at most M a client, in a bucketed table.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from skyops.operators.ratelimit import DEFAULT_MAX, DEFAULT_WINDOW, fold
-from skyops.operators.timeline import MICROS
-from skyops.streaming import run
-
-
-class Limiter(StatefulProcessor):
-    """Keeps the last M accepted times of a client; an event-time timer drops idle clients."""
-
-    def __init__(self, max_requests: int, window_seconds: int) -> None:
-        self._max = max_requests
-        self._span = window_seconds * MICROS
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._kept = handle.getValueState("kept", "times array<bigint>")
-
-    def _times(self) -> list[int]:
-        before = self._kept.get()
-        return list(before[0]) if before is not None else []
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        times = self._times()
-        ring = np.empty(self._max, dtype=np.int64)
-        ring[:len(times)] = times
-        pdf = pd.concat(list(rows)).sort_values(["us", "seq"], kind="stable")
-        ok, filled = fold(pdf["us"].to_numpy(), ring, len(times), self._max, self._span)
-        kept = np.sort(ring[:min(filled, self._max)])
-        self._kept.update(([int(t) for t in kept],))
-        self._handle.registerTimer((int(kept[-1]) + self._span) // 1000 + 1)
-        yield pd.DataFrame({"seq": pdf["seq"].to_numpy(), "client": key[0], "accepted": ok})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        times = self._times()
-        if times and (times[-1] + self._span) // 1000 < expiredTimerInfo.getExpiryTimeInMs():
-            self._kept.clear()
-        yield pd.DataFrame({"seq": [], "client": [], "accepted": []}).astype(
-            {"seq": "int64", "client": "str", "accepted": "bool"})
-
-    def close(self) -> None:
-        pass
-
 
-def decide(access: DataFrame, client: str = "client", ts: str = "ts", seq: str = "event_id",
-           max_requests: int = DEFAULT_MAX, window_seconds: int = DEFAULT_WINDOW,
-           delay: str = "1 minute") -> DataFrame:
-    """(seq, client, accepted) for every hit as it arrives; hits behind ``delay`` are dropped."""
-    run.use_rocksdb(access.sparkSession)
-    rows = access.withWatermark(ts, delay).select(
-        F.col(client).cast("string").alias("client"), F.unix_micros(ts).alias("us"),
-        F.col(seq).alias("seq"), F.col(ts).alias("ts"))
-    return rows.groupBy("client").transformWithStateInPandas(
-        Limiter(max_requests, window_seconds),
-        outputStructType="seq bigint, client string, accepted boolean",
-        outputMode="Append", timeMode="EventTime")
+from skyops.operators import ratelimit
+from skyops.operators.ratelimit import DEFAULT_MAX, DEFAULT_WINDOW
+from skyops.session import cut_lineage
+from skyops.sinks import upsert
+
+#: ``times``: the last accepted ones; ``before``: those before batch ``done`` - 1, so that it can be decided again.
+STATE = "client string, times array<bigint>, before array<bigint>, done bigint"
+DECISIONS = "seq bigint, client string, accepted boolean"
+
+
+def limit_batches(out: str, state: str, client: str = "client", ts: str = "ts", seq: str = "event_id",
+                  max_requests: int = DEFAULT_MAX, window_seconds: int = DEFAULT_WINDOW,
+                  buckets: int = upsert.BUCKETS) -> Callable[[DataFrame, int], None]:
+    """Per-batch function: writes (seq, client, accepted) of every hit below ``out``.
+
+    Hits of a batch are decided in time order. A hit that comes in a later batch than its time is decided by what
+    was accepted by then. A repeated batch gives the same decisions and leaves the same state.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, n = batch.sparkSession, batch_id + 1
+        hits = cut_lineage(batch.select(F.col(client).cast("string").alias("client"), F.unix_micros(ts).alias("us"),
+                                        F.col(seq).cast("bigint").alias("seq"), F.lit(False).alias("known")))
+        clients = hits.select(F.col("client").alias("_client")).distinct()
+        stored = upsert.read_table(spark, state, STATE).join(clients, F.col("client").eqNullSafe(F.col("_client")), "left_semi")
+        past = cut_lineage(stored.select("client", F.when(F.col("done") >= n, F.col("before")).otherwise(F.col("times")).alias("before")))
+        earlier = past.select("client", F.explode("before").alias("us"), F.lit(-1).cast("bigint").alias("seq"), F.lit(True).alias("known"))
+        rows = hits.unionByName(earlier).withColumn("ts", F.timestamp_micros("us"))
+        decided = cut_lineage(ratelimit.decide(rows, "client", "ts", "seq", max_requests, window_seconds))
+        decided.where(~F.col("known")).select("seq", "client", "accepted").write.mode("overwrite").parquet(f"{out}/b={batch_id:012d}")
+        latest = Window.partitionBy("client").orderBy(F.desc("us"), F.desc("seq"))
+        last = decided.where("accepted").select("client", "us", F.row_number().over(latest).alias("k")).where(F.col("k") <= max_requests)
+        times = last.groupBy("client").agg(F.sort_array(F.collect_list("us")).alias("times"))  # at most M a client
+        none = F.array().cast("array<bigint>")
+        old = past.select(F.col("client").alias("_client"), "before")
+        new = times.join(old, F.col("client").eqNullSafe(F.col("_client")), "left").select("client", "times", F.coalesce("before", none).alias("before"), F.lit(n).cast("bigint").alias("done"))
+        upsert.write_upsert(new, state, n, "client", STATE, (), buckets)
+
+    return write
+
+
+def read_decisions(spark, out: str) -> DataFrame:
+    return spark.read.schema(DECISIONS).parquet(f"{out}/b=*")

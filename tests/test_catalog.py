@@ -201,3 +201,13 @@ def test_seed_only_into_an_empty_table(spark):
     assert upsert.seed_if_empty(target, seed).count() == 5
     assert upsert.seed_if_empty(seed, seed).count() == 0
     assert target.columns == upsert.stamp(catalog.transform(raw(spark, {"pl_name": "A"})), "r").columns
+
+
+def test_deep_pages_equal_shallow_ones(spark, five, monkeypatch):
+    many = five.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(60)))).withColumn(
+        "pl_name", F.concat("pl_name", F.lit(" "), F.col("k").cast("string"))).drop("k").repartition(4)
+    for offset, order in ((0, "asc"), (37, "desc"), (290, "asc"), (305, "asc"), (400, "desc")):
+        want = catalog.page(many, "pl_bmasse", order, offset, 20).collect()
+        with monkeypatch.context() as m:
+            m.setattr(catalog, "DEEP_PAGE", 0)
+            assert catalog.page(many, "pl_bmasse", order, offset, 20).collect() == want

@@ -10,6 +10,7 @@ from skyops.operators.metrics import keyed
 from skyops.sinks import upsert
 from skyops.streaming import alerts as st_alerts
 from skyops.streaming import metrics as st_metrics
+from skyops.streaming import ratelimit as st_ratelimit
 from skyops.streaming import run, upsert as st_upsert
 
 T0 = dt.datetime(2024, 1, 1)
@@ -47,6 +48,29 @@ def test_gauges_over_batches(spark, tmp_path):
     assert sorted(got.values()) == sorted(want.values()) and len(got) == 3
 
 
+def test_limits_over_batches(spark, tmp_path):
+    rng = random.Random(4)
+    hits = sorted((rng.random() * 300, i, rng.choice(["a", "b", None])) for i in range(240))
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    write = st_ratelimit.limit_batches(out, state, max_requests=3, window_seconds=20, buckets=2)
+    kept, want = {}, {}
+    for s, i, c in hits:
+        us = round(s * 1e6)
+        alive = [t for t in kept.get(c, []) if t > us - 20_000_000]
+        want[i] = len(alive) < 3
+        kept[c] = [*alive, us] if want[i] else alive
+    for batch in range(4):
+        part = [(i, c, T0 + dt.timedelta(microseconds=round(s * 1e6))) for s, i, c in hits[60 * batch : 60 * batch + 60]]
+        rng.shuffle(part)
+        df = spark.createDataFrame(part, "event_id long, client string, ts timestamp")
+        write(df, batch)
+        if batch == 2:
+            write(df, batch)  # decided again as before
+    got = {r.seq: r.accepted for r in st_ratelimit.read_decisions(spark, out).collect()}
+    assert got == want and not all(want.values())
+    assert max(len(r.times) for r in upsert.read_table(spark, state, st_ratelimit.STATE).collect()) <= 3
+
+
 def log_files(spark, folder, levels, start):
     rows = [(T0 + dt.timedelta(seconds=start + i), level, "app", "m") for i, level in enumerate(levels)]
     spark.createDataFrame(rows, "ts timestamp, level string, logger string, message string").coalesce(1).write.mode("append").parquet(folder)
