@@ -35,9 +35,7 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
 
 def pieces_digests(docs: DataFrame) -> DataFrame:
     """Ids and decoded texts of all documents, with their digests."""
-    path = public_tokenizers.path(PIECES)
-    ids = sentencepiece_codec.encode(docs.select("doc_id", "text"), path).select("doc_id", "ids")
-    both = sentencepiece_codec.decode(ids, path)
+    both = sentencepiece_codec.encode_and_decode(docs.select("doc_id", "text"), public_tokenizers.path(PIECES))
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -25,7 +25,7 @@ from skyops.llm.batches import append
 from skyops.llm.pieces import Memory, Vocabulary, load, merge, splitter
 
 #: Chunks and pairs of pieces that a worker process remembers, in each of two generations.
-REMEMBERED, PAIRS = 200_000, 200_000
+REMEMBERED, PAIRS = 100_000, 150_000
 
 
 class Encoder:
@@ -107,47 +107,74 @@ def encoder_of(vocab: Vocabulary) -> Encoder:
     return _ENCODERS[vocab.digest]
 
 
+def _encoding(vocab: Vocabulary, end: bool):
+    """The function from an array of texts to their ids."""
+    known, split = encoder_of(vocab).known, splitter(vocab)
+    tail = np.array([vocab.end_id], np.int32).tobytes() if end else b""
+
+    def fn(texts: pa.Array) -> pa.ListArray:
+        rows = [b"".join(map(known.__getitem__, split(t or ""))) + tail for t in texts.to_pylist()]
+        offsets = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+
+    return fn
+
+
+def _each_byte(error):
+    return "\ufffd" * (error.end - error.start), error.end
+
+
+def _decoding(vocab: Vocabulary):
+    """The function from an array of lists of ids to their texts."""
+    raw = vocab.raw
+    codecs.register_error("each-byte", _each_byte)
+
+    def text_of(row):
+        parts = [p for p in map(raw.__getitem__, row) if p]
+        if parts and parts[0][:1] == b" ":
+            parts[0] = parts[0][1:]
+        return b"".join(parts).decode("utf-8", "each-byte")
+
+    def fn(lists: pa.ListArray) -> pa.Array:
+        return pa.array([text_of(r.values.to_numpy().tolist()) if r.is_valid else "" for r in lists], pa.string())
+
+    return fn
+
+
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", end: bool = True) -> DataFrame:
     """Add the ids of ``text`` as an array, with the end id last if ``end``."""
     shared = df.sparkSession.sparkContext.broadcast(load(path))
 
     def make():
-        known, split = encoder_of(shared.value).known, splitter(shared.value)
-        tail = np.array([shared.value.end_id], np.int32).tobytes() if end else b""
-
-        def fn(batch):
-            rows = [b"".join(map(known.__getitem__, split(t or ""))) + tail for t in batch.column(text).to_pylist()]
-            offsets = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int32)
-            values = pa.array(np.frombuffer(b"".join(rows), np.int32))
-            return [pa.ListArray.from_arrays(pa.array(offsets), values)]
-
-        return fn
+        fn = _encoding(shared.value, end)
+        return lambda batch: [fn(batch.column(text))]
 
     return append(df, [T.StructField(ids, T.ArrayType(T.IntegerType()))], make)
 
 
-def _each_byte(error):
-    return "�" * (error.end - error.start), error.end
-
-
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Add the text of the array ``ids``: control ids give nothing, bytes that are no UTF-8 give U+FFFD each."""
     shared = df.sparkSession.sparkContext.broadcast(load(path))
 
     def make():
-        raw = shared.value.raw
-        codecs.register_error("each-byte", _each_byte)
+        fn = _decoding(shared.value)
+        return lambda batch: [fn(batch.column(ids))]
 
-        def text_of(row):
-            parts = [p for p in map(raw.__getitem__, row) if p]
-            if parts and parts[0][:1] == b" ":
-                parts[0] = parts[0][1:]
-            return b"".join(parts).decode("utf-8", "each-byte")
+    return append(df, [T.StructField(decoded, T.StringType())], make)
+
+
+def encode_and_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded",
+                      end: bool = True) -> DataFrame:
+    """``encode``, then ``decode`` of its ids, in one worker process a task instead of two."""
+    shared = df.sparkSession.sparkContext.broadcast(load(path))
+
+    def make():
+        there, back = _encoding(shared.value, end), _decoding(shared.value)
 
         def fn(batch):
-            lists = batch.column(ids)
-            return [pa.array([text_of(r.values.to_numpy().tolist()) if r.is_valid else "" for r in lists], pa.string())]
+            found = there(batch.column(text))
+            return [found, back(found)]
 
         return fn
 
-    return append(df, [T.StructField(decoded, T.StringType())], make)
+    return append(df, [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())], make)

@@ -93,3 +93,12 @@ def test_queries_on_the_small_tables(spark, small):
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(LIBRARY.decode(ids).encode()).hexdigest()
         assert c.n_bytes == len((d.text or "").encode())
+
+
+def test_both_ways_at_once_equal_one_after_the_other(docs_of):
+    path = public_tokenizers.path(queries.PIECES)
+    docs = docs_of([*ODD, (20, "</s><unk> é ▁ \U0001f600"), (21, "a\x00b")])
+    one = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, path), path)
+    both = sentencepiece_codec.encode_and_decode(docs, path)
+    assert both.columns == one.columns
+    assert sorted(map(str, both.collect())) == sorted(map(str, one.collect()))
