@@ -599,7 +599,8 @@ def _(spark, sf):
 
 @query("xf_observation_keys", """SELECT 'f' || p_partkey || '.fits' AS filename,
   'OBJECT,' || CASE WHEN p_partkey % 2 = 0 THEN 'RA,' ELSE '' END || 'FILTER,EXPTIME' ||
-  CASE WHEN p_partkey % 7 <> 0 THEN ',DATE-OBS' ELSE '' END AS keys FROM part""")
+  CASE WHEN p_partkey % 7 <> 0 THEN ',DATE-OBS' ELSE '' END || ',INSTRUME' ||
+  CASE WHEN p_partkey % 4 <> 0 THEN ',TELESCOP' ELSE '' END || ',AIRMASS,IMAGETYP' AS keys FROM part""")
 def _(spark, sf):
     rank = F.array(*[F.lit(k) for k in sky.OBSERVATION_KEYWORDS])
     keys = F.map_keys(sky.observation_keys(F.col("cards")))
