@@ -42,11 +42,17 @@ def possible(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     return rows.withColumn("_slot", slot).join(F.broadcast(bits), "_slot").where(mine).select(*rows.columns)
 
 
-def pairs_with_leader(keys: DataFrame) -> DataFrame:
-    """(leader, id) for each (id, key) whose key two ids share; the leader is the least id of the key."""
+def pairs_with_leader(keys: DataFrame, filtered: bool = False) -> DataFrame:
+    """(leader, id) for each (id, key) whose key two ids share; the leader is the least id of the key.
+
+    ``filtered`` keeps other keys out of the join, which pays where few keys are shared.
+    """
     shared = keys.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
-    shared = cut_lineage(shared.where("leader < last").select("key", "leader"))
-    return possible(keys, shared, "key").join(shared, "key").select("leader", "id").distinct()
+    shared = shared.where("leader < last").select("key", "leader")
+    if filtered:
+        shared = cut_lineage(shared)
+        keys = possible(keys, shared, "key")
+    return keys.join(shared, "key").select("leader", "id").distinct()
 
 
 def in_parts(pairs: DataFrame, weights: DataFrame, limit: int) -> DataFrame:

@@ -136,7 +136,7 @@ def _line_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``line_components`` of documents ``with_rows``, and ``_row``."""
     signed = cut_lineage(_signed(lines_of(docs, doc_id, text)))
     fresh = signed.where("keys is not null")
-    pairs = cut_lineage(groups.pairs_with_leader(fresh.select("id", F.explode("keys").alias("key"))))
+    pairs = cut_lineage(groups.pairs_with_leader(fresh.select("id", F.explode("keys").alias("key")), filtered=True))
     wanted = cut_lineage(pairs.select("id").distinct())
     texts = groups.possible(fresh.select("id", "line", "weight"), wanted, "id").join(wanted, "id", "left_semi")
     texts = cut_lineage(texts.groupBy("id").agg(F.first("line").alias("text"), F.max("weight").alias("weight")))
