@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyops.functions import sky
-from skyops.session import cut_lineage
+from skyops.session import cut_and_total, cut_lineage
 
 # Header keywords of an observation, in order, and the catalog entry fields.
 OBSERVATION_KEYWORDS = ("OBJECT", "RA", "DEC", "FILTER", "EXPTIME", "DATE-OBS", "INSTRUME",
                         "TELESCOP", "OBSERVER", "AIRMASS", "GAIN", "RDNOISE", "IMAGETYP", "BUNIT")
 CATALOG_FIELDS = ("filename", "object", "ra_deg", "dec_deg", "filter", "exptime", "instrument",
                   "telescope", "date_obs", "imagetyp", "naxis1", "naxis2", "airmass", "fov_arcmin")
+#: Rows of either side that meet in a piece of a cell; pairs to compare, and rows to read, of a task.
+SIDE, PAIRS, ROWS = 1000, 10_000_000, 1_000_000
 
 
 def cone_join(positions: DataFrame, fields: DataFrame, radius_deg: float,
@@ -26,7 +28,8 @@ def cone_join(positions: DataFrame, fields: DataFrame, radius_deg: float,
     ascension cells at least one radius wide at its widest point. A field is copied to the cells
     its cone can touch (three bands, a few cells each; all cells of a band only next to a pole),
     which makes the join an equi join on the cell; the exact separation then decides. Copied rows
-    are the fields, the side that should be smaller; AQE splits crowded cells.
+    are the fields, the side that should be smaller. Tasks are as many as the pairs to compare ask for,
+    since these grow faster than the bytes by which Spark counts tasks (``_in_pieces``).
     """
     r = float(radius_deg)
     band_height = max(r, 1e-6)
@@ -65,9 +68,37 @@ def cone_join(positions: DataFrame, fields: DataFrame, radius_deg: float,
     cells = F.when(whole, F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).otherwise(
         F.transform(F.sequence(first, last), lambda i: F.pmod(i, F.col("_n"))))
     f = f.withColumn("_cell", F.explode(cells)).drop("_n")
+    p, f = _in_pieces(p, f)
     sep = sky.separation(F.col(center_ra), F.col(center_dec), F.col(ra), F.col(dec))
-    return (p.join(f, ["_band", "_cell"]).withColumn("separation_arcmin", sep)
-            .filter(F.col("separation_arcmin") <= r * 60.0).drop("_band", "_cell"))
+    return (p.join(f, _PIECE).withColumn("separation_arcmin", sep)
+            .filter(F.col("separation_arcmin") <= r * 60.0).drop(*_PIECE))
+
+
+_PIECE = ["_band", "_cell", "_across", "_down"]
+
+
+def _in_pieces(p: DataFrame, f: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides dealt to tasks by cell and piece: a crowded cell is cut into ``across`` x ``down`` pieces.
+
+    A position is in one column of pieces and a field in one row, so each pair meets once, and a piece
+    compares about ``SIDE`` x ``SIDE`` pairs however crowded its cell is. Only crowded cells are written.
+    """
+    cell = ["_band", "_cell"]
+    pieces = [F.greatest(F.ceil(F.col(n) / SIDE), F.lit(1)).cast("long").alias(a) for n, a in (("_np", "_nx"), ("_nf", "_ny"))]
+    sizes = p.groupBy(cell).agg(F.count(F.lit(1)).alias("_np")).join(f.groupBy(cell).agg(F.count(F.lit(1)).alias("_nf")), cell)
+    work = F.col("_np").cast("double") * F.col("_nf") / PAIRS + (F.col("_np") + F.col("_nf")) / ROWS
+    crowded, tasks = cut_and_total(sizes, work, F.col("_np") * F.col("_nf") > SIDE * SIDE)
+    crowded = crowded.select(*cell, *pieces)
+    tasks = max(1, math.ceil(tasks))
+
+    def dealt(rows: DataFrame, own: str, mine: str, other: str, others: str) -> DataFrame:
+        plain = [c.name for c in rows.schema if not any(t in c.dataType.simpleString() for t in ("map<", "variant"))]
+        at = F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in plain]), F.coalesce(F.col(mine), F.lit(1).cast("long")))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(others), F.lit(1).cast("long")) - 1))
+        return (rows.join(crowded, cell, "left").withColumn(own, at).withColumn(other, every).drop("_nx", "_ny")
+                .repartition(tasks, *_PIECE))
+
+    return dealt(p, "_across", "_nx", "_down", "_ny"), dealt(f, "_down", "_ny", "_across", "_nx")
 
 
 # -- headers ---------------------------------------------------------------------------------

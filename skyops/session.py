@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _SETTINGS = {
@@ -51,3 +51,10 @@ def cut_and_count(df: DataFrame) -> tuple[DataFrame, int]:
     seen = Observation()
     stored = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
     return stored, seen.get["n"]
+
+
+def cut_and_total(df: DataFrame, value: Column, wanted: Column) -> tuple[DataFrame, float]:
+    """``cut_lineage`` of the ``wanted`` rows plus the sum of ``value`` over all rows, taken by the same write."""
+    seen = Observation()
+    stored = cut_lineage(df.observe(seen, F.sum(value).alias("total")).where(wanted))
+    return stored, seen.get["total"] or 0.0
