@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skyops.functions.text import float_text
 from skyops.functions.thresholds import OPERATORS, compare
 from skyops.operators import logs
-from skyops.operators.timeline import MICROS, WINDOWS_PER_BUCKET, bucket_width, bucketed_lag, time_bucket
+from skyops.operators.timeline import MICROS, WINDOWS_PER_BUCKET, bucket_plan, bucketed_lag, time_bucket
 from skyops.schemas import ALERT_RULES
 
 # Metrics a rule may name, severities, and rule defaults.
@@ -53,25 +53,29 @@ def clean_rules(rows: DataFrame) -> DataFrame:
 
 
 def evaluate(stats: DataFrame, rules: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """One row per (statistics row, rule on one of its metrics) with ``value`` and ``breached``."""
+    """One row per (statistics row, rule on one of its metrics) with ``value`` and ``breached``.
+
+    Rules are a short list of configuration, so they go to the statistics: a shuffle by metric would put all
+    rows of a metric into one task.
+    """
     long = stats.select(
         *keep,
         F.inline(F.array(*[F.struct(F.lit(m).alias("metric"),
                                     F.col(m).cast("double").alias("value")) for m in METRICS])))
     hit = compare(F.col("operator"), F.col("value"), F.col("threshold"))
-    return long.join(rules, "metric").withColumn("breached", hit)
+    return long.join(F.broadcast(rules), "metric").withColumn("breached", hit)
 
 
 def transitions(evaluated: DataFrame, keys: Sequence[str], tick: str,
-                bucket_seconds: float = 600) -> DataFrame:
+                bucket_seconds: float = 600, count: int | None = None) -> DataFrame:
     """Rows where a rule starts to fire or is resolved, per rule and key, in tick order.
 
     One task sees the ticks of one rule, key and bucket of time; ``rule_events`` chooses the bucket by
-    the density of the entries.
+    the density of the entries, and the number of tasks by the ``count`` of evaluated rows.
     """
     order = F.col(tick)
     rows = bucketed_lag(evaluated, ["name", *keys], order, time_bucket(order, bucket_seconds),
-                        F.col("breached"), "_was")
+                        F.col("breached"), "_was", count)
     was = F.coalesce("_was", F.lit(False))
     return (
         rows.filter(F.col("breached") != was)
@@ -112,30 +116,30 @@ def _window(rule: dict) -> int:
     return int(rule.get("window_seconds", logs.DEFAULT_WINDOW))
 
 
-def _values(ticks: DataFrame, rules: Sequence[dict], keys: Sequence[str], ts: str, width: int) -> DataFrame:
+def _values(ticks: DataFrame, rules: Sequence[dict], keys: Sequence[str], ts: str, width: int, rows: int) -> DataFrame:
     out = None
     for w in sorted({_window(r) for r in rules}):
-        stats = logs.trailing_stats_of(ticks, keys, w, ts, width)
+        stats = logs.trailing_stats_of(ticks, keys, w, ts, width, rows)
         mine = rules_frame(ticks.sparkSession, [r for r in rules if _window(r) == w])
         part = evaluate(stats, mine, [*keys, ts])
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def _bucket(entries: DataFrame, rules: Sequence[dict], keys: Sequence[str], ts: str) -> int:
-    return bucket_width(entries, keys, F.unix_micros(ts), max(map(_window, rules)) * MICROS * WINDOWS_PER_BUCKET)
+def _bucket(entries: DataFrame, rules: Sequence[dict], keys: Sequence[str], ts: str) -> tuple[int, int]:
+    return bucket_plan(entries, keys, F.unix_micros(ts), max(map(_window, rules)) * MICROS * WINDOWS_PER_BUCKET)
 
 
 def rule_values(entries: DataFrame, rules: Sequence[dict], keys: Sequence[str] = (),
                 ts: str = "ts") -> DataFrame:
     """Trailing statistics of each rule's own window, joined to the rules; all windows share one table of ticks."""
-    width = _bucket(entries, rules, keys, ts)
-    return _values(logs.entry_ticks(entries, keys, ts), rules, keys, ts, width)
+    width, rows = _bucket(entries, rules, keys, ts)
+    return _values(logs.entry_ticks(entries, keys, ts), rules, keys, ts, width, rows)
 
 
 def rule_events(entries: DataFrame, rules: Sequence[dict], keys: Sequence[str] = (),
                 ts: str = "ts") -> DataFrame:
     """``rule_values`` as transitions."""
-    width = _bucket(entries, rules, keys, ts)
-    values = _values(logs.entry_ticks(entries, keys, ts), rules, keys, ts, width)
-    return transitions(values, keys, ts, width / MICROS)
+    width, rows = _bucket(entries, rules, keys, ts)
+    values = _values(logs.entry_ticks(entries, keys, ts), rules, keys, ts, width, rows)
+    return transitions(values, keys, ts, width / MICROS, rows * len(rules))

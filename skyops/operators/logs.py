@@ -93,8 +93,9 @@ def entry_ticks(entries: DataFrame, keys: Sequence[str] = (), ts: str = "ts") ->
     return ticks_of(entries, keys, F.unix_micros(ts), level_counts())
 
 
-def trailing_stats_of(ticks: DataFrame, keys: Sequence[str], window_seconds: int, ts: str, width: int) -> DataFrame:
-    sums = trailing_sums_of(ticks, keys, ts, COUNTERS, window_seconds, width)
+def trailing_stats_of(ticks: DataFrame, keys: Sequence[str], window_seconds: int, ts: str, width: int,
+                      rows: int | None = None) -> DataFrame:
+    sums = trailing_sums_of(ticks, keys, ts, COUNTERS, window_seconds, width, rows)
     return with_rates(sums.withColumn("window_end", F.col(ts)))
 
 

@@ -9,6 +9,7 @@ that a dense hour of a single stream is many tasks; a window may span any number
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +19,8 @@ MICROS = 1_000_000
 #: Times of a key in a bucket, at most; and the width of a bucket of sparse data, in windows.
 TICKS = 500_000
 WINDOWS_PER_BUCKET = 4
+#: Rows that a task sorts, where their number is known.
+ROWS = 250_000
 
 
 def trailing_sums(df: DataFrame, keys: Sequence[str], ts: str, counts: dict[str, Column],
@@ -27,14 +30,14 @@ def trailing_sums(df: DataFrame, keys: Sequence[str], ts: str, counts: dict[str,
     Output: keys, ts, one column per count, and ``window_start`` (oldest time still inside).
     """
     us = F.unix_micros(ts)
-    width = bucket_width(df, keys, us, int(window_seconds) * MICROS * WINDOWS_PER_BUCKET)
-    return trailing_sums_of(ticks_of(df, keys, us, counts), keys, ts, list(counts), window_seconds, width)
+    width, rows = bucket_plan(df, keys, us, int(window_seconds) * MICROS * WINDOWS_PER_BUCKET)
+    return trailing_sums_of(ticks_of(df, keys, us, counts), keys, ts, list(counts), window_seconds, width, rows)
 
 
 def trailing_sums_of(ticks: DataFrame, keys: Sequence[str], ts: str, names: Sequence[str],
-                     window_seconds: int, width: int) -> DataFrame:
-    """``trailing_sums`` over ``ticks_of``, which several windows may share."""
-    sums = sums_of(ticks, keys, names, int(window_seconds) * MICROS, width)
+                     window_seconds: int, width: int, rows: int | None = None) -> DataFrame:
+    """``trailing_sums`` over ``ticks_of``, which several windows may share; ``rows``: how many ticks at most."""
+    sums = sums_of(ticks, keys, names, int(window_seconds) * MICROS, width, rows)
     return sums.select(*keys, F.timestamp_micros("_us").alias(ts), *names,
                        F.timestamp_micros("_oldest").alias("window_start"))
 
@@ -45,22 +48,38 @@ def ticks_of(df: DataFrame, keys: Sequence[str], us: Column, counts: dict[str, C
 
 
 def bucket_width(df: DataFrame, keys: Sequence[str], us: Column, widest: int) -> int:
-    """Microseconds of a bucket: ``widest``, less where the densest second of a key asks for it.
+    """Microseconds of a bucket: ``widest``, less where the densest second of a key asks for it."""
+    return bucket_plan(df, keys, us, widest)[0]
+
+
+def bucket_plan(df: DataFrame, keys: Sequence[str], us: Column, widest: int) -> tuple[int, int]:
+    """``bucket_width`` and the number of rows, by which the tasks are chosen.
 
     Ticks of a key are distinct microseconds, so no bucket holds more than ``TICKS`` of them. The
-    rows of a second are counted by a map-side combined aggregate; one number reaches the driver.
+    rows of a second are counted by a map-side combined aggregate; two numbers reach the driver.
     """
     seconds = df.groupBy(*keys, F.floor(us / MICROS).alias("_second")).agg(F.count(F.lit(1)).alias("_n"))
-    densest = seconds.agg(F.max("_n")).first()[0] or 1
-    return max(TICKS, min(widest, TICKS * MICROS // densest))
+    densest, rows = seconds.agg(F.max("_n"), F.sum("_n")).first()
+    return max(TICKS, min(widest, TICKS * MICROS // (densest or 1))), rows or 0
+
+
+def _by_bucket(df: DataFrame, keys: Sequence[str], rows: int | None) -> DataFrame:
+    """Dealt to tasks by bucket: one for each ``ROWS``, or as Spark counts them where ``rows`` is not known.
+
+    Without keys ``_h`` is a constant, which the windows and joins after it drop; dealt by it, rows would be dealt again.
+    """
+    tasks = [] if rows is None else [max(1, math.ceil(rows / ROWS))]
+    return df.repartition(*tasks, *(["_h"] if keys else []), "_b")
 
 
-def sums_of(ticks: DataFrame, keys: Sequence[str], names: Sequence[str], span: int, width: int) -> DataFrame:
+def sums_of(ticks: DataFrame, keys: Sequence[str], names: Sequence[str], span: int, width: int,
+            rows: int | None = None) -> DataFrame:
     """For every tick (keys, _us): the counts summed over [_us - span, _us], and ``_oldest``.
 
     Each tick enters the window at its time and leaves just after time + span; the running sum over
     those marks is the trailing sum, and the next to leave is the oldest inside. A bucket takes the
     sums of the buckets before it, and where nothing leaves in it any more, the first to leave after it.
+    ``rows`` is the number of ticks at most, if known.
     """
     keys = list(keys)
     us = F.col("_us")
@@ -81,7 +100,7 @@ def sums_of(ticks: DataFrame, keys: Sequence[str], names: Sequence[str], span: i
     upto = inside.orderBy("_o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     by = ", ".join(f"`{k}`" for k in ["_h", "_b", *keys])
     oldest = F.expr(f"lead(_leaver) IGNORE NULLS OVER (PARTITION BY {by} ORDER BY _o)")
-    local = marks.repartition("_h", "_b").select(
+    local = _by_bucket(marks, keys, None if rows is None else 2 * rows).select(
         "_h", "_b", *keys, "_us", "_sign", *[c.over(upto).alias(n) for n, c in signed], oldest.alias("_oldest"))
     return _with_carried(local.filter("_sign = 1"), carried, keys).select(
         *[F.col(f"l.{k}") for k in keys], "l._us", *[(F.col(f"l.{n}") + F.col(f"r._t_{n}")).alias(n) for n in names],
@@ -89,19 +108,21 @@ def sums_of(ticks: DataFrame, keys: Sequence[str], names: Sequence[str], span: i
 
 
 def bucketed_lag(df: DataFrame, keys: Sequence[str], order: Column, bucket: Column, value: Column,
-                 name: str) -> DataFrame:
+                 name: str, count: int | None = None) -> DataFrame:
     """``lag(value)`` per key over a unique ``order``, with one task per (key, bucket).
 
     ``bucket`` must grow with ``order``. The first row of a bucket takes the last value of the
     nearest earlier non-empty bucket: those are one row per bucket, found by a max aggregate.
     The result is null only where the key has no earlier row or the earlier value is null.
+    ``count`` is the number of rows at most, if known.
     """
     keys = list(keys)
     rows = df.withColumns({"_o": order, "_b": bucket, "_v": value, "_h": _spread(keys)})
-    ends = rows.groupBy("_h", "_b", *keys).agg(F.max_by(F.struct("_v"), "_o").alias("_end"))
+    # bare values, where they are plain, are combined in a hash table instead of after a sort of all rows
+    ends = rows.groupBy("_h", "_b", *keys).agg(F.max_by("_v", "_o").alias("_end"))
     carried = ends.select(
-        "_h", "_b", *keys, F.lag("_end").over(_over(["_h", *keys]).orderBy("_b")).alias("_carry"))
-    inside = rows.repartition("_h", "_b").withColumn(
+        "_h", "_b", *keys, F.struct(F.lag("_end").over(_over(["_h", *keys]).orderBy("_b")).alias("_v")).alias("_carry"))
+    inside = _by_bucket(rows, keys, count).withColumn(
         "_prev", F.lag(F.struct("_v")).over(_over(["_h", "_b", *keys]).orderBy("_o")))
     return _with_carried(inside, carried, keys).select(
         *[F.col(f"l.{c}") for c in df.columns], F.coalesce("l._prev", "r._carry")["_v"].alias(name))

@@ -128,3 +128,24 @@ def test_a_dense_stream_gets_narrow_buckets(spark, monkeypatch):
     sparse = spark.range(10).select((F.col("id") * 3_600_000_000).alias("us"))
     assert timeline.bucket_width(sparse, [], F.col("us"), 123_456_789) == 123_456_789
     assert timeline.bucket_width(sparse.limit(0), [], F.col("us"), 123_456_789) == 123_456_789
+
+
+def test_rules_keep_the_rows_of_a_metric_apart(spark):
+    """Statistics are not dealt by metric, and the tasks of a timeline grow with its rows."""
+    stats = spark.range(2000).select(F.timestamp_micros("id").alias("ts"), *[F.col("id").cast("double").alias(m) for m in alerts.METRICS])
+    rules = alerts.rules_frame(spark, [{"name": "e", "metric": "error_count", "operator": ">", "threshold": 5}])
+    plan = alerts.evaluate(stats.repartition(6), rules, ["ts"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(metric" not in plan
+
+
+def test_tasks_of_a_timeline_grow_with_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(timeline, "ROWS", 100)
+    df = spark.range(2000).select("id", (F.col("id") % 7).alias("v"))
+    got = bucketed_lag(df, [], F.col("id"), F.floor(F.col("id") / 20), F.col("v"), "p", 2000)
+    rows = [(r.id, r.p, r.at) for r in got.withColumn("at", F.spark_partition_id()).collect()]
+    assert sorted(r[:2] for r in rows if r[1] is not None) == [(i, (i - 1) % 7) for i in range(1, 2000)]
+    assert max(sum(r[2] == t for r in rows) for t in {r[2] for r in rows}) < 500
+    ticks = spark.range(2000).select(F.col("id").alias("_us"), F.lit(1).alias("n"))
+    want = sorted(map(str, sums_of(ticks, [], ["n"], 30, 50).collect()))
+    dealt = sums_of(ticks, [], ["n"], 30, 50, 2000)
+    assert sorted(map(str, dealt.collect())) == want and dealt.select(F.spark_partition_id()).distinct().count() > 10
