@@ -116,6 +116,16 @@ def read_config_nodes(spark: SparkSession, path: str, glob: str = "*.yaml") -> D
     return nodes.unionByName(spark.createDataFrame(empty, CONFIG_NODES))
 
 
+def write_packs(documents: DataFrame, path: str) -> None:
+    """Documents (env, value) as lines of JSON, many to a file: hundreds of thousands of files cost more than their text."""
+    documents.select("env", "value").write.json(path)
+
+
+def read_packed_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """``read_config_nodes`` for a folder of ``write_packs``; its files are split, so their number and size do not matter."""
+    return nodes_of(spark.read.schema("env string, value string").json(path))
+
+
 def parents_of(nodes: DataFrame, key: str = "inherits") -> tuple[DataFrame, DataFrame]:
     """(env, parent) pointers, and the nodes without the pointer itself."""
     pointer = (F.size("path") == 1) & (F.col("path")[0] == key)
@@ -125,9 +135,12 @@ def parents_of(nodes: DataFrame, key: str = "inherits") -> tuple[DataFrame, Data
     return parents, nodes.filter(~pointer)
 
 
-def read_snapshots(spark: SparkSession, path: str, glob: str = "*.yaml") -> DataFrame:
-    """Installed packages of stored snapshots: (snapshot, host, package, version, source)."""
-    return snapshot_packages(read_config_nodes(spark, path, glob))
+def read_snapshots(spark: SparkSession, path: str, glob: str = "*.yaml", packed: bool = False) -> DataFrame:
+    """Installed packages of stored snapshots: (snapshot, host, package, version, source).
+
+    A folder has a file for each snapshot, or is ``packed`` by ``write_packs``.
+    """
+    return snapshot_packages(read_packed_nodes(spark, path) if packed else read_config_nodes(spark, path, glob))
 
 
 def snapshot_packages(nodes: DataFrame) -> DataFrame:

@@ -162,6 +162,36 @@ def test_snapshots(spark, tmp_path):
     assert got == {("s1", "h", "a", "1.0", "apt"), ("s1", "h", "b", "2", "pip")}
 
 
+def test_packed_snapshots(spark, tmp_path):
+    """The same rows as from a file for each, empty and JSON documents included, from few files."""
+    texts = {f"s{i}": f"hostname: h{i % 3}\npackages:\n- {{name: a, version: '{i}', source: apt}}\n- {{name: b, version: '2'}}\n"
+             for i in range(50)} | {"empty": "", "json": '{"hostname": "j", "packages": [{"name": "c", "version": "3"}]}'}
+    (tmp_path / "single").mkdir()
+    for name, text in texts.items():
+        (tmp_path / "single" / f"{name}.yaml").write_text(text)
+    docs = spark.createDataFrame(list(texts.items()), "env string, value string").repartition(3)
+    source.write_packs(docs, str(tmp_path / "packed"))
+    got = sorted(map(tuple, source.read_snapshots(spark, str(tmp_path / "packed"), packed=True).collect()))
+    assert got == sorted(map(tuple, source.read_snapshots(spark, str(tmp_path / "single")).collect())) and len(got) == 101
+    assert len(list((tmp_path / "packed").glob("part-*"))) <= 3
+
+
+def test_snapshots_of_many_suppliers_are_few_files(spark, tmp_path):
+    from pathlib import Path
+
+    import __spark_entry__
+    from skyops.session import scratch_dir
+
+    rows = [(i, i % 5) for i in range(1, 301)] + [(7, 2), (None, 1)]
+    spark.createDataFrame(rows, "s_suppkey long, s_nationkey int").coalesce(1).write.parquet(str(tmp_path / "sf" / "supplier.parquet"))
+    shared = Path(scratch_dir(spark, "x")).parent
+    before = set(shared.rglob("part-*"))
+    got = [tuple(r) for r in __spark_entry__.queries()["src_snapshots"](spark, str(tmp_path / "sf")).collect()]
+    assert got.count(("S7", "host2", "pkg2", "7.1", "pip")) == 1 and ("S10", "host0", "base", "2.0", "pip") in got
+    assert len({r[0] for r in got}) == 300 + any(r[0] is None for r in got) and len(got) in (600, 602)
+    assert 0 < len(set(shared.rglob("part-*")) - before) < 20
+
+
 def test_long_integers_are_compared_by_digits(spark):
     from pyspark.sql import functions as F
 
