@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from skyops.llm import groups
 from skyops.llm.components import components
 from skyops.llm.words import mix, shingle_set, shingle_sets
-from skyops.session import cut_lineage
+from skyops.session import cut_at, cut_lineage, remove
 
 SIMILARITY = 0.8
 FANOUT = 8
@@ -238,18 +238,22 @@ def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity:
     """(``doc_id``, n_shingles, component_id) of every row: the least id reachable by links, itself included."""
     docs = df.select(F.col(doc_id).try_cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     docs = docs.withColumn("hash", F.xxhash64("text"))  # tells rows of one id apart
-    rows = cut_lineage(shingle_rows(docs, similarity))
+    sets, sets_at = cut_at(shingle_rows(docs, similarity))
+    rows = cut_lineage(sets.select("id", "hash", "n_shingles", "class"))
     filled = rows.where("n_shingles > 0 and id is not null")
     classes = filled.groupBy("class").agg(F.min("id").alias("doc"), F.min_by("hash", "id").alias("hash"))
-    kept = rows.withColumnRenamed("id", "doc").join(classes, ["class", "doc", "hash"]).select(
-        F.col("class").alias("id"), "doc", "hash", "n_shingles", "prefix", "bits")
-    kept = cut_lineage(kept.dropDuplicates(["id"]))  # equal rows may share their id
+    # equal rows may share their id; by the columns of the join, so that they are not shuffled again
+    kept = sets.withColumnRenamed("id", "doc").join(classes, ["class", "doc", "hash"]).dropDuplicates(["class", "doc", "hash"])
+    kept, kept_at = cut_at(kept.select(F.col("class").alias("id"), "doc", "hash", "n_shingles", "prefix", "bits"))
+    remove(df.sparkSession, sets_at)  # prefixes and bitmaps are the bulk of the working files
+    names = cut_lineage(kept.select("id", "doc", "hash", "n_shingles"))
     keys = kept.select("id", F.explode("prefix").alias("key"))
     pairs = cut_lineage(groups.pairs_with_leader(keys))
-    weights = kept.select("id", F.col("n_shingles").alias("weight"))
+    weights = names.select("id", F.col("n_shingles").alias("weight"))
     first = groups.in_parts(pairs, weights, PART).join(kept.select("id", "n_shingles", "bits"), "id")
     pairs = cut_lineage(_with_partner(first, similarity))
-    wanted = pairs.select("id").distinct().join(kept.select("id", "doc", "hash"), "id")
+    remove(df.sparkSession, kept_at)
+    wanted = pairs.select("id").distinct().join(names.select("id", "doc", "hash"), "id")
     texts = docs.withColumnRenamed("id", "doc").join(wanted, ["doc", "hash"]).select("id", "text")
     links = groups.links(groups.in_parts(pairs, weights, PART), cut_lineage(texts), shingle_sets, similarity,
                          search(similarity))

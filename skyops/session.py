@@ -41,9 +41,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so retries restart from the files."""
+    return cut_at(df)[0]
+
+
+def cut_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """``cut_lineage`` and the folder of its files, for ``remove`` once nothing reads them any more."""
     path = scratch_dir(df.sparkSession, "stage")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a working folder of ``cut_at``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def cut_and_count(df: DataFrame) -> tuple[DataFrame, int]:

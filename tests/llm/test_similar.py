@@ -208,3 +208,22 @@ def test_line_query_on_the_small_tables(spark, small):
     want = first_lines(rows)
     assert got.keys() == want.keys()
     assert sum(got[k] != want[k] for k in want) <= 2  # banding misses a hundredth of pairs at the threshold
+
+
+def test_join_leaves_no_prefixes_behind(spark):
+    """The working files with prefixes and bitmaps are gone when the join returns, and its rows can be read twice."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    from skyops.session import scratch_dir
+
+    shared = Path(scratch_dir(spark, "x")).parent
+    before = set(shared.rglob("*.parquet"))
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text), (2, text), (3, text + " more"), (4, "other words"), (5, None)], "doc_id long, text string")
+    found = jaccard_join.join(docs)
+    want = [(1, 56, 1), (2, 56, 1), (2, 56, 1), (3, 57, 1), (4, 1, 4), (5, 0, 5)]
+    assert sorted(map(tuple, found.collect())) == want == sorted(map(tuple, found.collect()))
+    made = set(shared.rglob("*.parquet")) - before
+    assert made and not [f for f in made if {"prefix", "bits"} & set(pq.read_schema(f).names)]
