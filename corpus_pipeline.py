@@ -1,7 +1,7 @@
 """The stages that turn ``documents`` into encoded training text.
 
 ``run`` applies them one after another; each stage's rows are written as Parquet and read again, so
-a lost executor costs part of one stage. Every stage works on all that its predecessor kept. All but
+a lost executor costs part of one stage; those of the stage before are deleted then. Every stage works on all that its predecessor kept. All but
 the last return the columns of their input; a stage's own columns start with ``_``.
 
 Cases, beside those of each operator: an empty table goes through all stages as an empty table; a
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyops.llm import decontaminate, jaccard_join, line_dedup, queries, toxicity
-from skyops.session import cut_lineage, prepare
+from skyops.session import cut_at, prepare, remove
 
 
 def _free(docs: DataFrame, *names: str) -> list[str]:
@@ -71,8 +71,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     sf_dir = str(sf_dir).rstrip("/")
     docs = queries.table(prepare(spark), sf_dir, "documents")
+    before = []
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = cut_lineage(docs)
+            docs, at = cut_at(docs)
+            remove(spark, *before)
+            before = [at]
     return docs

@@ -1,7 +1,8 @@
 """Connected components of links by large-star and small-star rounds, as joins and minima.
 
 Each round links every node to the least node it sees; no step gathers the neighbours of a node,
-and each round's links are written to the shared folder, so that a lost executor costs one round.
+and each round's links are written to the shared folder, so that a lost executor costs one round;
+those of the round before are deleted then.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyops.session import cut_lineage
+from skyops.session import cut_at, remove
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -36,10 +37,12 @@ def components(links: DataFrame) -> DataFrame:
     Links of an id to itself are ignored; without links the result is empty; null ids are dropped.
     """
     one_way = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    links = cut_lineage(one_way.distinct())
+    links, at = cut_at(one_way.distinct())
     before, now = None, _digest(links)
     while now != before:
-        links = cut_lineage(_small_star(_large_star(links)))
+        last = at
+        links, at = cut_at(_small_star(_large_star(links)))
+        remove(links.sparkSession, last)
         before, now = now, _digest(links)
     roots = links.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return links.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)

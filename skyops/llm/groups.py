@@ -33,7 +33,7 @@ def possible(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     """Rows whose 64-bit ``column`` may be among those of ``wanted``: one hash bit for each, so that few others are shuffled.
 
     The bits are a table of at most ``FILTER`` rows, so its broadcast is bounded; when they fill up, more
-    rows pass and nothing is lost.
+    rows pass and nothing is lost. Join what passes with an inner join: Spark takes a semi join before the filter.
     """
     hashed = F.xxhash64(column)
     slot, bit = F.pmod(hashed, F.lit(FILTER)), F.pmod(F.shiftrightunsigned(hashed, 18), F.lit(64)).cast("int")
@@ -42,17 +42,14 @@ def possible(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     return rows.withColumn("_slot", slot).join(F.broadcast(bits), "_slot").where(mine).select(*rows.columns)
 
 
-def pairs_with_leader(keys: DataFrame, filtered: bool = False) -> DataFrame:
+def pairs_with_leader(keys: DataFrame) -> DataFrame:
     """(leader, id) for each (id, key) whose key two ids share; the leader is the least id of the key.
 
-    ``filtered`` keeps other keys out of the join, which pays where few keys are shared.
+    The shared keys are written first, so that the shuffle of all keys is gone before the join, which few others enter.
     """
     shared = keys.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
-    shared = shared.where("leader < last").select("key", "leader")
-    if filtered:
-        shared = cut_lineage(shared)
-        keys = possible(keys, shared, "key")
-    return keys.join(shared, "key").select("leader", "id").distinct()
+    shared = cut_lineage(shared.where("leader < last").select("key", "leader"))
+    return possible(keys, shared, "key").join(shared, "key").select("leader", "id").distinct()
 
 
 def in_parts(pairs: DataFrame, weights: DataFrame, limit: int) -> DataFrame:

@@ -248,16 +248,18 @@ def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity:
     remove(df.sparkSession, sets_at)  # prefixes and bitmaps are the bulk of the working files
     names = cut_lineage(kept.select("id", "doc", "hash", "n_shingles"))
     keys = kept.select("id", F.explode("prefix").alias("key"))
-    pairs = cut_lineage(groups.pairs_with_leader(keys))
+    pairs, pairs_at = cut_at(groups.pairs_with_leader(keys))
     weights = names.select("id", F.col("n_shingles").alias("weight"))
     first = groups.in_parts(pairs, weights, PART).join(kept.select("id", "n_shingles", "bits"), "id")
     pairs = cut_lineage(_with_partner(first, similarity))
-    remove(df.sparkSession, kept_at)
-    wanted = pairs.select("id").distinct().join(names.select("id", "doc", "hash"), "id")
-    texts = docs.withColumnRenamed("id", "doc").join(wanted, ["doc", "hash"]).select("id", "text")
-    links = groups.links(groups.in_parts(pairs, weights, PART), cut_lineage(texts), shingle_sets, similarity,
-                         search(similarity))
+    remove(df.sparkSession, kept_at, pairs_at)
+    row = F.xxhash64("doc", "hash").alias("row")
+    wanted = cut_lineage(pairs.select("id").distinct().join(names, "id").select("id", "doc", "hash", row))
+    own = groups.possible(docs.withColumnRenamed("id", "doc").select("doc", "hash", "text", row), wanted, "row")
+    texts, texts_at = cut_at(own.join(wanted, ["row", "doc", "hash"]).select("id", "text"))
+    links = groups.links(groups.in_parts(pairs, weights, PART), texts, shingle_sets, similarity, search(similarity))
     of_class = components(cut_lineage(links.unionByName(_same_id(filled.select("id", "class")))))
+    remove(df.sparkSession, texts_at)
     found = classes.select("class", "doc").join(of_class.withColumnRenamed("id", "class"), "class", "left").select(
         "class", "doc", F.coalesce("component", "class").alias("component"))
     found = cut_lineage(found)

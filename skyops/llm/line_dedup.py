@@ -26,7 +26,7 @@ from skyops.llm import groups
 from skyops.llm.batches import slices
 from skyops.llm.components import components
 from skyops.llm.words import distinct, mix
-from skyops.session import cut_lineage
+from skyops.session import cut_at, cut_lineage, remove
 
 SIMILARITY = 0.8
 SHINGLE = 7
@@ -134,17 +134,18 @@ def line_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def _line_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``line_components`` of documents ``with_rows``, and ``_row``."""
-    signed = cut_lineage(_signed(lines_of(docs, doc_id, text)))
+    signed, signed_at = cut_at(_signed(lines_of(docs, doc_id, text)))
     fresh = signed.where("keys is not null")
-    pairs = cut_lineage(groups.pairs_with_leader(fresh.select("id", F.explode("keys").alias("key")), filtered=True))
-    wanted = cut_lineage(pairs.select("id").distinct())
-    texts = groups.possible(fresh.select("id", "line", "weight"), wanted, "id").join(wanted, "id", "left_semi")
-    texts = cut_lineage(texts.groupBy("id").agg(F.first("line").alias("text"), F.max("weight").alias("weight")))
+    pairs, pairs_at = cut_at(groups.pairs_with_leader(fresh.select("id", F.explode("keys").alias("key"))))
+    wanted, wanted_at = cut_at(pairs.select("id").distinct())
+    texts = groups.possible(fresh.select("id", "line", "weight"), wanted, "id").join(wanted, "id")
+    texts, texts_at = cut_at(texts.groupBy("id").agg(F.first("line").alias("text"), F.max("weight").alias("weight")))
     links = groups.links(groups.in_parts(pairs, texts.select("id", "weight"), PART), texts.select("id", "text"), shingle_sets, SIMILARITY)
     linked = components(cut_lineage(links))
     numbered = signed.select("doc_id", "_row", "line_no", "id").join(linked, "id", "left").select(
         "doc_id", "_row", "line_no", F.coalesce("component", "id").alias("component"))
     numbered = cut_lineage(numbered)
+    remove(docs.sparkSession, signed_at, pairs_at, wanted_at, texts_at)  # all lines and their keys among them
     in_row = numbered.where("component is not null").groupBy("component", "doc_id", "_row").agg(F.min("line_no").alias("line_no"))
     in_id = in_row.groupBy("component", "doc_id").agg(F.min_by("line_no", "_row").alias("line_no"), F.min("_row").alias("_row"))
     # a null id comes first: it is the least of a component that has one

@@ -16,6 +16,8 @@ _SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+#: Removes the shuffle files of an execution at its end. Only for writes: a DataFrame that is run again would shuffle again.
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -45,16 +47,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def cut_at(df: DataFrame) -> tuple[DataFrame, str]:
-    """``cut_lineage`` and the folder of its files, for ``remove`` once nothing reads them any more."""
-    path = scratch_dir(df.sparkSession, "stage")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    """``cut_lineage`` and the folder of its files, for ``remove`` once nothing reads them any more.
 
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a working folder of ``cut_at``."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    The shuffle files of the write go when it ends; without that they stay until the driver collects its garbage.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "stage")
+    before = spark.conf.get(_RELEASE, None)
+    spark.conf.set(_RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_RELEASE)
+        else:
+            spark.conf.set(_RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete working folders of ``cut_at``."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def cut_and_count(df: DataFrame) -> tuple[DataFrame, int]:

@@ -227,3 +227,60 @@ def test_join_leaves_no_prefixes_behind(spark):
     assert sorted(map(tuple, found.collect())) == want == sorted(map(tuple, found.collect()))
     made = set(shared.rglob("*.parquet")) - before
     assert made and not [f for f in made if {"prefix", "bits"} & set(pq.read_schema(f).names)]
+
+
+def files_made(spark, do):
+    """What ``do`` returns and the columns of each working file it leaves."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    from skyops.session import scratch_dir
+
+    shared = Path(scratch_dir(spark, "x")).parent
+    before = set(shared.rglob("*.parquet"))
+    out = do()
+    return out, [set(pq.read_schema(f).names) for f in set(shared.rglob("*.parquet")) - before]
+
+
+def test_line_dedup_leaves_no_lines_behind(spark):
+    """The working files with lines and keys are gone when it returns, and its rows can be read twice."""
+    rows = [(1, "a line that comes twice\nown line of the first"), (2, "A line that comes twice \nanother line here"), (3, None), (None, "of no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left, made = files_made(spark, lambda: line_dedup.without_repeats(docs))
+    want = [(0, "of no id"), (1, rows[0][1]), (2, "another line here"), (3, "")]
+    for _ in range(2):
+        assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == want
+    assert made and not [c for c in made if {"keys", "line", "weight"} & c]
+
+
+def test_join_leaves_no_texts_behind(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text + " more"), (3, text + " and more"), (3, "other words")], "doc_id long, text string")
+    found, made = files_made(spark, lambda: jaccard_join.join(docs))
+    want = [(1, 56, 1), (2, 57, 1), (3, 1, 1), (3, 58, 1)]
+    assert sorted(map(tuple, found.collect())) == want == sorted(map(tuple, found.collect()))
+    assert made and not [c for c in made if "text" in c]
+
+
+@pytest.mark.parametrize("search", [line_dedup.without_repeats, jaccard_join.join])
+def test_texts_are_filtered_before_they_are_shuffled(spark, tmp_path, search):
+    """Of a hundred long texts that resemble nothing and two that are near, only the two are dealt out to be compared."""
+    rng = random.Random(3)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(90)) for _ in range(n))
+    near = text(300)
+    rows = [(k, text(300)) for k in range(100)] + [(200, near), (201, near + " more")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    group, tracker = "filtered", spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, "")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as large tables are joined
+    try:
+        search(spark.read.parquet(f"{tmp_path}/docs"))
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    store = spark.sparkContext._jsc.sc().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    written = [store.lastStageAttempt(s).shuffleWriteBytes() for s in stages if tracker.getStageInfo(s)]
+    assert max(written) < len(rows) * len(near) / 4

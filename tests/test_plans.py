@@ -57,3 +57,24 @@ def test_statistics_scan_once(spark):
 
 def test_scratch_follows_the_session_setting(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """What a write shuffled is gone soon after it, without the driver's garbage collection; the setting is as before."""
+    import time
+    from pathlib import Path
+
+    from skyops.session import cut_lineage
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {f for d in disk.localDirs() for f in Path(d.getPath()).rglob("shuffle_*.data")}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = held(), spark.conf.get(name)
+    rows = spark.range(10_000).withColumn("k", F.col("id") % 100)
+    counted = cut_lineage(rows.groupBy("k").count().join(rows, "k").repartition(3, "id"))
+    end = time.time() + 20
+    while held() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not held() - before
+    assert spark.conf.get(name) == setting
+    assert counted.where("count = 100").count() == 10_000
