@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,9 @@ _SETTINGS = {
 }
 #: Removes the shuffle files of an execution at its end. Only for writes: a DataFrame that is run again would shuffle again.
 _RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_LOCK = threading.Lock()
+#: By session: the setting from before, and how many threads write.
+_WRITING: dict[str, tuple[str | None, int]] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -51,17 +57,31 @@ def cut_at(df: DataFrame) -> tuple[DataFrame, str]:
 
     The shuffle files of the write go when it ends; without that they stay until the driver collects its garbage.
     """
-    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "stage")
-    before = spark.conf.get(_RELEASE, None)
-    spark.conf.set(_RELEASE, "true")
-    try:
+    path = scratch_dir(df.sparkSession, "stage")
+    with _shuffles_released(df.sparkSession):
         df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+@contextlib.contextmanager
+def _shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Sets ``_RELEASE`` until the last thread of the session that is inside leaves."""
+    session = spark._jsparkSession.sessionUUID()
+    with _LOCK:
+        before, n = _WRITING.get(session) or (spark.conf.get(_RELEASE, None), 0)
+        _WRITING[session] = before, n + 1
+        spark.conf.set(_RELEASE, "true")
+    try:
+        yield
     finally:
-        if before is None:
-            spark.conf.unset(_RELEASE)
-        else:
-            spark.conf.set(_RELEASE, before)
-    return spark.read.schema(df.schema).parquet(path), path
+        with _LOCK:
+            before, n = _WRITING.pop(session)
+            if n > 1:
+                _WRITING[session] = before, n - 1
+            elif before is None:
+                spark.conf.unset(_RELEASE)
+            else:
+                spark.conf.set(_RELEASE, before)
 
 
 def remove(spark: SparkSession, *paths: str) -> None:

@@ -62,6 +62,7 @@ def test_scratch_follows_the_session_setting(spark):
 def test_shuffle_files_go_with_the_write(spark):
     """What a write shuffled is gone soon after it, without the driver's garbage collection; the setting is as before."""
     import time
+    from concurrent.futures import ThreadPoolExecutor
     from pathlib import Path
 
     from skyops.session import cut_lineage
@@ -71,7 +72,8 @@ def test_shuffle_files_go_with_the_write(spark):
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before, setting = held(), spark.conf.get(name)
     rows = spark.range(10_000).withColumn("k", F.col("id") % 100)
-    counted = cut_lineage(rows.groupBy("k").count().join(rows, "k").repartition(3, "id"))
+    with ThreadPoolExecutor(4) as pool:
+        counted, *_ = pool.map(cut_lineage, [rows.groupBy("k").count().join(rows, "k").repartition(n, "id") for n in (3, 4, 5, 6)])
     end = time.time() + 20
     while held() - before and time.time() < end:
         time.sleep(0.1)
